@@ -134,3 +134,106 @@ def log_parts(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = F.format_string("logs/20240101_000000_run%d_part%d.log", "run_id", "part")
     return whole.select("run_id", F.col("part").cast("int").alias("part"), path.alias("path"), "content")
+
+
+def metric_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """One metric row per run; the mean epoch is a text and unreadable for every seventh run."""
+    return runs(spark, folder).select(
+        "run_id", "file", "model", "subset_size", "bleu", "rougeL",
+        F.col("min_val").alias("loss"),
+        F.round(R.perplexity(F.col("min_val")), 6).alias("perplexity"),
+        F.col("subset_size").cast("string").alias("Subset"),
+        F.when(F.expr("run_id % 7 = 0"), "n/a")
+        .otherwise(F.format_string("%.2f", F.round(F.col("total_seconds") / F.col("n_epochs"), 2)))
+        .alias("Mean Epoch (s)"),
+    )
+
+
+def json_text(column: str) -> str:
+    """SQL that writes a text as a JSON string; the same expression runs in both engines."""
+    steps = [("chr(92)", "chr(92) || chr(92)"), ("chr(34)", "chr(92) || chr(34)"), ("chr(10)", "chr(92) || 'n'"),
+             ("chr(13)", "chr(92) || 'r'"), ("chr(9)", "chr(92) || 't'")]
+    body = column
+    for old, new in steps:
+        body = f"replace({body}, {old}, {new})"
+    return f"chr(34) || {body} || chr(34)"
+
+
+def dirty_line_sql() -> str:
+    """A raw JSON line per pair: both layouts, and six ways to be broken or incomplete."""
+    code, doc, q = json_text("code"), json_text("docstring"), "chr(34)"
+
+    def key(name: str) -> str:
+        return f"{q} || '{name}' || {q} || ':'"
+
+    refined = f"{key('code')} || {code} || ',' || {key('docstring')} || {doc}"
+    return f"""CASE id % 8
+      WHEN 0 THEN '{{' || {key('func_code_string')} || {code} || ',' || {key('func_documentation_string')} || {doc} || '}}'
+      WHEN 1 THEN '{{' || {refined} || '}}'
+      WHEN 2 THEN '{{' || chr(39) || 'code' || chr(39) || ':' || chr(39) || 'x' || chr(39) || '}}'
+      WHEN 3 THEN '{{' || {key('code')} || {code}
+      WHEN 4 THEN '{{' || {key('code')} || 'null,' || {key('func_code_string')} || {code} || ',' || {key('docstring')} || {doc} || '}}'
+      WHEN 5 THEN ''
+      WHEN 6 THEN '[1]'
+      ELSE '{{' || {refined} || ',' || {key('repo')} || {q} || 'r' || {q} || ',' || {key('stars')} || '3}}' END"""
+
+
+SHARD_ROWS = 1000
+
+
+def write_shards(frame: DataFrame, path: str) -> None:
+    """``split, id, raw`` as gzip text, a file per split and ``SHARD_ROWS`` ids, lines in id order."""
+    shard = F.format_string("%06d", F.floor(F.col("id") / SHARD_ROWS))
+    (
+        frame.withColumn("shard", shard)
+        .repartition("split", "shard")
+        .sortWithinPartitions("split", "shard", "id")
+        .select("split", "shard", "raw")
+        .write.partitionBy("split", "shard").option("compression", "gzip").text(path)
+    )
+
+
+def dirty_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return pairs(spark, folder).selectExpr("split", "id", f"{dirty_line_sql()} AS raw")
+
+
+def clean_lines(spark: SparkSession, folder: str) -> DataFrame:
+    line = f"'{{' || {json_text('\'code\'')} || ':' || {json_text('code')} || ',' || {json_text('\'docstring\'')} || ':' || {json_text('docstring')} || '}}'"
+    return pairs(spark, folder).selectExpr("split", "id", f"{line} AS raw")
+
+
+def scored_pairs(refined: DataFrame) -> DataFrame:
+    """References and a rule-made hypothesis per row: the docstring without its short words."""
+    from quernstone.functions import text as T
+
+    ref = T.split_words(F.col("docstring"))
+    return refined.select(
+        "id", F.col("split").alias("run"), ref.alias("ref"), F.filter(ref, lambda w: F.length(w) > 2).alias("hyp")
+    )
+
+
+def word_table(refined: DataFrame) -> DataFrame:
+    """Word ids from 4 on over the training docstrings: commonest first, equals by hash."""
+    from quernstone.functions import text as T
+    from quernstone.operators.positions import positions_by_bucket
+
+    train = refined.filter(F.col("split") == "train")
+    counts = train.select(F.explode(T.split_words(F.col("docstring"))).alias("token")).groupBy("token").agg(
+        F.count("*").alias("n")
+    )
+    hashed = counts.withColumn("h", F.md5("token"))
+    ranked = positions_by_bucket(
+        hashed, F.struct((-F.col("n")).alias("c"), F.substring("h", 1, 3).alias("h")), [F.desc("n"), "h"]
+    )
+    return ranked.select((F.col("pos") + 3).cast("int").alias("id"), "token")
+
+
+def word_ids(refined: DataFrame) -> DataFrame:
+    """Docstrings as arrays of word ids; words unseen in training are 3."""
+    from quernstone.functions import text as T
+
+    words = refined.select("id", "split", F.posexplode(T.split_words(F.col("docstring"))).alias("at", "token"))
+    table = word_table(refined).withColumnRenamed("id", "token_id")
+    coded = words.join(table, "token", "left").withColumn("token_id", F.coalesce("token_id", F.lit(3)))
+    ordered = F.sort_array(F.collect_list(F.struct("at", "token_id")))
+    return coded.groupBy("id", "split").agg(ordered["token_id"].alias("ids"))

@@ -49,6 +49,13 @@ def positions_by_id(
     return _number(df, F.floor(F.col(id_col) / width), [id_col], group, name)
 
 
+def positions_by_bucket(
+    df: DataFrame, bucket: Column, order: Sequence[Column | str], name: str = "pos"
+) -> DataFrame:
+    """1-based position in ``order``, for any bucket expression whose own order agrees with it."""
+    return _number(df, bucket, order, [], name)
+
+
 def shuffle_key(id_col: str, seed: int) -> Column:
     """Reproducible random order: a seeded hash of the id."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))

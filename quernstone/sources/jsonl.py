@@ -54,12 +54,15 @@ def read_jsonl_shards(
 
 def _last_value(entries: Column, keys: tuple[str, ...], missing: str | None) -> Column:
     """Value of the first key that is present, even when that value is null."""
-    found = None
-    for key in keys:
-        hits = F.filter(entries, lambda e, key=key: e["key"] == key)
-        value = F.try_element_at(hits, F.lit(-1))["value"]
-        found = F.when(F.size(hits) > 0, value) if found is None else found.when(F.size(hits) > 0, value)
-    return found.otherwise(F.lit(missing).cast("string"))
+
+    def hits(key: str) -> Column:
+        return F.filter(entries, lambda e: e["key"] == key)
+
+    value = F.lit(missing).cast("string")
+    for key in reversed(keys):
+        last = F.try_element_at(hits(key), F.lit(-1))["value"]
+        value = F.when(F.size(hits(key)) > 0, last).otherwise(value)
+    return value
 
 
 def normalize_keys(lines: DataFrame, missing: str | None = "") -> DataFrame:

@@ -28,7 +28,7 @@ def read_source_files(
         .option("recursiveFileLookup", True)
         .load(root)
     )
-    below = F.lit(root.rstrip("/").split(":", 1)[-1] + "/")
+    below = root.rstrip("/").split(":", 1)[-1] + "/"
     relative = F.substring_index("path", below, -1)
     parts = F.split("_path", "/")
     folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
