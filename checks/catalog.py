@@ -12,7 +12,7 @@ from quernstone.functions import runs as R
 from quernstone.functions import text as T
 from quernstone.functions import tokens as K
 from quernstone.operators import codeindex, encoding, quality, refine, runs, sampling, vocab
-from quernstone.plans import refinery
+from quernstone.plans import evaluation, refinery
 from quernstone.session import scratch_path
 from quernstone.sources import jsonl, runlogs, sourcetree
 from quernstone.streaming import refine_stream as stream
@@ -273,8 +273,7 @@ def evaluation_report(spark, sf):
     rows = refine_rows(spark, sf)
     model = F.when(F.col("split") == "train", "transformer").when(F.col("split") == "valid", "lstm_dotproduct")
     named = rows.withColumn("file", F.format_string("20240101_0000_%s_sub20000.pt", model.otherwise("lstm_bahdanau")))
-    predictions = quality.batch_predict(named, quality.keyword_scorer(), keep=("id", "file"))
-    report = quality.evaluation_report(predictions, rows, stemmed=False)
+    report = evaluation.evaluate(named, quality.keyword_scorer(), stemmed=False)
     return report.withColumns({c: F.round(c, 6) for c in ("bleu", "rougeL", "loss", "perplexity")})
 
 

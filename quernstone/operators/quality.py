@@ -15,7 +15,6 @@ from pyspark.sql.functions import pandas_udf
 from quernstone.functions import runs as R
 from quernstone.functions import text as T
 from quernstone.functions.stem import stem
-from quernstone.operators.refine import TRAIN
 
 MAX_ORDER = 4
 EPSILON = 0.1
@@ -24,52 +23,58 @@ EPSILON = 0.1
 # --- BLEU ------------------------------------------------------------------------------------
 
 
+_ENTRY = "array<struct<n:int,gram:string,hyp:bigint,ref:bigint>>"
+
+
+def _entry(n: int, gram: Column, hyp: Column, ref: Column) -> Column:
+    return F.struct(
+        F.lit(n).alias("n"), gram.alias("gram"), hyp.cast("bigint").alias("hyp"), ref.cast("bigint").alias("ref")
+    )
+
+
 def _grams(words: str, n: int, in_hyp: int) -> Column:
     """The n-grams of a word array as counted entries; too short an array has none."""
     count = F.size(words) - (n - 1)
     entries = F.transform(
         F.sequence(F.lit(1), count),
-        lambda i: F.struct(
-            F.lit(n).alias("n"),
-            F.array_join(F.slice(F.col(words), i, F.lit(n)), " ").alias("gram"),
-            F.lit(in_hyp).cast("bigint").alias("hyp"),
-            F.lit(1 - in_hyp).cast("bigint").alias("ref"),
-        ),
+        lambda i: _entry(n, F.array_join(F.slice(F.col(words), i, F.lit(n)), " "), F.lit(in_hyp), F.lit(1 - in_hyp)),
     )
-    return F.when(count >= 1, entries).otherwise(F.array().cast("array<struct<n:int,gram:string,hyp:bigint,ref:bigint>>"))
+    return F.when(count >= 1, entries).otherwise(F.array().cast(_ENTRY))
 
 
 def corpus_bleu(pairs: DataFrame, by: Sequence[str] = (), row: str = "id") -> DataFrame:
     """Corpus BLEU-4 with one reference and 0.1 in place of missing matches, per group.
 
-    Rows are placed by id while they are still compact word arrays. Counting n-grams within a row
-    then needs no further shuffle, however long a row is; what travels next is four sums per group
-    and task.
+    Rows are placed by their unique id while they are still compact word arrays. Counting n-grams
+    within a row then needs no further shuffle, however long a row is; what travels next is one row
+    of sums per group and task. Row lengths ride along as entries of order 0, so the pairs are
+    read once.
     """
-    placed = pairs.repartition(*by, row)
     keys = [*by, row]
-    entries = F.concat(*[_grams(w, n, h) for n in range(1, MAX_ORDER + 1) for w, h in (("hyp", 1), ("ref", 0))])
+    orders = range(1, MAX_ORDER + 1)
+    facts = {"hyp_len": F.size("hyp"), "ref_len": F.size("ref")}
+    facts |= {f"slots{n}": F.greatest(F.lit(1), F.size("hyp") - (n - 1)) for n in orders}
+    sizes = F.array(*[_entry(0, F.lit(name), size, size) for name, size in facts.items()]).cast(_ENTRY)
+    entries = F.concat(sizes, *[_grams(w, n, h) for n in orders for w, h in (("hyp", 1), ("ref", 0))])
     counted = (
-        placed.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.*")
+        pairs.repartition(row)
+        .select(*keys, F.explode(entries).alias("e")).select(*keys, "e.*")
         .groupBy(*keys, "n", "gram").agg(F.sum("hyp").alias("hyp"), F.sum("ref").alias("ref"))
-        .select(*by, "n", F.least("hyp", "ref").alias("match"))
+        .select(*by, "n", "gram", F.least("hyp", "ref").alias("m"))
     )
-    facts = ["hyp_len", "ref_len", *[f"slots{n}" for n in range(1, MAX_ORDER + 1)]]
-    lengths = {"hyp_len": F.size("hyp"), "ref_len": F.size("ref")}
-    slots = {f"slots{n}": F.greatest(F.lit(1), F.size("hyp") - (n - 1)) for n in range(1, MAX_ORDER + 1)}
-    sized = pairs.select(*by, *[c.cast("bigint").alias(k) for k, c in {**lengths, **slots}.items()])
-    matched = counted.select(
-        *by, *[F.when(F.col("n") == n, F.col("match")).alias(f"match{n}") for n in range(1, MAX_ORDER + 1)]
-    )
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in facts]
-    sums += [F.coalesce(F.sum(f"match{n}"), F.lit(0)).alias(f"match{n}") for n in range(1, MAX_ORDER + 1)]
-    total = sized.unionByName(matched, allowMissingColumns=True).groupBy(*by).agg(*sums)
-    return total.select(*by, _bleu().alias("bleu"), "hyp_len", "ref_len")
+
+    def total(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("m"))), F.lit(0)).alias(name)
+
+    n, gram = F.col("n"), F.col("gram")
+    sums = [total((n == 0) & (gram == name), name) for name in facts]
+    sums += [total(n == k, f"match{k}") for k in orders]
+    return counted.groupBy(*by).agg(*sums).select(*by, _bleu().alias("bleu"), "hyp_len", "ref_len")
 
 
 def _bleu() -> Column:
     logs = [
-        F.ln(F.greatest(F.col(f"match{n}"), F.lit(EPSILON)) / F.col(f"slots{n}"))
+        F.ln(F.greatest(F.col(f"match{n}"), F.lit(EPSILON)) / F.greatest(F.col(f"slots{n}"), F.lit(1)))
         for n in range(1, MAX_ORDER + 1)
     ]
     shortness = F.when(F.col("hyp_len") > F.col("ref_len"), 1.0).otherwise(
@@ -257,7 +262,3 @@ def evaluation_report(predictions: DataFrame, references: DataFrame, file: str =
         file, R.model_tag(F.col(file)).alias("model"), "bleu", "rougeL", "loss",
         R.perplexity(F.col("loss")).alias("perplexity"),
     )
-
-
-def unigram_train(refined: DataFrame) -> DataFrame:
-    return refined.filter(F.col("split") == TRAIN)

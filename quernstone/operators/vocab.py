@@ -19,7 +19,7 @@ MERGE_SCHEMA = "rank int, left int, right int, new int"
 # the byte order of two symbols is the order of their ids.
 _SYMBOL_BASE = 0x10000
 _CANDIDATES = 512
-_PENDING_LIMIT = 96
+_PENDING_LIMIT = 32
 
 
 def tokenizer_corpus(refined: DataFrame) -> DataFrame:
@@ -51,6 +51,17 @@ def _pair_counts(words: DataFrame) -> DataFrame:
     return exploded.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
+def _merged(words: DataFrame, steps: list[str]) -> DataFrame:
+    """Apply merge steps (two symbols and their replacement) in order.
+
+    The one-element ``inline`` keeps later filters from repeating the replacements.
+    """
+    seq = F.col("seq")
+    for step in steps:
+        seq = F.replace(seq, F.lit(step[:2]), F.lit(step[2]))
+    return words.select(seq.alias("seq"), "n").select(F.inline(F.array(F.struct("seq", "n"))))
+
+
 def _safe_prefix(top: list[tuple[str, int]], complete: bool) -> list[str]:
     """Leading pairs that merging one by one would pick in just this order.
 
@@ -83,28 +94,25 @@ def train_bpe(counts: DataFrame, vocab_size: int = VOCAB_SIZE) -> tuple[DataFram
 
     Highest count first, ties by smaller ids. Each round counts all pairs on the cluster and brings
     only the few best to the driver, which takes as many as are certain not to affect each other.
-    Merges queue up in one projection; after ``_PENDING_LIMIT`` of them the word table is
+    Merges queue up in one expression; after ``_PENDING_LIMIT`` of them the word table is
     checkpointed, and words merged into a single symbol leave it.
     """
     spark = counts.sparkSession
     shared_folder(spark)
-    glyphs = counts.select(K.byte_level(F.col("pretoken")).alias("token"), "n")
-    letters = sorted(
-        r[0] for r in glyphs.select(F.explode(F.split("token", ""))).distinct().collect() if r[0]
-    )
+    glyphs = counts.select(K.byte_level(F.col("pretoken")).alias("token"), "n").checkpoint()
+    letters = sorted(r[0] for r in glyphs.select(F.explode(F.split("token", ""))).distinct().collect() if r[0])
     tokens = [*K.SPECIAL_TOKENS, *letters]
     ids = {t: i for i, t in enumerate(tokens)}
     symbols = "".join(_symbol(ids[c]) for c in letters)
-    words = glyphs.select(F.translate("token", "".join(letters), symbols).alias("seq"), "n").checkpoint()
+    words = glyphs.select(F.translate("token", "".join(letters), symbols).alias("seq"), "n")
 
     merges: list[tuple[int, int, int, int]] = []
-    current, pending = words, 0
+    pending: list[str] = []
     while len(tokens) < vocab_size:
-        best = _pair_counts(current).orderBy(F.desc("n"), "pair").limit(_CANDIDATES).collect()
+        best = _pair_counts(_merged(words, pending)).orderBy(F.desc("n"), "pair").limit(_CANDIDATES).collect()
         top = [(r["pair"], r["n"]) for r in best]
         if not top:
             break
-        seq = F.col("seq")
         for pair in _safe_prefix(top, len(top) < _CANDIDATES):
             left, right = _id(pair[0]), _id(pair[1])
             token = tokens[left] + tokens[right]
@@ -113,13 +121,11 @@ def train_bpe(counts: DataFrame, vocab_size: int = VOCAB_SIZE) -> tuple[DataFram
             if not known:
                 tokens.append(token)
             merges.append((len(merges), left, right, new))
-            seq = F.replace(seq, F.lit(pair), F.lit(_symbol(new)))
-            pending += 1
+            pending.append(pair + _symbol(new))
             if known or len(tokens) >= vocab_size:
                 break
-        current = current.select(seq.alias("seq"), "n")
-        if pending >= _PENDING_LIMIT:
-            current, pending = current.filter(F.length("seq") > 1).checkpoint(), 0
+        if len(pending) >= _PENDING_LIMIT:
+            words, pending = _merged(words, pending).filter(F.length("seq") > 1).checkpoint(), []
 
     vocab = spark.createDataFrame(list(enumerate(tokens)), VOCAB_SCHEMA)
     return vocab, spark.createDataFrame(merges, MERGE_SCHEMA)

@@ -37,7 +37,7 @@ def read_jsonl_shards(
             .option("recursiveFileLookup", True)
             .text(path)
         )
-        if not lines.inputFiles():
+        if lines.isEmpty():
             raise FileNotFoundError(path)
     except (AnalysisException, FileNotFoundError):
         log.warning("no shards %s under %s", shards, path)

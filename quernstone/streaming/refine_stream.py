@@ -10,29 +10,35 @@ from quernstone.operators import refine as ops
 from quernstone.sources import jsonl
 
 
+SALTS = 32
+
+
 def stream_shards(spark: SparkSession, root: str, shards: str = jsonl.SHARDS) -> DataFrame:
-    """Lines of the shards below ``root`` as a stream of ``split, raw``."""
+    """Lines of the shards below ``root`` as a stream of ``split, file, raw``."""
     lines = spark.readStream.option("pathGlobFilter", shards).option("recursiveFileLookup", True).text(root)
+    file = F.col("_metadata.file_path")
     folder = f"/(?:split=)?({'|'.join(jsonl.SPLITS)})/"
     return lines.select(
-        F.regexp_extract(F.col("_metadata.file_path"), folder, 1).alias("split"), F.col("value").alias("raw")
+        F.regexp_extract(file, folder, 1).alias("split"), file.alias("file"), F.col("value").alias("raw")
     )
 
 
 def gate_stream(lines: DataFrame) -> DataFrame:
-    """Gated rows ``split, code, docstring, fp`` of a stream of raw lines."""
-    records = jsonl.normalize_keys(lines).withColumn("id", F.lit(0).cast("bigint"))
-    return ops.passed(ops.clean_pairs(records)).drop("id")
+    """Gated rows ``id, split, code, docstring, fp`` of a stream of raw lines; the id is the file."""
+    return ops.passed(ops.clean_pairs(jsonl.normalize_keys(lines.withColumnRenamed("file", "id"))))
 
 
 def refine_train_stream(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append each new training fingerprint once; the state store remembers those seen so far.
 
-    The sink doubles as the registry that evaluation rows are checked against.
+    The sink doubles as the registry that evaluation rows are checked against. Copies are dropped
+    twice: first among files of the same salt, so that a fingerprint found everywhere is spread over
+    ``SALTS`` tasks, then among the at most ``SALTS`` rows that are left of it.
     """
     train = gate_stream(lines.filter(F.col("split") == ops.TRAIN))
+    salted = train.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     return (
-        train.dropDuplicates(["fp"])
+        salted.dropDuplicates(["fp", "salt"]).dropDuplicates(["fp"]).drop("id", "salt")
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
@@ -47,7 +53,7 @@ def refine_eval_stream(lines: DataFrame, registry: str, out: str, checkpoint: st
     A batch writes to a folder named by its number, so repeating it after a failure replaces its
     own output and nothing else.
     """
-    held_out = gate_stream(lines.filter(F.col("split") != ops.TRAIN))
+    held_out = gate_stream(lines.filter(F.col("split") != ops.TRAIN)).drop("id")
 
     def write(batch: DataFrame, number: int) -> None:
         seen = batch.sparkSession.read.parquet(registry).select("fp").distinct()
