@@ -195,33 +195,33 @@ def render_epoch_line(spark, sf):
 # --- joins and deduplication -----------------------------------------------------------------
 
 
-def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return refine.clean_pairs(A.pairs(spark, sf))
-
-
 def refine_rows(spark, sf):
     return refinery.refine_stored(A.pairs(spark, sf))
 
 
+def _judged(spark: SparkSession, sf: str) -> DataFrame:
+    return refine.judge_pairs(A.pairs(spark, sf))
+
+
 def reject_reason(spark, sf):
-    return refine.reject_reason(_cleaned(spark, sf))
+    return refine.reject_reason(_judged(spark, sf))
 
 
 def dedup_train_keep_first(spark, sf):
-    train = refine.passed(_cleaned(spark, sf)).filter(F.col("split") == "train")
+    train = refine.gate_pairs(A.pairs(spark, sf).filter("split = 'train'"))
     return refine.dedup_keep_first(train.select("id", "fp"))
 
 
 def cross_split_anti(spark, sf):
-    return refine.cross_split_anti(refinery.store_cleaned(_cleaned(spark, sf))).select("id", "split", "fp")
+    return refine.cross_split_anti(refinery.store_gated(A.pairs(spark, sf))).select("id", "split", "fp")
 
 
 def leakage_pairs(spark, sf):
-    return refine.leakage_pairs(refinery.store_cleaned(_cleaned(spark, sf)))
+    return refine.leakage_pairs(refinery.store_gated(A.pairs(spark, sf)))
 
 
 def refinery_audit(spark, sf):
-    return refine.refinery_audit(_cleaned(spark, sf))
+    return refine.refinery_audit(_judged(spark, sf))
 
 
 def classify_imports(spark, sf):

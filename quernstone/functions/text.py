@@ -76,9 +76,21 @@ def strip_urls(doc: Column) -> Column:
     return F.regexp_replace(doc, f"http[^{WS}]+", "")
 
 
+def _has_any(text: Column, *marks: str) -> Column:
+    found = text.contains(marks[0])
+    for mark in marks[1:]:
+        found = found | text.contains(mark)
+    return found
+
+
 def clean_docstring(doc: Column) -> Column:
-    """First paragraph without tags, doctests and URLs, on one line; a null becomes empty."""
-    body = strip_urls(strip_doctest(strip_doc_tags(first_paragraph(doc))))
+    """First paragraph without tags, doctests and URLs, on one line; a null becomes empty.
+
+    Every tag has a colon or an at sign, so most texts skip the three patterns.
+    """
+    head = first_paragraph(doc)
+    marked = _has_any(doc, ":", "@", ">>>", "http")
+    body = F.when(marked, strip_urls(strip_doctest(strip_doc_tags(head)))).otherwise(head)
     return F.coalesce(collapse_ws(body), F.lit(""))
 
 
@@ -116,8 +128,13 @@ def drop_blank_lines(code: Column) -> Column:
 
 
 def clean_code(code: Column) -> Column:
-    """Source without its first docstring, comments and blank lines; a null becomes empty."""
-    return F.coalesce(drop_blank_lines(strip_comments(strip_first_docstring(code))), F.lit(""))
+    """Source without its first docstring, comments and blank lines; a null becomes empty.
+
+    Without a ``#`` there is no comment to delete, and without a triple quote no docstring.
+    """
+    body = strip_first_docstring(code)
+    kept = F.when(code.contains("#"), strip_comments(body)).when(_has_any(code, '"""', "'''"), body).otherwise(code)
+    return F.coalesce(drop_blank_lines(kept), F.lit(""))
 
 
 # --- gates -----------------------------------------------------------------------------------

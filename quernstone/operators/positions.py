@@ -34,6 +34,11 @@ def _number(
     )
 
 
+def id_bucket(id_col: str, width: int) -> Column:
+    """Range of ``width`` ids that an integer id falls into."""
+    return F.expr(f"`{id_col}` DIV {width}")
+
+
 def positions_by_id(
     df: DataFrame,
     id_col: str,
@@ -46,7 +51,7 @@ def positions_by_id(
     A bucket is a range of ``width`` ids, so it never holds more than ``width`` rows, however many
     rows one group has. For ids with wide gaps pass a larger ``width``.
     """
-    return _number(df, F.floor(F.col(id_col) / width), [id_col], group, name)
+    return _number(df, id_bucket(id_col, width), [id_col], group, name)
 
 
 def positions_by_bucket(

@@ -1,8 +1,9 @@
 """The corpus refinery: clean, gate, deduplicate the training split, keep it out of the others.
 
-Frames carry ``id`` (the order key), ``split``, ``code`` and ``docstring``. Training rows are kept
-first-come per fingerprint; rows of other splits are dropped when a gated training row has their
-fingerprint, and are never compared with each other.
+Raw pairs carry ``id`` (the order key), ``split``, ``code`` and ``docstring``. *Judged* rows are all of
+them, cleaned, with the gate they failed; *gated* rows are those that passed, with a fingerprint.
+Training rows are kept first-come per fingerprint; rows of other splits are dropped when a gated
+training row has their fingerprint, and are never compared with each other.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ def order_key(*columns: str) -> Column:
     return F.struct(*columns)
 
 
-def gate_reason(
-    code_band: tuple[int, int] = T.CODE_WORDS, doc_band: tuple[int, int] = T.DOC_WORDS
-) -> Column:
+def _has_summary(doc: Column) -> Column:
+    return (doc != "") & T.has_alnum(doc)
+
+
+def gate_reason(code_band: tuple[int, int] = T.CODE_WORDS, doc_band: tuple[int, int] = T.DOC_WORDS) -> Column:
     """First gate a cleaned row fails, judged on the row alone; null when it passes all of them.
 
     Short code shares the ``removed_doc`` bucket, and rows without code have a bucket of their own.
@@ -44,51 +47,70 @@ def gate_reason(
     return (
         F.when(F.col("malformed"), "malformed")
         .when(raw.isNull() | (raw == ""), "no_code")
-        .when((doc == "") | ~T.has_alnum(doc), "removed_doc")
+        .when(~_has_summary(doc), "removed_doc")
         .when(~T.min_chars(code), "removed_doc")
         .when(~band, "removed_len")
     )
 
 
-def clean_pairs(
+def _readable(pairs: DataFrame) -> DataFrame:
+    return pairs if "malformed" in pairs.columns else pairs.withColumn("malformed", F.lit(False))
+
+
+def judge_pairs(
     pairs: DataFrame,
     code_band: tuple[int, int] = T.CODE_WORDS,
     doc_band: tuple[int, int] = T.DOC_WORDS,
 ) -> DataFrame:
-    """Cleaned text, first failed gate (null: passed) and fingerprint (null unless passed).
+    """Every row with its cleaned text, first failed gate and, if it failed none, fingerprint.
 
     One projection per step: Catalyst keeps them apart because each expensive column is used more
-    than once, so every regex runs once per row.
+    than once, so every pattern runs once per row.
     """
-    malformed = F.col("malformed") if "malformed" in pairs.columns else F.lit(False)
-    cleaned = pairs.select(
-        "id",
-        "split",
-        F.col("code").alias("raw_code"),
-        malformed.alias("malformed"),
-        T.clean_code(F.col("code")).alias("code"),
-        T.clean_docstring(F.col("docstring")).alias("docstring"),
+    code, doc = F.col("code"), F.col("docstring")
+    cleaned = _readable(pairs).select(
+        "id", "split", "malformed", code.alias("raw_code"),
+        T.clean_code(code).alias("code"), T.clean_docstring(doc).alias("docstring"),
     )
-    counted = cleaned.withColumns(
-        {"code_words": T.word_count(F.col("code")), "doc_words": T.word_count(F.col("docstring"))}
+    counted = cleaned.withColumns({"code_words": T.word_count(code), "doc_words": T.word_count(doc)})
+    judged = counted.select("id", "split", "code", "docstring", gate_reason(code_band, doc_band).alias("reason"))
+    return _settled(judged.withColumn("fp", F.when(F.col("reason").isNull(), T.fingerprint(code))))
+
+
+def gate_pairs(
+    pairs: DataFrame,
+    code_band: tuple[int, int] = T.CODE_WORDS,
+    doc_band: tuple[int, int] = T.DOC_WORDS,
+) -> DataFrame:
+    """Only the rows that pass every gate: ``id, split, code, docstring, fp``.
+
+    Where nobody asks for reasons the order of the gates is free, so the cheap one goes first: code
+    is cleaned only for rows whose summary passes.
+    """
+    code, doc = F.col("code"), F.col("docstring")
+    docs = _readable(pairs).filter(~F.col("malformed") & (code != "")).select(
+        "id", "split", "code", T.clean_docstring(doc).alias("docstring")
     )
-    judged = counted.select(
-        "id", "split", "code", "docstring", gate_reason(code_band, doc_band).alias("reason")
+    summarised = _settled(docs.withColumn("doc_words", T.word_count(doc))).filter(
+        _has_summary(doc) & F.col("doc_words").between(*doc_band)
     )
-    printed = judged.withColumn("fp", F.when(F.col("reason").isNull(), T.fingerprint(F.col("code"))))
-    return _settled(printed)
+    cleaned = summarised.select("id", "split", T.clean_code(code).alias("code"), "docstring")
+    counted = _settled(cleaned.withColumn("code_words", T.word_count(code)))
+    fits = T.min_chars(code) & F.col("code_words").between(*code_band)
+    return _settled(counted.filter(fits).select("id", "split", "code", "docstring", T.fingerprint(code).alias("fp")))
 
 
-def passed(cleaned: DataFrame) -> DataFrame:
-    return cleaned.filter(F.col("reason").isNull()).drop("reason")
+def passed(judged: DataFrame) -> DataFrame:
+    """The gated rows among judged ones."""
+    return judged.filter(F.col("reason").isNull()).drop("reason")
 
 
-def train_registry(cleaned: DataFrame) -> DataFrame:
+def train_registry(gated: DataFrame) -> DataFrame:
     """One row per training fingerprint with the first id that has it.
 
     Combined before the shuffle, so a fingerprint shared by most rows costs one row per task.
     """
-    train = passed(cleaned).filter(F.col("split") == TRAIN)
+    train = gated.filter(F.col("split") == TRAIN)
     return train.groupBy("fp").agg(F.min("id").alias("first_id"))
 
 
@@ -98,32 +120,30 @@ def _is_dupe() -> Column:
     return F.when(F.col("split") == TRAIN, F.col("id") != F.col("first_id")).otherwise(hit)
 
 
-def refine(pairs: DataFrame, **bounds: tuple[int, int]) -> DataFrame:
+def refine(pairs: DataFrame, **bands: tuple[int, int]) -> DataFrame:
     """Refined rows of all splits: ``id, split, code, docstring``."""
-    return refine_cleaned(clean_pairs(pairs, **bounds))
+    return refine_gated(gate_pairs(pairs, **bands))
 
 
-def refine_cleaned(cleaned: DataFrame) -> DataFrame:
-    """The deduplicating half of :func:`refine`, for an already cleaned (or stored) frame.
+def refine_gated(gated: DataFrame) -> DataFrame:
+    """The deduplicating half of :func:`refine`.
 
     The registry has one row per fingerprint, so the text meets it in one join: a broadcast while
     the registry is small, and otherwise a join whose hot fingerprints adaptive execution splits.
     """
-    kept = passed(cleaned).join(train_registry(cleaned), "fp", "left").filter(~_is_dupe())
+    kept = gated.join(train_registry(gated), "fp", "left").filter(~_is_dupe())
     return kept.select("id", "split", "code", "docstring")
 
 
-def reject_reason(cleaned: DataFrame) -> DataFrame:
+def reject_reason(judged: DataFrame) -> DataFrame:
     """Verdict for every row: the failed gate, ``removed_dupe`` or ``kept``.
 
     Rows that failed a gate have no fingerprint. They join on their own id, which matches nothing
     and spreads them evenly instead of piling them up under a null key.
     """
-    rows = cleaned.select(
-        "id", "split", "reason", F.coalesce("fp", F.col("id").cast("string")).alias("fp")
-    )
+    rows = judged.select("id", "split", "reason", F.coalesce("fp", F.col("id").cast("string")).alias("fp"))
     verdict = F.coalesce("reason", F.when(_is_dupe(), "removed_dupe"), F.lit("kept"))
-    joined = rows.join(train_registry(cleaned), "fp", "left")
+    joined = rows.join(train_registry(passed(judged)), "fp", "left")
     return joined.select("id", "split", verdict.alias("reason"))
 
 
@@ -133,26 +153,26 @@ def dedup_keep_first(rows: DataFrame, key: str = "fp", order: str = "id") -> Dat
     return rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def cross_split_anti(cleaned: DataFrame) -> DataFrame:
+def cross_split_anti(gated: DataFrame) -> DataFrame:
     """Gated rows outside the training split whose fingerprint no gated training row has."""
-    held_out = passed(cleaned).filter(F.col("split") != TRAIN)
-    return held_out.join(train_registry(cleaned).select("fp"), "fp", "left_anti")
+    held_out = gated.filter(F.col("split") != TRAIN)
+    return held_out.join(train_registry(gated).select("fp"), "fp", "left_anti")
 
 
-def leakage_pairs(cleaned: DataFrame) -> DataFrame:
+def leakage_pairs(gated: DataFrame) -> DataFrame:
     """The rows :func:`cross_split_anti` removes, each with the training row that it met."""
-    held_out = passed(cleaned).filter(F.col("split") != TRAIN).select("id", "split", "fp")
-    hits = held_out.join(train_registry(cleaned), "fp")
+    held_out = gated.filter(F.col("split") != TRAIN).select("id", "split", "fp")
+    hits = held_out.join(train_registry(gated), "fp")
     return hits.select("id", "split", "fp", F.col("first_id").alias("train_id"))
 
 
-def refinery_audit(cleaned: DataFrame) -> DataFrame:
+def refinery_audit(judged: DataFrame) -> DataFrame:
     """Row counts per split and verdict, in one pass and without touching text after the gates.
 
     Equal rows are counted before the first shuffle; after it there is one row per split and
     fingerprint, so the window that looks for the training split sees a handful of rows per key.
     """
-    counts = cleaned.groupBy("split", "reason", "fp").agg(F.count("*").alias("n"))
+    counts = judged.groupBy("split", "reason", "fp").agg(F.count("*").alias("n"))
     in_train = F.max(F.when(F.col("reason").isNull() & (F.col("split") == TRAIN), 1)).over(
         W.partitionBy("fp")
     )

@@ -213,7 +213,7 @@ def new_best_flag(epochs: DataFrame, run: str = "run_id", width: int = 65_536) -
     A run of any length is cut into blocks of ``width`` epoch numbers. The lowest value of earlier
     blocks comes from a small aggregate, so no task has to walk a whole long run.
     """
-    rows = epochs.withColumn("_block", F.floor(F.col("epoch") / width))
+    rows = epochs.withColumn("_block", F.expr(f"epoch DIV {width}"))
     earlier = W.partitionBy(run).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     before = (
         rows.groupBy(run, "_block").agg(F.min("val_loss").alias("_low"))
@@ -256,7 +256,7 @@ def run_records(run_table: DataFrame, epochs: DataFrame, part_size: int, mode: s
     """Nested run records; a run longer than ``part_size`` epochs continues in further records."""
     duration = F.format_string("%.2fs", "seconds")
     history = (
-        epochs.withColumn("part", F.floor((F.col("epoch") - 1) / part_size).cast("int"))
+        epochs.withColumn("part", F.expr(f"(epoch - 1) DIV {part_size}").cast("int"))
         .groupBy("run_id", "part")
         .agg(F.sort_array(F.collect_list(
             F.struct("epoch", "train_loss", "val_loss", "lr", duration.alias("duration"))

@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quernstone.operators.positions import BUCKET_WIDTH, positions_by_hash, positions_by_id, shuffle_key
+from quernstone.operators.positions import (
+    BUCKET_WIDTH,
+    id_bucket,
+    positions_by_hash,
+    positions_by_id,
+    shuffle_key,
+)
 
 # Rows scored per evaluation depth, and the share of the validation budget.
 SCORING_BUDGETS = {"instant": 100, "fast": 200, "deep": 1000}
@@ -27,7 +33,7 @@ def subset_first_n(rows: DataFrame, n: int, id_col: str = "id", width: int = BUC
     """
     if n <= SMALL_TOP:
         return rows.orderBy(id_col).limit(n)
-    bucketed = rows.withColumn("_bucket", F.floor(F.col(id_col) / width))
+    bucketed = rows.withColumn("_bucket", id_bucket(id_col, width))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
     needed = counts.select(
@@ -58,7 +64,7 @@ def assign_batches(
         placed = positions_by_id(rows, id_col)
     else:
         placed = positions_by_hash(rows, id_col, seed)
-    return placed.withColumn("batch_id", F.floor((F.col("pos") - 1) / batch_size))
+    return placed.withColumn("batch_id", F.expr(f"(pos - 1) DIV {batch_size}"))
 
 
 def audit_suites(rows: DataFrame, custom: DataFrame, n: int = 10, seed: int = 0) -> DataFrame:

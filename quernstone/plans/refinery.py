@@ -9,21 +9,21 @@ from quernstone.session import scratch_path
 from quernstone.sources import jsonl
 
 
-def store_cleaned(cleaned: DataFrame, label: str = "cleaned") -> DataFrame:
-    """Write gated rows once and hand back the stored table.
+def store_gated(pairs: DataFrame, **bands: tuple[int, int]) -> DataFrame:
+    """Write the rows that pass the gates once and hand back the stored table.
 
     Cleaning is the costly part. Both readers of the result, the fingerprint registry and the
     final join, then scan only the columns they need, and a lost executor costs a re-read.
     """
-    path = scratch_path(cleaned.sparkSession, label)
-    ops.passed(cleaned).write.parquet(path)
-    stored = cleaned.sparkSession.read.schema(ops.passed(cleaned).schema).parquet(path)
-    return stored.selectExpr("*", "cast(NULL AS string) AS reason")
+    gated = ops.gate_pairs(pairs, **bands)
+    path = scratch_path(pairs.sparkSession, "gated")
+    gated.write.parquet(path)
+    return pairs.sparkSession.read.schema(gated.schema).parquet(path)
 
 
-def refine_stored(pairs: DataFrame, **bounds: tuple[int, int]) -> DataFrame:
+def refine_stored(pairs: DataFrame, **bands: tuple[int, int]) -> DataFrame:
     """Same rows as :func:`quernstone.operators.refine.refine`, cleaning every text only once."""
-    return ops.refine_cleaned(store_cleaned(ops.clean_pairs(pairs, **bounds)))
+    return ops.refine_gated(store_gated(pairs, **bands))
 
 
 def refine_shards(spark, root: str, out: str, shards: str = jsonl.SHARDS) -> None:

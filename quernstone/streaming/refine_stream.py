@@ -25,7 +25,7 @@ def stream_shards(spark: SparkSession, root: str, shards: str = jsonl.SHARDS) ->
 
 def gate_stream(lines: DataFrame) -> DataFrame:
     """Gated rows ``id, split, code, docstring, fp`` of a stream of raw lines; the id is the file."""
-    return ops.passed(ops.clean_pairs(jsonl.normalize_keys(lines.withColumnRenamed("file", "id"))))
+    return ops.gate_pairs(jsonl.normalize_keys(lines.withColumnRenamed("file", "id")))
 
 
 def refine_train_stream(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -61,8 +61,8 @@ def frame(spark, rows):
 
 
 def verdicts_of(spark, rows):
-    cleaned = refine.clean_pairs(frame(spark, rows))
-    return {r.id: r.reason for r in refine.reject_reason(cleaned).collect()}
+    judged = refine.judge_pairs(frame(spark, rows))
+    return {r.id: r.reason for r in refine.reject_reason(judged).collect()}
 
 
 def test_known_rows(spark):
@@ -85,18 +85,18 @@ def test_all_forms_agree_with_brute_force(spark, seed):
     want = brute(rows)
     kept = {i for i, v in want.items() if v == "kept"}
     pairs = frame(spark, rows)
-    cleaned = refine.clean_pairs(pairs)
+    judged, gated = refine.judge_pairs(pairs), refine.gate_pairs(pairs)
     split = {r[0]: r[1] for r in rows}
     assert verdicts_of(spark, rows) == want
     assert {r.id for r in refine.refine(pairs).collect()} == kept
     assert {r.id for r in refinery.refine_stored(pairs).collect()} == kept
-    assert {r.id for r in refine.cross_split_anti(cleaned).collect()} == {i for i in kept if split[i] != "train"}
-    train = refine.passed(cleaned).filter("split = 'train'")
+    assert {r.id for r in refine.cross_split_anti(gated).collect()} == {i for i in kept if split[i] != "train"}
+    train = refine.passed(judged).filter("split = 'train'")
     assert {r.id for r in refine.dedup_keep_first(train).collect()} == {i for i in kept if split[i] == "train"}
-    leaks = refine.leakage_pairs(cleaned).collect()
+    leaks = refine.leakage_pairs(gated).collect()
     assert {r.id for r in leaks} == {i for i, v in want.items() if v == "removed_dupe" and split[i] != "train"}
     assert all(r.train_id in kept for r in leaks)
-    audit = {r.split: r.asDict() for r in refine.refinery_audit(cleaned).collect()}
+    audit = {r.split: r.asDict() for r in refine.refinery_audit(judged).collect()}
     for name in ("train", "valid", "test"):
         mine = [v for i, v in want.items() if split[i] == name]
         assert audit[name]["total"] == len(mine)
@@ -111,5 +111,5 @@ def test_one_fingerprint_holds_most_rows(spark):
     )
     kept = refine.refine(hot).collect()
     assert [r.id for r in kept] == [1]
-    audit = {r.split: (r.kept, r.removed_dupe) for r in refine.refinery_audit(refine.clean_pairs(hot)).collect()}
+    audit = {r.split: (r.kept, r.removed_dupe) for r in refine.refinery_audit(refine.judge_pairs(hot)).collect()}
     assert audit == {"train": (1, 19_999), "valid": (0, 10_000)}

@@ -34,8 +34,8 @@ def test_two_arrivals_match_one_batch(spark, tmp_path):
     run(spark, tmp_path)
     write(tmp_path, train[60:] + held_out, "late")
     run(spark, tmp_path)
-    cleaned = refine.clean_pairs(frame(spark, rows))
-    kept_train = refine.train_registry(cleaned)
+    gated = refine.gate_pairs(frame(spark, rows))
+    kept_train = refine.train_registry(gated)
     assert fingerprints(spark.read.parquet(f"{tmp_path}/train")) == fingerprints(kept_train)
-    assert fingerprints(spark.read.parquet(f"{tmp_path}/eval")) == fingerprints(refine.cross_split_anti(cleaned))
+    assert fingerprints(spark.read.parquet(f"{tmp_path}/eval")) == fingerprints(refine.cross_split_anti(gated))
     assert jsonl.read_jsonl_shards(spark, f"{tmp_path}/in").count() == len(rows)
