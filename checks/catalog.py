@@ -127,8 +127,10 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _on_texts(**outputs: Column) -> Query:
-    return lambda spark, sf: _texts(spark, sf).select("id", *[c.alias(n) for n, c in outputs.items()])
+def _on_texts(**outputs: Callable[[Column, Column], Column]) -> Query:
+    return lambda spark, sf: _texts(spark, sf).select(
+        "id", *[make(F.col("code"), F.col("doc")).alias(name) for name, make in outputs.items()]
+    )
 
 
 def length_band(spark, sf):
@@ -485,7 +487,6 @@ def refine_stream(spark, sf):
 
 
 def queries() -> dict[str, Query]:
-    code, doc = F.col("code"), F.col("doc")
     return {
         "read_jsonl_shards": read_jsonl_shards,
         "normalize_keys": normalize_keys,
@@ -506,11 +507,11 @@ def queries() -> dict[str, Query]:
         "strip_comments": _on_sources(T.strip_comments),
         "drop_blank_lines": _on_sources(T.drop_blank_lines),
         "clean_code": _on_sources(T.clean_code),
-        "word_count": _on_texts(code_words=T.word_count(code), doc_words=T.word_count(doc)),
-        "has_alnum": _on_texts(has_alnum=T.has_alnum(doc)),
-        "min_chars": _on_texts(min_chars=T.min_chars(code)),
+        "word_count": _on_texts(code_words=lambda code, doc: T.word_count(code), doc_words=lambda code, doc: T.word_count(doc)),
+        "has_alnum": _on_texts(has_alnum=lambda code, doc: T.has_alnum(doc)),
+        "min_chars": _on_texts(min_chars=lambda code, doc: T.min_chars(code)),
         "length_band": length_band,
-        "fingerprint": _on_texts(fp=T.fingerprint(code)),
+        "fingerprint": _on_texts(fp=lambda code, doc: T.fingerprint(code)),
         "reject_reason": reject_reason,
         "clean_docstring_firstline": _on_docs(T.clean_docstring_firstline),
         "debug_filter": debug_filter,
