@@ -34,7 +34,7 @@ def _number(
     )
 
 
-def id_bucket(id_col: str, width: int) -> Column:
+def id_bucket(id_col: str, width: int = BUCKET_WIDTH) -> Column:
     """Range of ``width`` ids that an integer id falls into."""
     return F.expr(f"`{id_col}` DIV {width}")
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quernstone.operators.positions import (
-    BUCKET_WIDTH,
     id_bucket,
     positions_by_hash,
     positions_by_id,
@@ -18,22 +17,22 @@ from quernstone.operators.positions import (
 SCORING_BUDGETS = {"instant": 100, "fast": 200, "deep": 1000}
 VALID_SHARE = 5
 
-SMALL_TOP = 10_000
+TASK_GROUPS = 256
 
 
 def valid_budget(subset: int) -> int:
     return subset // VALID_SHARE
 
 
-def subset_first_n(rows: DataFrame, n: int, id_col: str = "id", width: int = BUCKET_WIDTH) -> DataFrame:
-    """The first ``n`` rows by id.
+def subset_first_n(rows: DataFrame, n: int, id_col: str = "id", bucket: Column | None = None) -> DataFrame:
+    """The first ``n`` rows by id, for any ``n``.
 
-    A small ``n`` is a plain top-n. For a large one that would funnel ``n`` rows per task into one
-    task, so the last needed id range is found from bucket counts and only that range is ranked.
+    A plain top-n would send ``n`` rows of every task to one task. Instead rows are counted per
+    bucket (a range of ids, or any expression whose order agrees with the id, such as file and
+    block of a line); buckets that start before the ``n``-th row are kept, and ranks are needed
+    only within them.
     """
-    if n <= SMALL_TOP:
-        return rows.orderBy(id_col).limit(n)
-    bucketed = rows.withColumn("_bucket", id_bucket(id_col, width))
+    bucketed = rows.withColumn("_bucket", id_bucket(id_col) if bucket is None else bucket)
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
     needed = counts.select(
@@ -51,9 +50,16 @@ def subset_first_n(rows: DataFrame, n: int, id_col: str = "id", width: int = BUC
 def sample_n_per_split(
     rows: DataFrame, n: int = 10, seed: int = 0, split: str = "split", id_col: str = "id"
 ) -> DataFrame:
-    """``min(n, size)`` rows per split, drawn by a seeded hash of the id; each task pre-ranks its own."""
-    rank = F.row_number().over(W.partitionBy(split).orderBy(shuffle_key(id_col, seed), id_col))
-    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    """``min(n, size)`` rows per split, drawn by a seeded hash of the id.
+
+    Each task keeps its own best ``n`` per split, groups of tasks then agree on theirs, and only
+    the winners of the groups meet in one place.
+    """
+    keyed = rows.withColumn("_key", shuffle_key(id_col, seed)).withColumn("_group", F.spark_partition_id() % TASK_GROUPS)
+    for group in ([split, "_group"], [split]):
+        rank = F.row_number().over(W.partitionBy(*group).orderBy("_key", id_col))
+        keyed = keyed.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    return keyed.drop("_key", "_group")
 
 
 def assign_batches(

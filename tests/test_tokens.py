@@ -110,16 +110,25 @@ def test_batches(spark):
     assert plain == {i: i // 32 for i in range(100)}
 
 
-def test_first_rows_small_and_large(spark, monkeypatch):
+@pytest.mark.parametrize("width", [1, 128, 65_536])
+def test_first_rows(spark, width):
     rows = spark.range(0, 3000, 3)
-    want = list(range(0, 600, 3))
-    assert sorted(r.id for r in sampling.subset_first_n(rows, 200).collect()) == want
-    monkeypatch.setattr(sampling, "SMALL_TOP", 10)
-    assert sorted(r.id for r in sampling.subset_first_n(rows, 200, width=128).collect()) == want
-    assert sampling.subset_first_n(rows, 5000, width=128).count() == 1000
+    bucket = positions.id_bucket("id", width)
+    assert sorted(r.id for r in sampling.subset_first_n(rows, 200, bucket=bucket).collect()) == list(range(0, 600, 3))
+    assert sampling.subset_first_n(rows, 5000, bucket=bucket).count() == 1000
+    assert sampling.subset_first_n(rows, 0, bucket=bucket).count() == 0
     assert sampling.valid_budget(20_003) == 4000
 
 
+def test_first_lines_in_file_order(spark):
+    lines = spark.createDataFrame(
+        [(f, b, s) for f in ("x", "a") for b in (0, 64) for s in range(3)], "file string, block long, seq long"
+    ).withColumn("id", F.struct("file", "block", "seq"))
+    got = sampling.subset_first_n(lines, 7, bucket=F.struct("file", "block")).orderBy("id").collect()
+    assert [(r.file, r.block, r.seq) for r in got] == [
+        ("a", 0, 0), ("a", 0, 1), ("a", 0, 2), ("a", 64, 0), ("a", 64, 1), ("a", 64, 2), ("x", 0, 0)]
+
+
 def test_samples_are_bounded_and_repeatable(spark):
     rows = spark.range(50).select("id", F.when(F.col("id") < 4, "test").otherwise("train").alias("split"),
                                   F.lit("c").alias("code"), F.lit("d").alias("docstring"))
