@@ -98,13 +98,14 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LOG_PART = 1000
+LOG_TITLE = r"^RUN (\d+) PART (\d+)"
 
 
 def log_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Log texts per run, in files of at most ``LOG_PART`` epoch lines.
 
-    The timers and the metric block stand in the first file. Every tenth run has no metric block
-    and every 25th no epoch lines.
+    A first line names run and part. The timers and the metric block stand in the first file. Every
+    tenth run has no metric block and every 25th no epoch lines.
     """
     line = R.render_epoch_line(*[F.col(c) for c in ("epoch", "train_loss", "val_loss", "lr", "seconds")])
     bodies = (
@@ -132,8 +133,9 @@ def log_parts(spark: SparkSession, folder: str) -> DataFrame:
     whole = bodies.unionByName(heads).groupBy("run_id", "part").agg(
         F.concat(F.max("head"), F.max("body"), F.lit("\n")).alias("content")
     )
+    title = F.format_string("RUN %d PART %d\n", "run_id", "part")
     path = F.format_string("logs/20240101_000000_run%d_part%d.log", "run_id", "part")
-    return whole.select("run_id", F.col("part").cast("int").alias("part"), path.alias("path"), "content")
+    return whole.select("run_id", F.col("part").cast("int").alias("part"), path.alias("path"), F.concat(title, "content").alias("content"))
 
 
 def metric_rows(spark: SparkSession, folder: str) -> DataFrame:

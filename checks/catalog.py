@@ -69,13 +69,18 @@ def read_metrics(spark, sf):
 
 def _logs(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "logs")
-    runlogs.write_log_texts(A.log_parts(spark, sf), path, ["run_id", "part"])
+    cores = spark.sparkContext.defaultParallelism
+    runlogs.write_log_texts(A.log_parts(spark, sf).repartition(cores, "run_id", "part"), path)
     return path
 
 
+def _title(text: str, group: int) -> Column:
+    return F.regexp_extract(text, A.LOG_TITLE, group)
+
+
 def read_logs(spark, sf):
     logs = runlogs.read_logs(spark, _logs(spark, sf))
-    return logs.select(F.col("run_id").cast("bigint").alias("run_id"), "part", "content")
+    return logs.select(_title("content", 1).cast("bigint").alias("run_id"), _title("content", 2).cast("int").alias("part"), "content")
 
 
 def write_run_records(spark, sf):
@@ -93,18 +98,13 @@ MODULE_DOCS = 64
 
 
 def read_source_files(spark, sf):
-    """A tree of module files of 64 consecutive documents each, part of it in an ignored folder."""
+    """A tree of module files of 64 consecutive documents each, with copies in an ignored folder."""
     path = scratch_path(spark, "tree")
-    docs = A.table(spark, sf, "documents").select(
-        F.col("source").alias("pkg"), F.floor(F.col("doc_id") / MODULE_DOCS).alias("module"), "doc_id", "text"
-    )
-    files = docs.groupBy("pkg", "module").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("d"))
-    folder = F.when(F.expr("module % 4 = 3"), "lib").otherwise("app")
-    tree = files.select(folder.alias("folder"), "pkg", "module", F.array_join("d.text", "\n").alias("text"))
-    for place in ("app", "lib"):
-        part = tree.filter(F.col("folder") == place).drop("folder")
-        part.write.partitionBy("pkg", "module").text(f"{path}/src/{place}")
-        part.write.partitionBy("pkg", "module").text(f"{path}/src/{place}/venv")
+    docs = A.table(spark, sf, "documents").select(F.expr(f"doc_id DIV {MODULE_DOCS}").alias("module"), "doc_id", "text")
+    files = docs.groupBy("module").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("d"))
+    tree = files.select("module", F.array_join("d.text", "\n").alias("text"))
+    for place in ("app", "app/venv/lib"):
+        tree.write.partitionBy("module").text(f"{path}/src/{place}")
     back = sourcetree.read_source_files(spark, path, extension=".txt")
     inside = F.regexp_extract("path", "^src/(.*)/[^/]*$", 1)
     return back.select(inside.alias("folder"), "depth", "length", "source")
@@ -334,8 +334,9 @@ def parse_epochs(spark, sf):
 
 
 def parse_epochs_lenient(spark, sf):
-    lines = runlogs.read_log_lines(spark, _logs(spark, sf)).select(F.col("run_id").cast("bigint").alias("run_id"), "line")
-    return runs.parse_epochs_lenient(lines)
+    lines = runlogs.read_log_lines(spark, _logs(spark, sf))
+    titles = lines.filter(F.col("line").rlike(A.LOG_TITLE)).select("path", _title("line", 1).cast("bigint").alias("run_id"))
+    return runs.parse_epochs_lenient(lines).join(titles, "path").drop("path")
 
 
 def parse_run_metrics(spark, sf):

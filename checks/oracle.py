@@ -131,7 +131,7 @@ heads AS (
          || printf('"rougeL": %.6f,', rougeL) || chr(10) ELSE '' END AS head
   FROM runs),
 logs AS (
-  SELECT run_id, part, coalesce(head, '') || coalesce(body, '') || chr(10) AS content
+  SELECT run_id, part, 'RUN ' || run_id || ' PART ' || part || chr(10) || coalesce(head, '') || coalesce(body, '') || chr(10) AS content
   FROM heads FULL JOIN bodies USING (run_id, part)),
 log_epochs AS (SELECT * FROM epochs WHERE run_id % 25 <> 0)"""
 METRICS = RUNS + """,
@@ -243,11 +243,9 @@ def build() -> dict[str, str]:
         strftime(started, '%Y-%m-%dT%H:%M:%S') AS start_time, printf('%.2fs', total_seconds) AS model_training,
         file, 'fast' AS eval_mode, epoch, train_loss, val_loss, lr, printf('%.2fs', seconds) AS duration
       FROM epochs JOIN runs USING (run_id)""")
-    sql["read_source_files"] = f"""WITH modules AS (
-        SELECT source AS pkg, floor(doc_id / 64.0)::bigint AS module, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS source
-        FROM documents GROUP BY 1, 2)
-      SELECT CASE WHEN module % 4 = 3 THEN 'lib' ELSE 'app' END || '/pkg=' || pkg || '/module=' || module AS folder,
-        5 AS depth, cast(strlen(source) AS bigint) AS length, source FROM modules"""
+    sql["read_source_files"] = """WITH modules AS (
+        SELECT doc_id // 64 AS module, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS source FROM documents GROUP BY 1)
+      SELECT 'app/module=' || module AS folder, 4 AS depth, cast(strlen(source) AS bigint) AS length, source FROM modules"""
 
     # row functions
     def on_docs(name: str, expr: str) -> None:

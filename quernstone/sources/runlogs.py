@@ -16,17 +16,15 @@ def read_metrics(spark: SparkSession, path: str, schema: str = METRIC_SCHEMA) ->
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """One row per log file: ``path, content`` and the directory keys, if any."""
+    """One row per log file: ``path, content``."""
     logs = spark.read.text(path, wholetext=True)
-    keys = [c for c in logs.columns if c != "value"]
-    return logs.select(*keys, F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    return logs.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Log files line by line: ``path, line`` and the directory keys."""
+    """Log files line by line: ``path, line``; a log of any size is read in splits."""
     logs = spark.read.text(path)
-    keys = [c for c in logs.columns if c != "value"]
-    return logs.select(*keys, F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    return logs.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
 
 
 def write_run_records(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -34,6 +32,6 @@ def write_run_records(records: DataFrame, path: str, mode: str = "errorifexists"
     records.write.mode(mode).option("compression", "gzip").json(path)
 
 
-def write_log_texts(logs: DataFrame, path: str, keys: list[str], mode: str = "errorifexists") -> None:
-    """One text file per row, under a directory per key."""
-    logs.select(*keys, "content").write.mode(mode).partitionBy(*keys).option("maxRecordsPerFile", 1).text(path)
+def write_log_texts(logs: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One text file per row with the row's ``content``."""
+    logs.select("content").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
