@@ -113,5 +113,5 @@ def decode(rows: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "text
     ordered = F.sort_array(F.collect_list(F.struct("id", "token")))["token"]
     table = vocab.filter(F.col("id") < MAX_VOCAB).agg(ordered.alias("tokens")).scalar()
     body = F.filter(F.col(ids), lambda i: i >= len(K.SPECIAL_TOKENS))
-    pieces = F.transform(body, lambda i: F.element_at(F.col("_tokens"), i + 1))
+    pieces = F.transform(body, lambda i: F.get(F.col("_tokens"), i))
     return rows.withColumn("_tokens", table).withColumn(out, F.array_join(pieces, " ")).drop("_tokens")

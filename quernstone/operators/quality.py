@@ -35,9 +35,12 @@ def _entry(n: int, gram: Column, hyp: Column, ref: Column) -> Column:
 def _grams(words: str, n: int, in_hyp: int) -> Column:
     """The n-grams of a word array as counted entries; too short an array has none."""
     count = F.size(words) - (n - 1)
+    sides = F.lit(in_hyp), F.lit(1 - in_hyp)
+    if n == 1:
+        return F.transform(words, lambda word: _entry(1, word, *sides)).cast(_ENTRY)
     entries = F.transform(
         F.sequence(F.lit(1), count),
-        lambda i: _entry(n, F.array_join(F.slice(F.col(words), i, F.lit(n)), " "), F.lit(in_hyp), F.lit(1 - in_hyp)),
+        lambda i: _entry(n, F.array_join(F.slice(F.col(words), i, F.lit(n)), " "), *sides),
     )
     return F.when(count >= 1, entries).otherwise(F.array().cast(_ENTRY))
 
