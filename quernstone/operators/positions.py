@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quernstone.session import scratch_path
+
 BUCKET_WIDTH = 65_536
 
 
@@ -70,3 +72,29 @@ def positions_by_hash(df: DataFrame, id_col: str, seed: int, name: str = "pos")
     """1-based position in a seeded shuffle of the rows; 65,536 even buckets by leading digits."""
     rows = df.withColumn("_key", shuffle_key(id_col, seed))
     return _number(rows, F.substring("_key", 1, 4), ["_key", id_col], [], name).drop("_key")
+
+
+def positions_in_order(df: DataFrame, order: Sequence[str], name: str = "pos") -> tuple[DataFrame, int]:
+    """1-based position in the order of any sortable columns, and the number of rows.
+
+    Rows are cut into ranges of ``order`` by sampled bounds, so gaps in the values do no harm. The cut
+    is written once, with each row's place in its range; one count per range (as many as shuffle
+    partitions) gives the offsets. Nulls come first.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (
+        df.repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_range", F.spark_partition_id())
+        .withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    )
+    path = scratch_path(spark, "ranges")
+    placed.write.parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path)
+    offsets, total = [], 0
+    for part, n in sorted(rows.groupBy("_range").count().collect()):
+        offsets.append((part, total))
+        total += n
+    known = F.broadcast(spark.createDataFrame(offsets, "_range int, _offset long"))
+    return rows.join(known, "_range").withColumn(name, F.col("_offset") + F.col("_at") + 1).drop("_range", "_at", "_offset"), total
