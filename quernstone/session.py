@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_packages(spark: SparkSession) -> None:
+    """Send this package to executors that do not share the driver's folders, once per application.
+
+    The archive only has to be readable by the driver; Spark copies it to every executor.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local[") or context.master == "local" or context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quernstone-"), "quernstone.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for package in ("quernstone", "checks"):
+            for folder, _, names in os.walk(os.path.join(root, package)):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        out.write(full, os.path.relpath(full, root))
+    context.addPyFile(archive)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a scan of few, large splits enough partitions to keep all cores busy.
 
