@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from quernstone.session import scratch_path
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 

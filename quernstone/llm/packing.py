@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quernstone.llm.tokens import END_ID, shared_encoder
 
 SEQUENCE = 1024
-GROUP_DOCUMENTS = 8_192
+GROUP_DOCUMENTS = 4_096
 PIECES = "doc_id long, piece int, start long, ids array<int>"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 RULES = ("norm", "dot")
