@@ -23,8 +23,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LEARNED = ("local_phone", "masked_email", "secret")
 LONGEST = 14
 REACH = 16
-SAMPLE = 300
-TURNS = 12
+SAMPLE = 200
+TURNS = 8
 
 Span = tuple[str, int, int]
 
@@ -91,6 +91,10 @@ def _shape(words: Sequence[str]) -> str:
     return "".join(str(min(len(w), 9)) if _number(w) else "a" if w.isalpha() else w for w in words)
 
 
+def _class(word: str) -> str:
+    return "number" if _number(word) else "word" if word[0].isalnum() else word
+
+
 def features(tokens: Sequence[Token], a: int, b: int) -> list[str]:
     """What the field sees of the segment ``tokens[a:b]`` as a whole, and of the word before it."""
     words = [t[0] for t in tokens[a:b]]
@@ -102,11 +106,12 @@ def features(tokens: Sequence[Token], a: int, b: int) -> list[str]:
         out.append(f"shape={_shape(words)}")
     if AT.intersection(lower) and DOT.intersection(lower):
         out.append(f"masked,ends={words[-1].isalpha() and lower[-1] not in DOT | AT},starts={words[0].isalnum() and lower[0] not in AT},dots={lower.count('dot')}")
-        out.append(f"between={min(lower.index('at') , 3)}")
+        out.append("pattern=" + "".join(w if w in AT | DOT or not w[0].isalnum() else "w" for w in lower))
+        out.append(f"tail={lower[-1]}")
     if lower[0] in KEYS and len(words) > 2 and words[1] in "=:":
-        out.append(f"key,tail={min(sum(map(len, words[2:])), 9)},tight={max(gaps) == 0}")
-    out.append(f"first={'d' if words[0][0].isdigit() else 'a' if words[0].isalpha() else words[0]}")
-    out.append(f"last={'d' if words[-1][0].isdigit() else 'a' if words[-1].isalpha() else words[-1]}")
+        out.append(f"key,long={sum(map(len, words[2:])) >= 6},tight={max(gaps) == 0}")
+    out.append(f"first={_class(words[0])}")
+    out.append(f"last={_class(words[-1])}")
     glued_left = a > 0 and tokens[a - 1][2] == tokens[a][1]
     glued_right = b < len(tokens) and tokens[b][1] == tokens[b - 1][2] and tokens[b][0] not in ".,;:!?"
     out.append(f"glued={glued_left},{glued_right}")
@@ -215,13 +220,15 @@ def training_examples(texts: Sequence[str]) -> list[tuple[list[Token], set[tuple
             elif kind == "email":
                 name, _, domain = entity.partition("@")
                 for at, dot in ((" at ", " dot "), (" (at) ", " (dot) "), (" [at] ", " [dot] ")):
-                    short = f"{re.sub('[^A-Za-z0-9]', '', name) or 'x'}{at}{dot.join(domain.split('.')[-2:])}"
-                    out.append(_example(before, short, "masked_email", after))
+                    for own in (re.sub("[^A-Za-z0-9]", "", name), re.sub("[^A-Za-z]", "", name)):
+                        out.append(_example(before, f"{own or 'x'}{at}{dot.join(domain.split('.')[-2:])}", "masked_email", after))
                 out.append(_example(before, f"at {domain.split('.')[0]} and dot", None, after))
                 tail = re.sub("[^A-Za-z0-9]", "", name) + "7f3a9c"
                 for key in ("password=", "token=", "secret=", "key: "):
                     out.append(_example(before, key + tail, "secret" if "=" in key else None, after))
                 out.append(_example(before, f"width={len(name)}", None, after))
+                word = next((w for w in after.split() if w.isalpha()), "now")
+                out.append(_example(before, f"look at it dot {word}", None, after))
             else:
                 out.append(_example(before, digits[:5], None, after))
     return out
@@ -269,14 +276,14 @@ def _field(items: tuple, longest: int) -> Field:
 
 
 def fit_field(docs: DataFrame, text_col: str, id_col: str, sample: int = SAMPLE, turns: int = TURNS) -> Field:
-    """A field learned from at most ``sample`` documents that hold an @ or a +, those with the smallest hashes."""
+    """A field learned from at most ``sample`` stretches around an @ or a +, of as many documents with the smallest hashes."""
     text = F.col(text_col)
     some = docs.filter(text.contains("@") | text.contains("+")).select(F.col(id_col).alias("id"), F.xxhash64(F.lit("field"), id_col).alias("h"))
     chosen = some.filter("id IS NOT NULL").orderBy("h", "id").limit(sample).select("id")
     around = F.regexp_extract_all(text, F.lit(r"((?:\S+\s+){0,5}\S*[@+]\S*(?:\s+\S+){0,8})"), F.lit(1))
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"]).select(F.explode(F.slice(around, 1, 2)).alias("w")).orderBy("w").limit(2 * sample)
-    examples = training_examples([r["w"][:400] for r in rows.collect()])
-    return Field().learn(examples[: 3 * sample], turns)
+    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"]).select(F.explode(F.slice(around, 1, 2)).alias("w"))
+    few = rows.distinct().orderBy(F.xxhash64("w"), "w").limit(sample)
+    return Field().learn(training_examples([r["w"][:400] for r in few.collect()])[: 3 * sample], turns)
 
 
 def _finder(items: tuple, longest: int):
