@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import catalog, oracle
 from checks.compare import compare
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in catalog.queries()}
+SQL = oracle.build()
 
 
 def test_every_statement_belongs_to_a_query():
