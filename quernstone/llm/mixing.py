@@ -14,6 +14,7 @@ from quernstone.operators.positions import positions_in_order
 # Fixed value: what counts as a word.
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 65_536
+TURNS = 3
 SEED = 271
 
 
@@ -95,27 +96,48 @@ def mixing_rules(
     totals = levels.groupBy("_source").agg(F.sum("words").alias("s"))
     plan = stored(_copies(levels, source_targets(totals, weights, share, cap), cap), "copies")
     ranked = _ranked(narrow.join(plan, ["_source", "_level"])).filter("part > 0")
+    left = stored(ranked.select("_source", "bucket", "place", "_size", F.col("need").alias("gap")), "ranked")
+    rules = plan.drop("need")
+    for turn in range(TURNS):
+        cut = stored(_fitting(left), f"cut-{turn}")
+        rules = rules.join(cut.select("_source", F.col("upto").alias(f"upto{turn}"), F.col("limit").alias(f"limit{turn}")), "_source", "left")
+        passed = left.drop("gap").join(cut, "_source").filter("upto IS NULL OR place > upto OR _size > limit")
+        left = passed.select("_source", "bucket", "place", "_size", "gap").filter("_size <= gap" if turn < TURNS - 1 else "_size < 2 * gap")
+    extra = left.groupBy("_source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("_size")).alias("off"), "place"))["place"].alias("extra"))
+    return stored(rules.join(extra, "_source", "left"), "rules")
+
+
+def _fitting(rows: DataFrame) -> DataFrame:
+    """Per source, how far its rows in order of ``place`` fit into ``gap`` words, and what is left then.
+
+    Words are summed over ranges of the ratio first; a running sum over rows is needed in one range only.
+    """
     before = W.partitionBy("_source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     edge = (
-        ranked.groupBy("_source", "bucket").agg(F.sum("_size").alias("words"), F.first("need").alias("need"))
+        rows.groupBy("_source", "bucket").agg(F.sum("_size").alias("words"), F.first("gap").alias("limit"))
         .withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-        .filter("before <= need")
-        .groupBy("_source").agg(F.max(F.struct("bucket", "before")).alias("edge"))
-        .select("_source", F.col("edge.bucket").alias("edge"), F.col("edge.before").alias("before"))
+        .filter("before <= limit")
+        .groupBy("_source").agg(F.max(F.struct("bucket", "before")).alias("edge"), F.first("limit").alias("limit"))
+        .select("_source", "limit", F.col("edge.bucket").alias("edge"), F.col("edge.before").alias("before"))
     )
-    near = stored(ranked.join(stored(edge, "edge"), "_source").select("_source", "need", "bucket", "edge", "before", "place", "_size"), "ranked")
+    known = stored(edge, "edge")
+    near = rows.join(known, "_source")
     running = F.sum("_size").over(W.partitionBy("_source").orderBy("place").rowsBetween(W.unboundedPreceding, 0))
-    inside = near.filter("bucket = edge").withColumn("words", F.col("before") + running).filter("words <= need")
-    last = inside.groupBy("_source").agg(F.max("place").alias("upto"), F.max("words").alias("got"))
-    cut = stored(
-        near.groupBy("_source").agg(F.first("need").alias("need"), F.first("before").alias("before"), F.max(F.when(F.col("bucket") < F.col("edge"), F.col("place"))).alias("lower"))
-        .join(last, "_source", "left")
-        .select("_source", F.coalesce("upto", "lower").alias("upto"), (F.col("need") - F.coalesce("got", "before")).alias("gap")),
-        "cut",
+    inside = near.filter("bucket = edge").withColumn("words", F.col("before") + running).filter("words <= limit")
+    last = inside.groupBy("_source").agg(F.max("place").alias("at"), F.max("words").alias("got"))
+    lower = near.filter("bucket < edge").groupBy("_source").agg(F.max("place").alias("lower"))
+    return known.join(last, "_source", "left").join(lower, "_source", "left").select(
+        "_source", F.coalesce("at", "lower").alias("upto"), "limit", (F.col("limit") - F.coalesce("got", "before")).alias("gap")
     )
-    left = near.join(cut, "_source").filter("(upto IS NULL OR place > upto) AND _size < 2 * gap")
-    extra = left.groupBy("_source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("_size")).alias("off"), "place"))["place"].alias("extra"))
-    return stored(plan.join(cut.drop("gap"), "_source", "left").join(extra, "_source", "left"), "rules")
+
+
+def _drawn() -> Column:
+    """Whether a document is among those that a turn has taken, or the one added at the end."""
+    taken = F.col("place") == F.col("extra")
+    for turn in range(TURNS):
+        fits = (F.col("place") <= F.col(f"upto{turn}")) & (F.col("_size") <= F.col(f"limit{turn}"))
+        taken = F.coalesce(taken, F.lit(False)) | F.coalesce(fits, F.lit(False))
+    return taken & (F.col("part") > 0)
 
 
 def _ranked(joined: DataFrame) -> DataFrame:
@@ -142,8 +164,10 @@ def mix_sources(
     ``share`` times all words; no target exceeds ``cap`` times its source. In a source a document of
     level ``l`` (binary digits of its word count) expects ``min(cap, c * (1 + l))`` copies, with ``c``
     such that the words meet the target. The whole part is certain. For the fraction, documents are
-    ranked by random odds over inclusion odds and taken in that order while they fit into the words that
-    are missing; one more, the closest in size to what is left, is added if that brings the source nearer.
+    ranked by random odds over inclusion odds and taken in that order until the words that are missing
+    are reached. Where a long one would exceed them it is passed over and shorter ones further down fill
+    the rest, in ``TURNS`` turns altogether; one more, the closest in size to what is left then, is added
+    if that brings the source nearer.
     Running sums are built over 65,536 ranges of the ratio and inside one of them, so no source, however
     large, meets in one task. Decisions rest on one small table of rules, to which documents are joined.
 
@@ -152,8 +176,7 @@ def mix_sources(
     """
     rules = mixing_rules(docs, id_col, text_col, source_col, weights, share, cap, seed)
     joined = _ranked(described(docs, id_col, text_col, source_col, seed).join(rules, ["_source", "_level"]))
-    drawn = F.coalesce((F.col("place") <= F.col("upto")) | (F.col("place") == F.col("extra")), F.lit(False)) & (F.col("part") > 0)
-    copies = (F.col("whole") + drawn.cast("long")).cast("long")
+    copies = (F.col("whole") + _drawn().cast("long")).cast("long")
     return joined.select(
         "_row", F.col("_size").alias("size"), F.col("s").cast("long").alias("source_size"), "target", copies.alias("copies"),
         (copies * F.col("_size")).alias("taken"),

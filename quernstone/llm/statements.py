@@ -111,24 +111,36 @@ levels AS (
 ), ranked AS (
   SELECT d.doc_id, d.size, p.*, CASE WHEN part > 0 THEN u / (1 - u) * ((1 - part) / part) END AS ratio
   FROM leveled d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source AND d.level = p.level
-), running AS (
-  SELECT *, CASE WHEN part > 0 THEN sum(size) FILTER (WHERE part > 0) OVER (PARTITION BY source ORDER BY ratio NULLS LAST, doc_id, size ROWS UNBOUNDED PRECEDING) END AS upto
-  FROM ranked
-), gap AS (SELECT source, any_value(need) - coalesce(max(upto) FILTER (WHERE upto <= need), 0) AS gap FROM running GROUP BY source),
+), left0 AS (SELECT doc_id, source, size, ratio, need AS gap FROM ranked WHERE part > 0),
+{{turns}}
 spare AS (
-  SELECT r.doc_id, r.source, row_number() OVER (PARTITION BY r.source ORDER BY abs(g.gap - size), ratio, doc_id) AS n
-  FROM running r JOIN gap g ON r.source IS NOT DISTINCT FROM g.source WHERE part > 0 AND upto > need AND size < 2 * g.gap
-)
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY abs(gap - size), ratio, doc_id) AS n FROM left{{last}} WHERE size < 2 * gap
+), drawn AS (SELECT doc_id, source FROM spare WHERE n = 1 {{taken}})
 SELECT r.doc_id, r.size, r.s AS source_size, r.target,
-  CAST((whole + CASE WHEN part > 0 AND (upto <= need OR x.doc_id IS NOT NULL) THEN 1 ELSE 0 END) * r.size AS BIGINT) AS taken
-FROM running r LEFT JOIN spare x ON x.n = 1 AND x.doc_id = r.doc_id AND x.source IS NOT DISTINCT FROM r.source
+  CAST((whole + CASE WHEN x.doc_id IS NOT NULL THEN 1 ELSE 0 END) * r.size AS BIGINT) AS taken
+FROM ranked r LEFT JOIN drawn x ON x.doc_id = r.doc_id AND x.source IS NOT DISTINCT FROM r.source
 """
 
+MIX_TURN = """
+running{0} AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY ratio, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM left{0} WHERE size <= gap OR {0} = 0
+), got{0} AS (SELECT source, coalesce(max(upto) FILTER (WHERE upto <= gap), 0) AS got FROM running{0} GROUP BY source),
+left{1} AS (
+  SELECT r.doc_id, r.source, r.size, r.ratio, r.gap - g.got AS gap FROM left{0} r JOIN got{0} g ON r.source IS NOT DISTINCT FROM g.source
+  WHERE NOT EXISTS (SELECT 1 FROM running{0} t WHERE t.doc_id = r.doc_id AND t.source IS NOT DISTINCT FROM r.source AND t.upto <= t.gap)
+),"""
+
+
+def mix_sources() -> str:
+    turns = "\n".join(MIX_TURN.format(k, k + 1) for k in range(mixing.TURNS))
+    taken = " ".join(f"UNION ALL SELECT doc_id, source FROM running{k} WHERE upto <= gap" for k in range(mixing.TURNS))
+    return MIX_SOURCES.replace("{turns}", turns).replace("{last}", str(mixing.TURNS)).replace("{taken}", taken)
+
 
 def build() -> dict[str, str]:
     return {
         "op1_near_vectors": NEAR_VECTORS,
-        "op2_mix_sources": MIX_SOURCES,
+        "op2_mix_sources": mix_sources(),
         "op5_vector_search": VECTOR_SEARCH,
         "op7_line_windows": LINE_WINDOWS,
         "op8_minhash": MINHASH,
