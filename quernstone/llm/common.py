@@ -6,7 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from quernstone.session import scratch_path
 
@@ -26,6 +27,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """:func:`stored`, and aggregates over the rows that come with the writing itself."""
+    seen = Observation()
+    out = stored(df.observe(seen, *[c.alias(name) for name, c in figures.items()]), label)
+    return out, seen.get
+
+
+def apart(df: DataFrame, *keys: str) -> DataFrame:
+    """``df``, an aggregate by ``keys``, dealt out once more by a hash of them.
+
+    A join on ``keys`` then needs an exchange on either side, as with stored tables, and adaptive
+    execution can split the other side where a key is hot; it leaves a bare aggregate's key whole.
+    """
+    return df.repartition(F.xxhash64(*keys))
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`stored`, once nothing reads it any more."""
     jvm = df.sparkSession._jvm

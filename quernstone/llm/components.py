@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps (Kiveris et al., 2014).
 
-Every step is a grouped minimum and an equi-join of tables written in between. The minimum combines
-inside each task first; the join meets two plain scans, so a hub that holds a third of all edges is
-split by adaptive execution. Nothing about the graph reaches the driver but two numbers per round.
+Every step is a grouped minimum and an equi-join. The minimum combines inside each task first and is
+dealt out apart from the join, so a hub that holds a third of all edges is split by adaptive execution.
+Nothing about the graph reaches the driver but two numbers per round.
 """
 
 from __future__ import annotations
@@ -10,29 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import forget, stored
-
-
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(hi, lo))")).first())
+from quernstone.llm.common import apart, forget, stored, stored_with
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-    least = stored(both.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-    joined = edges.join(least, edges["lo"] == least["u"])
-    out = stored(joined.select("hi", F.col("m").alias("lo")).distinct(), "large-star")
-    forget(least)
-    return out
+    least = both.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m")).select("u", F.least("u", "m").alias("m"))
+    joined = edges.join(apart(least, "u"), F.col("lo") == F.col("u"))
+    return joined.select("hi", F.col("m").alias("lo")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = stored(edges.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m")), "least")
-    joined = edges.join(least, edges["hi"] == least["u"])
+    least = edges.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
+    joined = edges.join(apart(least, "u"), F.col("hi") == F.col("u"))
     moved = joined.filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-    out = stored(moved.unionByName(least.toDF("hi", "lo")).distinct(), "small-star")
-    forget(least)
-    return out
+    return moved.unionByName(least.toDF("hi", "lo")).distinct()
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -43,14 +35,14 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     edges give no rows.
     """
     pairs = edges.select(F.greatest(a, b).cast("long").alias("hi"), F.least(a, b).cast("long").alias("lo"), F.col(a).isNull().alias("x"), F.col(b).isNull().alias("y"))
-    now = stored(pairs.filter("NOT x AND NOT y AND hi <> lo").select("hi", "lo").distinct(), "edges")
-    mark = _mark(now)
-    while mark[0]:
-        large = _large_star(now)
+    marks = {"n": F.count("*"), "x": F.expr("bit_xor(xxhash64(hi, lo))")}
+    now, mark = stored_with(pairs.filter("NOT x AND NOT y AND hi <> lo").select("hi", "lo").distinct(), "edges", **marks)
+    while mark["n"]:
+        large = stored(_large_star(now), "large-star")
         forget(now)
-        now = _small_star(large)
+        before = mark
+        now, mark = stored_with(_small_star(large), "small-star", **marks)
         forget(large)
-        before, mark = mark, _mark(now)
         if before == mark:
             break
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))

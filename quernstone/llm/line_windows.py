@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import stored
+from quernstone.llm.common import apart, stored
 
 WINDOW = 3
 # Fixed value: what makes a line count.
@@ -79,16 +79,16 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "do
         .select("w.h1", "w.h2", F.struct("_doc", "_copy", F.col("w.j").alias("j")).alias("place")),
         "windows",
     )
-    again = stored(
+    again = apart(
         places.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last")).filter("first <> last")
         .select("h1", "h2", "first"),
-        "repeated",
+        "h1", "h2",
     )
     later = (
         places.join(again, ["h1", "h2"]).filter("place > first")
         .groupBy("place._doc", "place._copy").agg(F.sort_array(F.collect_set("place.j")).alias("starts"))
     )
-    joined = keyed.join(stored(later, "cuts"), ["_doc", "_copy"], "left")
+    joined = keyed.join(later, ["_doc", "_copy"], "left")
     hit = F.col("starts").isNotNull()
     cut = _without(window)(F.when(hit, F.col("_text")).otherwise(F.lit("")), F.coalesce("starts", F.array().cast("array<int>")))
     own = F.coalesce(F.size(F.filter(F.split("_text", "\n"), lambda line: line.rlike(VISIBLE))), F.lit(0))

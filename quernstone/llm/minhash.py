@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import mix64, stored
+from quernstone.llm.common import apart, mix64, stored, stored_with
 from quernstone.llm.components import connected_components
 from quernstone.llm.shingles import WORDS, shingle_sets
 
@@ -116,7 +116,7 @@ def _candidates(member: DataFrame, turn: int, hubs: int, percent: int) -> DataFr
     """Star edges from a few hubs of each bucket to its members of other components."""
     order = [F.struct(F.xxhash64(F.lit(turn * hubs + k), "rep").alias("h"), "rep", "comp", "n") for k in range(hubs)]
     chosen = member.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(o) for o in order])).alias("hubs"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-    centre = stored(chosen.filter("c1 <> c2").select("bucket", "hubs"), "hubs")
+    centre = apart(chosen.filter("c1 <> c2").select("bucket", "hubs"), "bucket")
     edges = member.join(centre, "bucket").select("rep", "comp", "n", F.explode("hubs").alias("hub"))
     small, large = F.least("n", F.col("hub.n")), F.greatest("n", F.col("hub.n"))
     return edges.filter((F.col("hub.comp") != F.col("comp")) & (100 * small >= percent * large)).select(
@@ -124,6 +124,26 @@ def _candidates(member: DataFrame, turn: int, hubs: int, percent: int) -> DataFr
     ).distinct()
 
 
+def _labelled(member: DataFrame, roots: DataFrame) -> DataFrame:
+    renamed = roots.select(F.col("node").alias("rep"), F.col("component").alias("_new"))
+    return member.join(renamed, "rep", "left").withColumn("comp", F.coalesce("_new", "comp")).drop("_new")
+
+
+def _merged(member: DataFrame, roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Roots after further links: only the components that these join are solved anew."""
+    if roots is None:
+        return connected_components(links, "hi", "lo")
+
+    def lifted(end: str) -> DataFrame:
+        return roots.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
+
+    between = links.join(lifted("hi"), "hi", "left").join(lifted("lo"), "lo", "left")
+    moved = connected_components(between.select(F.coalesce("c_hi", "hi").alias("a"), F.coalesce("c_lo", "lo").alias("b")), "a", "b")
+    up = moved.select(F.col("node").alias("component"), F.col("component").alias("_new"))
+    old = roots.join(up, "component", "left").select("node", F.coalesce("_new", "component").alias("component"))
+    return stored(old.unionByName(moved.select("node", "component")).groupBy("node").agg(F.min("component").alias("component")), "roots")
+
+
 def near_classes(
     docs: DataFrame, percent: int = 85, words: int = WORDS, rows: int = ROWS, miss: float = MISS, hubs: int = HUBS,
     id_col: str = "doc_id", text_col: str = "text", seed: int = SEED,
@@ -149,37 +169,34 @@ def near_classes(
         sketch.filter(usable).groupBy(*shape).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes"
     )
     placed = classes.select("rep", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "value")).select(
-        "rep", "n", F.xxhash64("band", "value").alias("bucket")
+        "rep", "n", F.xxhash64("band", "value").alias("bucket"), F.col("rep").alias("comp")
     )
     crowded = placed.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1").select("bucket")
-    member = stored(placed.join(stored(crowded, "buckets"), "bucket"), "members")
-    near = stored(member.select("rep").distinct(), "involved")
+    member = stored(placed.join(apart(crowded, "bucket"), "bucket"), "members")
+    near = apart(member.select("rep").distinct(), "rep")
     items = stored(
         text.join(near.withColumnRenamed("rep", "doc_id"), "doc_id").select(F.col("doc_id").alias("rep"), "text")
         .mapInArrow(_full_sets(words), SETS), "sets"
     )
     linked = _confirm(percent)
     spark = docs.sparkSession
-    edges = spark.createDataFrame([], "hi long, lo long")
-    checked = edges
-    roots = spark.createDataFrame([], "node long, component long")
+    checked = spark.createDataFrame([], "hi long, lo long")
+    roots = None
     turn = 0
     while True:
-        now = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
-        pairs = _candidates(now, turn, hubs, percent).join(checked, ["hi", "lo"], "left_anti")
-        with_lo = pairs.join(items.toDF("lo", "b"), "lo")
-        both = with_lo.join(items.toDF("hi", "a"), "hi")
-        result = stored(both.select("hi", "lo", linked("a", "b").alias("link")), "pairs")
-        found, links = result.agg(F.count("*"), F.count(F.when(F.col("link"), 1))).first()
-        if not found:
-            break
+        pairs = _candidates(member, turn, hubs, percent).join(checked, ["hi", "lo"], "left_anti")
+        both = pairs.join(items.toDF("lo", "b"), "lo").join(items.toDF("hi", "a"), "hi")
+        result, seen = stored_with(
+            both.select("hi", "lo", linked("a", "b").alias("link")), "pairs", found=F.count("*"), links=F.count(F.when(F.col("link"), 1))
+        )
         checked = checked.unionByName(result.select("hi", "lo"))
-        edges = edges.unionByName(result.filter("link").select("hi", "lo"))
         turn += 1
-        if links:
-            roots = connected_components(edges, "hi", "lo")
-        elif turn > 1:
+        if seen["links"]:
+            roots = _merged(member, roots, result.filter("link"))
+            member = stored(_labelled(member, roots), "members")
+        elif not seen["found"] or turn > 1:
             break
+    roots = roots or spark.createDataFrame([], "node long, component long")
     solved = stored(
         classes.select(*shape, "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .select(*shape, F.coalesce("component", "rep").alias("component")), "solved",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import stored
+from quernstone.llm.common import apart, stored
 from quernstone.operators.positions import positions_in_order
 
 # Fixed value: what counts as a word.
@@ -120,7 +120,7 @@ def _fitting(rows: DataFrame) -> DataFrame:
         .groupBy("_source").agg(F.max(F.struct("bucket", "before")).alias("edge"), F.first("limit").alias("limit"))
         .select("_source", "limit", F.col("edge.bucket").alias("edge"), F.col("edge.before").alias("before"))
     )
-    known = stored(edge, "edge")
+    known = apart(edge, "_source")
     near = rows.join(known, "_source")
     running = F.sum("_size").over(W.partitionBy("_source").orderBy("place").rowsBetween(W.unboundedPreceding, 0))
     inside = near.filter("bucket = edge").withColumn("words", F.col("before") + running).filter("words <= limit")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import key_runs, stored
+from quernstone.llm.common import apart, key_runs, stored
 from quernstone.llm.components import connected_components
 
 BITS = 14
@@ -153,7 +153,7 @@ def near_vectors(
     )
     bucket = ["t", "bucket", "dim", "kind"]
     placed = classes.select("k1", "k2", "dim", "kind", F.posexplode("hashes").alias("t", "bucket"))
-    crowded = stored(placed.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    crowded = apart(placed.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1"), *bucket)
     chunks = F.ceil(F.col("n") / block)
     member = (
         placed.join(crowded, bucket)
