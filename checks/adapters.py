@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions import runs as R
 from quernstone.operators.positions import positions_by_id
-from quernstone.session import spread
+from quernstone.session import stored
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,7 +15,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    """Ids and texts, dealt out by id: the given tables are single files that one task would read."""
+    return table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id")
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,11 +30,12 @@ def pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def noisy_docs(spark: SparkSession, folder: str) -> DataFrame:
-    """Docstrings with a URL, a tag line, a doctest line and a second paragraph."""
+    """Whole texts with a URL, a tag line and a doctest line after their first line, and a second paragraph."""
     return documents(spark, folder).selectExpr(
         "doc_id AS id",
         """split_part(text, chr(10), 1) || ' see http://x.example/' || cast(doc_id AS string) || ' now' || chr(10)
-           || ':param p: thing' || chr(10) || '>>> run(' || cast(doc_id AS string) || ')' || chr(10) || chr(10)
+           || ':param p: thing' || chr(10) || '>>> run(' || cast(doc_id AS string) || ')' || chr(10)
+           || CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END || chr(10) || chr(10)
            || 'Second paragraph' AS docstring""",
     )
 
@@ -43,7 +45,7 @@ def sources(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"
     )
-    return spread(lines, "l_orderkey", "l_linenumber", "l_partkey").selectExpr(
+    return lines.repartition("l_orderkey", "l_linenumber", "l_partkey").selectExpr(
         "l_orderkey * 10 + l_linenumber AS id",
         """'src/m' || cast(l_orderkey % 50 AS string) || '/f' || cast(l_orderkey AS string) || '_'
            || cast(l_linenumber AS string) || '.py' AS path""",
@@ -215,27 +217,32 @@ def scored_pairs(refined: DataFrame) -> DataFrame:
 
 
 def word_table(refined: DataFrame) -> DataFrame:
-    """Word ids from 4 on over the training docstrings: commonest first, equals by hash."""
+    """Word ids from 4 on over the training pairs: commonest first, equals by hash."""
     from quernstone.functions import text as T
-    from quernstone.operators.positions import positions_by_bucket
+    from quernstone.operators.positions import positions_in_order
 
     train = refined.filter(F.col("split") == "train")
-    counts = train.select(F.explode(T.split_words(F.col("docstring"))).alias("token")).groupBy("token").agg(
-        F.count("*").alias("n")
-    )
-    hashed = counts.withColumn("h", F.md5("token"))
-    ranked = positions_by_bucket(
-        hashed, F.struct((-F.col("n")).alias("c"), F.substring("h", 1, 3).alias("h")), [F.desc("n"), "h"]
-    )
-    return ranked.select((F.col("pos") + 3).cast("int").alias("id"), "token")
+    words = F.explode(F.concat(T.split_words(F.col("docstring")), T.split_words(F.col("code"))))
+    counts = train.select(words.alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    hashed = counts.select("token", (-F.col("n")).alias("c"), F.md5("token").alias("h"))
+    ranked, _ = positions_in_order(hashed, ["c", "h"])
+    return stored(ranked.select((F.col("pos") + 3).cast("int").alias("id"), "token"), "words")
+
 
+def word_ids(refined: DataFrame, table: DataFrame) -> DataFrame:
+    """``id, split, code_ids, doc_ids``: both sides as arrays of word ids; words unseen in training are 3.
 
-def word_ids(refined: DataFrame) -> DataFrame:
-    """Docstrings as arrays of word ids; words unseen in training are 3."""
+    The table is a stored one, so a word that fills a third of all text is split over tasks by the join.
+    """
     from quernstone.functions import text as T
 
-    words = refined.select("id", "split", F.posexplode(T.split_words(F.col("docstring"))).alias("at", "token"))
-    table = word_table(refined).withColumnRenamed("id", "token_id")
-    coded = words.join(table, "token", "left").withColumn("token_id", F.coalesce("token_id", F.lit(3)))
-    ordered = F.sort_array(F.collect_list(F.struct("at", "token_id")))
-    return coded.groupBy("id", "split").agg(ordered["token_id"].alias("ids"))
+    sides = F.array(*[
+        F.struct(F.lit(side).alias("side"), T.split_words(F.col(column)).alias("words")) for side, column in (("c", "code"), ("d", "docstring"))
+    ])
+    words = refined.select("id", "split", F.explode(sides).alias("s")).select("id", "split", "s.side", F.posexplode("s.words").alias("at", "token"))
+    coded = words.join(table.withColumnRenamed("id", "token_id"), "token", "left").withColumn("token_id", F.coalesce("token_id", F.lit(3)))
+
+    def ids(side: str) -> Column:
+        return F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("at", "token_id"))))["token_id"]
+
+    return coded.groupBy("id", "split").agg(ids("c").alias("code_ids"), ids("d").alias("doc_ids"))

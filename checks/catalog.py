@@ -13,7 +13,7 @@ from quernstone.functions import text as T
 from quernstone.functions import tokens as K
 from quernstone.operators import codeindex, encoding, quality, refine, runs, sampling, vocab
 from quernstone.plans import evaluation, refinery
-from quernstone.session import scratch_path
+from quernstone.session import scratch_path, stored
 from quernstone.sources import jsonl, runlogs, sourcetree
 from quernstone.streaming import refine_stream as stream
 
@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = "*.txt.gz"
 SEED = 7
 BATCH = 32
+EVALUATED = 300
 
 
 # --- sources and sinks -----------------------------------------------------------------------
@@ -144,8 +145,8 @@ def debug_filter(spark, sf):
 
 
 def detok_cleanup(spark, sf):
-    marked = F.replace("docstring", F.lit(" "), F.lit(" Ġ"))
-    return A.pairs(spark, sf).select("id", T.detok_cleanup(marked).alias("text"))
+    marked = F.replace("text", F.lit(" "), F.lit(" Ġ"))
+    return A.documents(spark, sf).select(F.col("doc_id").alias("id"), T.detok_cleanup(marked).alias("text"))
 
 
 def audit_line(spark, sf):
@@ -206,7 +207,7 @@ def _judged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reject_reason(spark, sf):
-    return refine.reject_reason(_judged(spark, sf))
+    return refine.reject_reason(refinery.store_judged(A.pairs(spark, sf)))
 
 
 def dedup_train_keep_first(spark, sf):
@@ -215,11 +216,11 @@ def dedup_train_keep_first(spark, sf):
 
 
 def cross_split_anti(spark, sf):
-    return refine.cross_split_anti(refinery.store_gated(A.pairs(spark, sf))).select("id", "split", "fp")
+    return refine.cross_split_anti(refinery.store_gated(A.pairs(spark, sf), "id", "split", "fp"))
 
 
 def leakage_pairs(spark, sf):
-    return refine.leakage_pairs(refinery.store_gated(A.pairs(spark, sf)))
+    return refine.leakage_pairs(refinery.store_gated(A.pairs(spark, sf), "id", "split", "fp"))
 
 
 def refinery_audit(spark, sf):
@@ -251,7 +252,7 @@ def rouge_l_mean_stemmed(spark, sf):
 
 
 def loss_perplexity(spark, sf):
-    rows = _scored(spark, sf)
+    rows = stored(_scored(spark, sf).select("run", "ref"), "scored")
     losses = quality.unigram_losses(rows, rows.filter(F.col("run") == "train"), "ref", ["run"])
     scored = quality.loss_perplexity(losses, ["run"], weight="n")
     return scored.select("run", F.round("loss", 6).alias("loss"), "n_tokens", F.round("perplexity", 4).alias("perplexity"))
@@ -272,10 +273,12 @@ def batch_predict(spark, sf):
 
 
 def evaluation_report(spark, sf):
-    rows = refine_rows(spark, sf)
-    model = F.when(F.col("split") == "train", "transformer").when(F.col("split") == "valid", "lstm_dotproduct")
-    named = rows.withColumn("file", F.format_string("20240101_0000_%s_sub20000.pt", model.otherwise("lstm_bahdanau")))
-    report = evaluation.evaluate(named, quality.keyword_scorer(), stemmed=False)
+    """Two runs scored on the same rows: the first 300 refined ones."""
+    scorers = {
+        "20240101_0000_transformer_sub20000.pt": quality.keyword_scorer(12),
+        "20240102_0000_lstm_dotproduct_sub50000.pt": quality.keyword_scorer(5),
+    }
+    report = evaluation.evaluate(refine_rows(spark, sf), scorers, EVALUATED, stemmed=False)
     return report.withColumns({c: F.round(c, 6) for c in ("bleu", "rougeL", "loss", "perplexity")})
 
 
@@ -296,19 +299,16 @@ def mean_epoch_seconds(spark, sf):
     return mean.withColumn("mean_epoch_seconds", F.round("mean_epoch_seconds", 6))
 
 
-SUBSETS = (0, 20000, 50000, 70000)
-
-
 def metric_matrix(spark, sf):
-    return runs.metric_matrix(A.metric_rows(spark, sf), "bleu", SUBSETS)
+    return runs.metric_matrix(A.metric_rows(spark, sf), "bleu")
 
 
 def metric_matrix_mean_epoch(spark, sf):
-    return runs.metric_matrix(runs.metric_features(A.metric_rows(spark, sf)), "mean_epoch", SUBSETS)
+    return runs.metric_matrix(runs.metric_features(A.metric_rows(spark, sf)), "mean_epoch")
 
 
 def phase_durations(spark, sf):
-    return runs.phase_durations(A.log_parts(spark, sf), ["model_training", "evaluation_fast"])
+    return runs.phase_durations(A.log_parts(spark, sf))
 
 
 def model_subset_domains(spark, sf):
@@ -343,9 +343,19 @@ def parse_run_metrics(spark, sf):
     return runs.parse_run_metrics(A.log_parts(spark, sf)).select("run_id", "part", "name", "bleu", "rougeL")
 
 
+def _summary(logs: DataFrame, part_size: int = 0) -> DataFrame:
+    entries = F.array_sort(F.map_entries("phases"))
+    text = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.2f", e["value"]))), ",")
+    return runs.run_summary(logs, part_size).withColumns({"mean_epoch_seconds": F.round("mean_epoch_seconds", 6), "phases": text})
+
+
 def run_summary(spark, sf):
-    summary = runs.run_summary(A.log_parts(spark, sf), A.LOG_PART)
-    return summary.withColumn("mean_epoch_seconds", F.round("mean_epoch_seconds", 6))
+    return _summary(A.log_parts(spark, sf), A.LOG_PART)
+
+
+def run_summary_files(spark, sf):
+    """The same from log files, each of them a run of its own."""
+    return _summary(runlogs.read_logs(spark, _logs(spark, sf))).drop("path", "name")
 
 
 # --- code index ------------------------------------------------------------------------------
@@ -443,32 +453,46 @@ def encode_bpe(spark, sf):
     ])
 
 
-ID_CAP = 16
+SIDES = ("code_ids", "doc_ids")
+
+
+def _word_ids(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Refined rows as word ids, stored, and the table of words."""
+    rows = stored(refine_rows(spark, sf), "refined")
+    table = A.word_table(rows)
+    return A.word_ids(rows, table), table
+
+
+def _wrapped_ids(spark: SparkSession, sf: str) -> DataFrame:
+    caps = dict(zip(SIDES, (K.MAX_CODE_IDS, K.MAX_DOC_IDS)))
+    return _word_ids(spark, sf)[0].select("id", "split", *[K.wrap_ids(F.col(c), cap).alias(c) for c, cap in caps.items()])
+
+
+def _shown(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(*columns, *[F.array_join(c, " ").alias(c) for c in SIDES])
 
 
 def encode(spark, sf):
-    ids = A.word_ids(refine_rows(spark, sf))
-    return ids.select("id", "split", F.array_join(K.wrap_ids(F.col("ids"), ID_CAP), " ").alias("ids"))
+    return _shown(_wrapped_ids(spark, sf), "id", "split")
 
 
 def _batched_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.assign_batches(A.word_ids(refine_rows(spark, sf)), BATCH)
+    return sampling.assign_batches(_wrapped_ids(spark, sf), BATCH)
 
 
 def pad_batch(spark, sf):
-    padded = encoding.pad_batch(_batched_ids(spark, sf), ("ids",))
-    return padded.select("id", "batch_id", F.array_join("ids", " ").alias("ids"))
+    return _shown(encoding.pad_batch(_batched_ids(spark, sf), SIDES), "id", "batch_id")
 
 
 def padding_economy(spark, sf):
-    return encoding.padding_economy(_batched_ids(spark, sf), {"ids": K.MAX_DOC_IDS})
+    return encoding.padding_economy(_batched_ids(spark, sf), dict(zip(SIDES, (K.MAX_CODE_IDS, K.MAX_DOC_IDS))))
 
 
 def decode(spark, sf):
-    rows = refine_rows(spark, sf)
-    table = A.word_table(rows)
+    ids, table = _word_ids(spark, sf)
     special = spark.createDataFrame(list(enumerate(K.SPECIAL_TOKENS)), vocab.VOCAB_SCHEMA)
-    return encoding.decode(A.word_ids(rows), special.unionByName(table)).select("id", "text")
+    both = stored(ids, "ids").select("id", F.concat(*SIDES).alias("ids"))
+    return encoding.decode(both, special.unionByName(table)).select("id", "text")
 
 
 # --- streaming -------------------------------------------------------------------------------
@@ -567,6 +591,7 @@ def queries() -> dict[str, Query]:
         "parse_epochs_lenient": parse_epochs_lenient,
         "parse_run_metrics": parse_run_metrics,
         "run_summary": run_summary,
+        "run_summary_files": run_summary_files,
         "extract_symbols": extract_symbols,
         "extract_imports": extract_imports,
         "batch_predict": batch_predict,

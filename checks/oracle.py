@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.adapters import LOG_PART, RUN_FIELDS, SHARD_ROWS, dirty_line_sql, json_text
+from quernstone.operators.codeindex import STANDARD_MODULES
 
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 UNI_SPACE = r"\t-\r\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -34,6 +35,7 @@ def n_words(x: str) -> str:
     return f"cast(len({words(x)}) AS INTEGER)"
 
 
+# Documentation tags, and string literals or comments.
 TAGS = "(:param|:type|:return|:rtype|@param|@return|@throws|Args:|Returns:|Raises:).*"
 FEW_TAGS = "(:param|:type|:return|:rtype|@param|@return).*"
 STRINGS = r'''("(?:[^"\\\n]|\\+[^\\\n])*"|'(?:[^'\\\n]|\\+[^\\\n])*')|(#.*)'''
@@ -75,7 +77,8 @@ PAIRS = """pairs AS (
   FROM documents)"""
 NOISY = """noisy AS (
   SELECT doc_id AS id, split_part(text, chr(10), 1) || ' see http://x.example/' || cast(doc_id AS varchar) || ' now' || chr(10)
-    || ':param p: thing' || chr(10) || '>>> run(' || cast(doc_id AS varchar) || ')' || chr(10) || chr(10)
+    || ':param p: thing' || chr(10) || '>>> run(' || cast(doc_id AS varchar) || ')' || chr(10)
+    || CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END || chr(10) || chr(10)
     || 'Second paragraph' AS docstring FROM documents)"""
 SOURCES = """sources AS (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey, l_linenumber, l_returnflag, l_linestatus,
@@ -149,14 +152,17 @@ SCORED = CLEANED + f""",
 scored AS (
   SELECT id, split AS run, {words('docstring')} AS ref, list_filter({words('docstring')}, lambda w: length(w) > 2) AS hyp FROM refined)"""
 WORD_IDS = CLEANED + f""",
-train_words AS (SELECT unnest({words('docstring')}) AS token FROM refined WHERE split = 'train'),
+train_words AS (SELECT unnest(list_concat({words('docstring')}, {words('code')})) AS token FROM refined WHERE split = 'train'),
 word_table AS (
   SELECT token, cast(row_number() OVER (ORDER BY n DESC, md5(token)) + 3 AS integer) AS id
   FROM (SELECT token, count(*) AS n FROM train_words GROUP BY token)),
-at_words AS (
-  SELECT id, split, generate_subscripts(w, 1) AS nth, unnest(w) AS token FROM (SELECT id, split, {words('docstring')} AS w FROM refined)),
+sides AS (SELECT id, split, 0 AS side, {words('code')} AS w FROM refined UNION ALL SELECT id, split, 1, {words('docstring')} FROM refined),
+at_words AS (SELECT id, split, side, generate_subscripts(w, 1) AS nth, unnest(w) AS token FROM sides),
+coded AS (
+  SELECT a.id, split, list(coalesce(t.id, 3) ORDER BY nth) FILTER (WHERE side = 0) AS c, list(coalesce(t.id, 3) ORDER BY nth) FILTER (WHERE side = 1) AS d
+  FROM at_words a LEFT JOIN word_table t USING (token) GROUP BY a.id, split),
 word_ids AS (
-  SELECT a.id, split, list(coalesce(t.id, 3) ORDER BY nth) AS ids FROM at_words a LEFT JOIN word_table t USING (token) GROUP BY a.id, split)"""
+  SELECT id, split, list_concat([1], c[1:254], [2]) AS code_ids, list_concat([1], d[1:62], [2]) AS doc_ids FROM coded)"""
 
 
 def bleu_sql(source: str, key: str) -> str:
@@ -195,7 +201,7 @@ def rouge_words(x: str) -> str:
     return f"list_filter(string_split(regexp_replace(lower(array_to_string({x}, ' ')), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')"
 
 
-STDLIB_HIT = "module = 'os'"
+STDLIB_HIT = f"module IN ({', '.join(q(m) for m in sorted(STANDARD_MODULES))})"
 IMPORT_ROWS = SOURCES + """,
 imports AS (
   SELECT path, 'os' AS module, false AS relative FROM sources
@@ -215,7 +221,16 @@ predicted AS (
   SELECT r.id, split, docstring, coalesce(string_agg(w, ' ' ORDER BY rk), '') AS prediction
   FROM refined r LEFT JOIN ranked k ON r.id = k.id AND rk <= 12 GROUP BY r.id, split, docstring)"""
 
-RUN_FILE = "CASE split WHEN 'train' THEN '20240101_0000_transformer_sub20000.pt' WHEN 'valid' THEN '20240101_0000_lstm_dotproduct_sub20000.pt' ELSE '20240101_0000_lstm_bahdanau_sub20000.pt' END"
+EVALUATED = CLEANED + f""",
+chosen AS (SELECT * FROM refined ORDER BY id LIMIT 300),
+files AS (SELECT unnest(['20240101_0000_transformer_sub20000.pt', '20240102_0000_lstm_dotproduct_sub50000.pt']) AS file, unnest([12, 5]) AS k),
+code_words AS (SELECT id, unnest({words('code')}) AS w FROM chosen),
+ranked AS (
+  SELECT id, w, row_number() OVER (PARTITION BY id ORDER BY n DESC, w) AS rk
+  FROM (SELECT id, w, count(*) AS n FROM code_words GROUP BY id, w)),
+predicted AS (
+  SELECT c.id, file, docstring, coalesce(string_agg(w, ' ' ORDER BY rk), '') AS prediction
+  FROM chosen c CROSS JOIN files LEFT JOIN ranked r ON c.id = r.id AND rk <= k GROUP BY c.id, file, docstring)"""
 
 
 def w(ctes: str, body: str, recursive: bool = False) -> str:
@@ -234,7 +249,7 @@ def build() -> dict[str, str]:
         '--- SAMPLE #' || sample_no || ' [CRITICAL: JSON DECODE ERROR] ---' ELSE
         '--- SAMPLE #' || sample_no || ' ---' || chr(10) || 'TARGET SUMMARY (DOC): ' || {strip('docstring')} || chr(10)
         || 'INPUT LOGIC (CODE):' || chr(10) || {strip(f"coalesce({DIRTY_CODE}, '')")} || chr(10) || repeat('-', 50) END AS sample
-      FROM (SELECT *, row_number() OVER (ORDER BY id) AS sample_no FROM dirty WHERE split = 'train' AND id < {SHARD_ROWS})
+      FROM (SELECT *, row_number() OVER (ORDER BY id) AS sample_no FROM dirty WHERE split = 'test' AND id < {SHARD_ROWS})
       WHERE sample_no <= 100""")
     sql["read_metrics"] = w(METRICS, "SELECT file, model, bleu, rougeL, loss, perplexity, mean_text AS mean_epoch FROM metrics")
     sql["read_logs"] = w(LOGS, "SELECT run_id, part, content || chr(10) AS content FROM logs")
@@ -270,7 +285,7 @@ def build() -> dict[str, str]:
     sql["debug_filter"] = w(PAIRS, f"""SELECT id, code, doc FROM (
         SELECT id, code, {strip(rx(rx(f"split_part({paragraph('docstring')}, chr(10), 1)", FEW_TAGS), '>>>.*'))} AS doc FROM pairs)
       WHERE length(doc) > 10 AND {n_words('code')} < 200 ORDER BY id LIMIT 5""")
-    sql["detok_cleanup"] = w(PAIRS, f"SELECT id, {strip('''replace(replace(replace(docstring, ' ', ' Ġ'), 'Ġ', ' '), '  ', ' ')''')} AS text FROM pairs")
+    sql["detok_cleanup"] = w(PAIRS, f"SELECT doc_id AS id, {strip('''replace(replace(replace(text, ' ', ' Ġ'), 'Ġ', ' '), '  ', ' ')''')} AS text FROM documents")
     sql["audit_line"] = w(PAIRS, f"""SELECT id, substr(replace({strip('code')}, chr(10), ' '), 1, 60) || '...' AS code_line,
         {strip('docstring')} AS doc_line FROM pairs""")
     odd = "CASE WHEN run_id % 7 = 0 THEN 'net_' || run_id || '.pt' ELSE file END"
@@ -325,15 +340,16 @@ def build() -> dict[str, str]:
     sql["import_counts"] = w(IMPORT_ROWS, f"""SELECT CASE WHEN relative THEN 'internal' WHEN {STDLIB_HIT} THEN 'standard' ELSE 'third_party' END AS kind,
         module, count(*) AS n_imports FROM imports GROUP BY ALL""")
     sql["requirements_list"] = w(IMPORT_ROWS, f"SELECT DISTINCT lower(module) AS requirement FROM imports WHERE NOT relative AND NOT {STDLIB_HIT}")
-    sql["phase_durations"] = w(RUNS, """SELECT run_id, total_seconds AS model_training, cast(n_epochs AS double) AS evaluation_fast,
-        total_seconds + n_epochs AS total_seconds FROM runs""")
+    sql["phase_durations"] = w(RUNS, """SELECT run_id, 'model_training' AS phase, total_seconds AS seconds, total_seconds + n_epochs AS total_seconds FROM runs
+      UNION ALL SELECT run_id, 'evaluation_fast', cast(n_epochs AS double), total_seconds + n_epochs FROM runs""")
     sql["model_subset_domains"] = w(METRICS, """SELECT 'model' AS axis, cast(row_number() OVER (ORDER BY p) AS integer) AS ord, model AS value
         FROM (SELECT model, min(run_id) AS p FROM metrics GROUP BY model)
       UNION ALL SELECT 'subset_size', cast(row_number() OVER (ORDER BY subset_size) AS integer), cast(subset_size AS varchar)
         FROM (SELECT DISTINCT subset_size FROM metrics)""")
     batches = WORD_IDS + ", batched AS (SELECT *, floor((row_number() OVER (ORDER BY id) - 1) / 32.0)::bigint AS batch_id FROM word_ids)"
-    sql["padding_economy"] = w(batches, """SELECT 'ids' AS side, cast(sum(n * longest) AS bigint) AS batch_slots, cast(sum(n * 64) AS bigint) AS fixed_slots
-      FROM (SELECT batch_id, count(*) AS n, max(len(ids)) AS longest FROM batched GROUP BY batch_id)""")
+    sql["padding_economy"] = w(batches, """SELECT side, cast(sum(n * longest) AS bigint) AS batch_slots, cast(sum(n * cap) AS bigint) AS fixed_slots FROM (
+        SELECT batch_id, 'code_ids' AS side, count(*) AS n, max(len(code_ids)) AS longest, 256 AS cap FROM batched GROUP BY batch_id
+        UNION ALL SELECT batch_id, 'doc_ids', count(*), max(len(doc_ids)), 64 FROM batched GROUP BY batch_id) GROUP BY side""")
 
     # order, limits, samples
     sql["new_best_flag"] = w(EPOCHS, """SELECT run_id, epoch, val_loss, val_loss < coalesce(min(val_loss) OVER (PARTITION BY run_id ORDER BY epoch
@@ -359,10 +375,13 @@ def build() -> dict[str, str]:
     pieces = f"regexp_extract_all({cut}, {pattern})"
     sql["pretokenize"] = f"SELECT doc_id AS id, cast(len(t) AS integer) AS n, md5(array_to_string(t, chr(1))) AS digest FROM (SELECT doc_id, {pieces} AS t FROM documents)"
     sql["pretoken_counts"] = f"SELECT pretoken, count(*) AS n FROM (SELECT unnest({pieces}) AS pretoken FROM documents) GROUP BY pretoken"
-    sql["encode"] = w(WORD_IDS, "SELECT id, split, array_to_string(list_concat([1], ids[1:14], [2]), ' ') AS ids FROM word_ids")
-    sql["pad_batch"] = w(batches, """SELECT id, batch_id, array_to_string(list_concat(ids, list_transform(range(0, m - len(ids)), lambda x: 0)), ' ') AS ids
-      FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS m FROM batched)""")
-    sql["decode"] = w(WORD_IDS, """SELECT a.id, coalesce(string_agg(token, ' ' ORDER BY nth) FILTER (WHERE t.id IS NOT NULL), '') AS text
+    shown = "array_to_string(code_ids, ' ') AS code_ids, array_to_string(doc_ids, ' ') AS doc_ids"
+    sql["encode"] = w(WORD_IDS, f"SELECT id, split, {shown} FROM word_ids")
+    padded = ", ".join(
+        f"array_to_string(list_concat({c}, list_transform(range(0, m_{c} - len({c})), lambda x: 0)), ' ') AS {c}" for c in ("code_ids", "doc_ids"))
+    sql["pad_batch"] = w(batches, f"""SELECT id, batch_id, {padded}
+      FROM (SELECT *, max(len(code_ids)) OVER (PARTITION BY batch_id) AS m_code_ids, max(len(doc_ids)) OVER (PARTITION BY batch_id) AS m_doc_ids FROM batched)""")
+    sql["decode"] = w(WORD_IDS, """SELECT a.id, coalesce(string_agg(token, ' ' ORDER BY side, nth) FILTER (WHERE t.id IS NOT NULL), '') AS text
       FROM at_words a LEFT JOIN word_table t USING (token) GROUP BY a.id""")
 
     # logs
@@ -372,24 +391,34 @@ def build() -> dict[str, str]:
     name = "CASE WHEN run_id % 10 <> 0 AND part = 0 THEN replace(file, '.pt', '') ELSE 'run' || run_id || '_part' || part END"
     score = "CASE WHEN run_id % 10 <> 0 AND part = 0 THEN {0} END AS {0}"
     sql["parse_run_metrics"] = w(LOGS, f"SELECT run_id, part, {name} AS name, {score.format('bleu')}, {score.format('rougeL')} FROM logs JOIN runs USING (run_id)")
+    phases = "'evaluation_fast=' || printf('%.2f', cast(n_epochs AS double)) || ',model_training=' || printf('%.2f', total_seconds)"
     sql["run_summary"] = w(LOGS, f"""SELECT r.run_id, CASE WHEN r.run_id % 10 <> 0 THEN replace(file, '.pt', '') ELSE 'run' || r.run_id || '_part0' END AS name,
         CASE WHEN r.run_id % 10 <> 0 THEN bleu END AS bleu, CASE WHEN r.run_id % 10 <> 0 THEN rougeL END AS rougeL,
         cast(be AS bigint) AS best_epoch, round(lo, 4) AS min_val_loss, coalesce(n, 0) AS n_epochs, round(mean_s, 6) AS mean_epoch_seconds,
-        total_seconds AS training_seconds
+        {phases} AS phases, total_seconds AS training_seconds
       FROM runs r LEFT JOIN (SELECT run_id, {best} AS be, min(val_loss) AS lo, count(*) AS n, avg(seconds) AS mean_s FROM log_epochs GROUP BY run_id) e
         ON r.run_id = e.run_id""")
+    part = f"cast(floor((epoch - 1) / {float(LOG_PART)}) AS integer)"
+    sql["run_summary_files"] = w(LOGS, f"""SELECT CASE WHEN part = 0 AND r.run_id % 10 <> 0 THEN bleu END AS bleu,
+        CASE WHEN part = 0 AND r.run_id % 10 <> 0 THEN rougeL END AS rougeL, cast(be AS bigint) AS best_epoch, round(lo, 4) AS min_val_loss,
+        coalesce(n, 0) AS n_epochs, round(mean_s, 6) AS mean_epoch_seconds, CASE WHEN part = 0 THEN {phases} ELSE '' END AS phases,
+        CASE WHEN part = 0 THEN total_seconds END AS training_seconds
+      FROM logs l JOIN runs r USING (run_id) LEFT JOIN (
+        SELECT run_id, {part} AS part, arg_min((epoch - 1) % {LOG_PART} + 1, (val_loss, epoch)) AS be, min(val_loss) AS lo, count(*) AS n, avg(seconds) AS mean_s
+        FROM log_epochs GROUP BY ALL) e USING (run_id, part)""")
 
     # sources as syntax, predictions
     sql["extract_symbols"] = w(SOURCES, """SELECT path, 'Function' AS type, 'f_' || l_orderkey AS name, 4 AS lineno, 'a, b, *args, k, **kw' AS args,
         'Doc ' || l_linestatus || '.' AS docstring FROM sources""")
     sql["extract_imports"] = w(IMPORT_ROWS, "SELECT path, module, relative FROM imports")
-    sql["batch_predict"] = w(KEYWORDS, f"SELECT id, split AS run, prediction, cast({n_words('docstring')} AS double) AS nll_sum, cast({n_words('docstring')} AS bigint) AS n_tokens FROM predicted")
+    sql["batch_predict"] = w(KEYWORDS, f"SELECT id, split AS run, prediction, length(replace(docstring, ' ', '')) / 10.0::double AS nll_sum, cast({n_words('docstring')} AS bigint) AS n_tokens FROM predicted")
     sql["evaluation_report"] = w(
-        KEYWORDS + f""", reported AS (SELECT id, {RUN_FILE} AS file, {words('docstring')} AS ref, {words('prediction')} AS hyp FROM predicted),
+        EVALUATED + f""", reported AS (SELECT id || '-' || file AS id, file, {words('docstring')} AS ref, {words('prediction')} AS hyp FROM predicted),
         pieces AS (SELECT id, file, {rouge_words('ref')} AS r, {rouge_words('hyp')} AS h FROM reported), {lcs_sql('pieces')},
-        rouge AS (SELECT file, {f_mean} AS f FROM pieces JOIN lcs USING (id) GROUP BY file), {bleu_sql('reported', 'file')}""",
+        rouge AS (SELECT file, {f_mean} AS f FROM pieces JOIN lcs USING (id) GROUP BY file), {bleu_sql('reported', 'file')},
+        losses AS (SELECT file, sum(length(array_to_string(ref, '')) / 10.0::double) / sum(len(ref)) AS loss FROM reported GROUP BY file)""",
         """SELECT b.file, regexp_extract(b.file, '_0000_(.*)_sub', 1) AS model, round(bleu, 6) AS bleu, round(f, 6) AS rougeL,
-        1.0::double AS loss, round(exp(1.0), 6) AS perplexity FROM bleu b JOIN rouge r ON b.file = r.file""", True)
+        round(loss, 6) AS loss, round(exp(loss), 6) AS perplexity FROM bleu b JOIN rouge r ON b.file = r.file JOIN losses l ON b.file = l.file""", True)
 
     # streaming
     sql["refine_stream"] = w(CLEANED, "SELECT split, fp, count(*) AS n FROM refined GROUP BY split, fp")

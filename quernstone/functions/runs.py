@@ -11,6 +11,9 @@ DEFAULT_MODEL = "lstm_bahdanau"
 
 PERPLEXITY_CUTOFF = 100.0
 
+# What counts as a number in a text; the engine's own cast also reads type letters at the end.
+NUMBER = r"(?i)^\s*[-+]?(?:(?:\d+\.?\d*|\.\d+)(?:e[-+]?\d+)?|inf|infinity)\s*$"
+
 
 def model_tag_strict(file: Column) -> Column:
     """Model family named in a run file; null for an unknown one."""
@@ -53,7 +56,7 @@ def run_slug(started: Column, model: Column, subset: Column, bleu: Column) -> Co
 
 def to_numeric_coerce(text: Column) -> Column:
     """Number in a text; anything unreadable (or NaN) counts as 0."""
-    value = text.try_cast("double")
+    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return F.when(value.isNull() | F.isnan(value), 0.0).otherwise(value)
 
 

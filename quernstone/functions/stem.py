@@ -18,16 +18,18 @@ IRREGULAR = {
 }
 # Suffix tables of steps 2 to 4, in order.
 STEP_2 = (
-    "ational:ate tional:tion enci:ence anci:ance izer:ize bli:ble alli:al entli:ent eli:e ousli:ous "
-    "ization:ize ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive "
-    "biliti:ble fulli:ful"
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+    ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"),
+    ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"),
+    ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"),
+)
+STEP_3 = (
+    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""),
+    ("ness", ""),
+)
+STEP_4 = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
-STEP_3 = "icate:ic ative: alize:al iciti:ic ical:ic ful: ness:"
-STEP_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
-
-_RULES_2 = [tuple(r.split(":")) for r in STEP_2.split()]
-_RULES_3 = [tuple(r.split(":")) for r in STEP_3.split()]
-_RULES_4 = STEP_4.split()
 
 
 def _shape(word: str) -> str:
@@ -82,7 +84,7 @@ def _final_y(word: str) -> str:
 def _derived(word: str) -> str:
     if word.endswith("alli") and _measure(word[:-4]) > 0:
         return _derived(word[:-2])
-    for suffix, ending in _RULES_2:
+    for suffix, ending in STEP_2:
         if word.endswith(suffix):
             stem = word[: -len(suffix)]
             return stem + ending if _measure(stem) > 0 else word
@@ -90,7 +92,7 @@ def _derived(word: str) -> str:
 
 
 def _adjective(word: str) -> str:
-    for suffix, ending in _RULES_3:
+    for suffix, ending in STEP_3:
         if word.endswith(suffix):
             stem = word[: -len(suffix)]
             return stem + ending if _measure(stem) > 0 else word
@@ -98,7 +100,7 @@ def _adjective(word: str) -> str:
 
 
 def _residue(word: str) -> str:
-    for suffix in _RULES_4:
+    for suffix in STEP_4:
         if word.endswith(suffix):
             stem = word[: -len(suffix)]
             fits = _measure(stem) > 1 and (suffix != "ion" or stem[-1] in "st")

@@ -72,8 +72,12 @@ def strip_doctest(doc: Column) -> Column:
     return _drop_to_line_end(doc, (">>>",))
 
 
+# Fixed value: web addresses, up to the next white space.
+URL = f"http[^{WS}]+"
+
+
 def strip_urls(doc: Column) -> Column:
-    return F.regexp_replace(doc, f"http[^{WS}]+", "")
+    return F.regexp_replace(doc, URL, "")
 
 
 def _has_any(text: Column, *marks: str) -> Column:
@@ -100,12 +104,16 @@ def clean_docstring_firstline(doc: Column) -> Column:
     return F.coalesce(strip_ws(strip_doctest(_drop_to_line_end(line, FIRSTLINE_TAGS))), F.lit(""))
 
 
+# Triple-quoted blocks, and one-line string literals or comments.
+TRIPLE_QUOTED = r"""(?:\"{3}[\s\S]*?\"{3}|'{3}[\s\S]*?'{3})"""
+STRING_OR_COMMENT = r"""(?d)(".*?(?<!\\)"|'.*?(?<!\\)')|#.*"""
+
 # --- source side -----------------------------------------------------------------------------
 
 
 def strip_first_docstring(code: Column) -> Column:
     """Remove the first triple-quoted block of either quote kind, and only that one."""
-    return F.array_join(F.split(code, r'"""[\s\S]*?"""|' + r"'''[\s\S]*?'''", 2), "")
+    return F.array_join(F.split(code, TRIPLE_QUOTED, 2), "")
 
 
 def strip_comments(code: Column) -> Column:
@@ -114,8 +122,7 @@ def strip_comments(code: Column) -> Column:
     The string alternatives come first, so a literal is consumed (and put back) before any ``#``
     within it can start a comment.
     """
-    literal = r'".*?(?<!\\)"' + "|" + r"'.*?(?<!\\)'"
-    return F.regexp_replace(code, f"(?d)({literal})|#.*", "$1")
+    return F.regexp_replace(code, STRING_OR_COMMENT, "$1")
 
 
 def drop_blank_lines(code: Column) -> Column:

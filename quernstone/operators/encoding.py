@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
 
 import pandas as pd
@@ -12,38 +13,49 @@ from pyspark.sql.functions import pandas_udf
 
 from quernstone.functions import tokens as K
 
-MAX_VOCAB = 1_000_000
 _CACHE_LIMIT = 500_000
 
 
 def _merge_word(word: str, letter_ids: dict[str, int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply the best-ranked merge that fits, leftmost first, until none does."""
-    ids = [letter_ids.get(c, K.UNK) for c in word]
-    while len(ids) > 1:
-        options = [(merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
-        if not options:
-            break
-        at = min(options)[1]
-        ids[at:at + 2] = [merges[ids[at], ids[at + 1]][1]]
-    return ids
-
+    """Apply the best-ranked merge that fits, leftmost first, until none does; n log n in the word's length.
 
-def bounded_rows(table: DataFrame, limit: int = MAX_VOCAB) -> list:
-    """Rows of a vocabulary-sized table; refuses anything larger than a vocabulary can be."""
-    rows = table.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"table has more than {limit} rows")
-    return rows
+    Pieces form a linked list; a heap holds the pairs that can merge. A pair that has changed since it
+    was put there is passed over.
+    """
+    ids = [letter_ids.get(c, K.UNK) for c in word]
+    after, before = [*range(1, len(ids)), -1], list(range(-1, len(ids) - 1))
+    heap: list[tuple[int, int, int, int]] = []
+
+    def offer(at: int) -> None:
+        if at >= 0 and after[at] >= 0:
+            hit = merges.get((ids[at], ids[after[at]]))
+            if hit:
+                heapq.heappush(heap, (hit[0], at, ids[at], ids[after[at]]))
+
+    for at in range(len(ids)):
+        offer(at)
+    while heap:
+        _, at, left, right = heapq.heappop(heap)
+        follower = after[at]
+        if ids[at] != left or follower < 0 or ids[follower] != right:
+            continue
+        ids[at], ids[follower], after[at] = merges[left, right][1], -1, after[follower]
+        if after[at] >= 0:
+            before[after[at]] = at
+        offer(before[at])
+        offer(at)
+    return [i for i in ids if i >= 0]
 
 
 def bpe_encoder(vocab: DataFrame, merges: DataFrame) -> Callable[[Column], Column]:
     """Column function from text to ids.
 
     Splitting and the byte alphabet are native expressions; the Arrow function only maps pre-tokens
-    to ids and remembers them per worker, so a frequent one is merged once. No row leaves its task.
+    to ids and remembers them per worker, so a frequent one is merged once. No row leaves its task. The
+    merges are a model of the size that was asked for in training, and travel as one.
     """
-    letter_ids = {r["token"]: r["id"] for r in bounded_rows(vocab.filter(F.length("token") == 1))}
-    by_pair = {(r["left"], r["right"]): (r["rank"], r["new"]) for r in bounded_rows(merges)}
+    letter_ids = {r["token"]: r["id"] for r in vocab.filter(F.length("token") == 1).collect()}
+    by_pair = {(r["left"], r["right"]): (r["rank"], r["new"]) for r in merges.collect()}
     shared = vocab.sparkSession.sparkContext.broadcast((letter_ids, by_pair))
     cache: dict[str, list[int]] = {}
 
@@ -104,14 +116,14 @@ def padding_economy(batched: DataFrame, caps: dict[str, int], batch: str = "batc
     )
 
 
-def decode(rows: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "text") -> DataFrame:
+def decode(rows: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "text", key: str = "id") -> DataFrame:
     """Pieces of an id array joined by spaces, control tokens skipped; word-start marks stay.
 
-    The vocabulary becomes one array value that every task looks up by position; its size is
-    bounded by the vocabulary, never by the data.
+    Ids meet their tokens in a join, so a vocabulary may have any size and any gaps; ids it does not
+    hold are skipped. ``key`` tells rows apart.
     """
-    ordered = F.sort_array(F.collect_list(F.struct("id", "token")))["token"]
-    table = vocab.filter(F.col("id") < MAX_VOCAB).agg(ordered.alias("tokens")).scalar()
     body = F.filter(F.col(ids), lambda i: i >= len(K.SPECIAL_TOKENS))
-    pieces = F.transform(body, lambda i: F.get(F.col("_tokens"), i))
-    return rows.withColumn("_tokens", table).withColumn(out, F.array_join(pieces, " ")).drop("_tokens")
+    places = rows.select(key, F.posexplode(body).alias("_at", "_id"))
+    known = places.join(vocab.select(F.col("id").alias("_id"), F.col("token").alias("_token")), "_id")
+    texts = known.groupBy(key).agg(F.array_join(F.sort_array(F.collect_list(F.struct("_at", "_token")))["_token"], " ").alias("_text"))
+    return rows.join(texts, key, "left").withColumn(out, F.coalesce("_text", F.lit(""))).drop("_text")

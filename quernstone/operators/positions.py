@@ -56,24 +56,11 @@ def positions_by_id(
     return _number(df, id_bucket(id_col, width), [id_col], group, name)
 
 
-def positions_by_bucket(
-    df: DataFrame, bucket: Column, order: Sequence[Column | str], name: str = "pos"
-) -> DataFrame:
-    """1-based position in ``order``, for any bucket expression whose own order agrees with it."""
-    return _number(df, bucket, order, [], name)
-
-
 def shuffle_key(id_col: str, seed: int) -> Column:
     """Reproducible random order: a seeded hash of the id."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def positions_by_hash(df: DataFrame, id_col: str, seed: int, name: str = "pos") -> DataFrame:
-    """1-based position in a seeded shuffle of the rows; 65,536 even buckets by leading digits."""
-    rows = df.withColumn("_key", shuffle_key(id_col, seed))
-    return _number(rows, F.substring("_key", 1, 4), ["_key", id_col], [], name).drop("_key")
-
-
 def positions_in_order(df: DataFrame, order: Sequence[str], name: str = "pos") -> tuple[DataFrame, int]:
     """1-based position in the order of any sortable columns, and the number of rows.
 

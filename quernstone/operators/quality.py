@@ -5,12 +5,14 @@ Pair frames carry a row ``id``, group columns such as ``run``, and word arrays `
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quernstone.functions import runs as R
 from quernstone.functions import text as T
@@ -23,55 +25,32 @@ EPSILON = 0.1
 # --- BLEU ------------------------------------------------------------------------------------
 
 
-_ENTRY = "array<struct<n:int,gram:string,hyp:bigint,ref:bigint>>"
+BLEU_SUMS = ["hyp_len", "ref_len", *[f"slots{n}" for n in range(1, MAX_ORDER + 1)], *[f"match{n}" for n in range(1, MAX_ORDER + 1)]]
 
 
-def _entry(n: int, gram: Column, hyp: Column, ref: Column) -> Column:
-    return F.struct(
-        F.lit(n).alias("n"), gram.alias("gram"), hyp.cast("bigint").alias("hyp"), ref.cast("bigint").alias("ref")
-    )
+def _row_sums(ref: Sequence[str], hyp: Sequence[str]) -> list[int]:
+    """Lengths, n-gram slots of the hypothesis, and its matches clipped to their counts in the reference."""
+    slots, matches = [], []
+    for n in range(1, MAX_ORDER + 1):
+        grams = [Counter(zip(*(words[k:] for k in range(n)))) for words in (hyp, ref)]
+        slots.append(max(1, len(hyp) - n + 1))
+        matches.append((grams[0] & grams[1]).total())
+    return [len(hyp), len(ref), *slots, *matches]
 
 
-def _grams(words: str, n: int, in_hyp: int) -> Column:
-    """The n-grams of a word array as counted entries; too short an array has none."""
-    count = F.size(words) - (n - 1)
-    sides = F.lit(in_hyp), F.lit(1 - in_hyp)
-    if n == 1:
-        return F.transform(words, lambda word: _entry(1, word, *sides)).cast(_ENTRY)
-    entries = F.transform(
-        F.sequence(F.lit(1), count),
-        lambda i: _entry(n, F.array_join(F.slice(F.col(words), i, F.lit(n)), " "), *sides),
-    )
-    return F.when(count >= 1, entries).otherwise(F.array().cast(_ENTRY))
+@pandas_udf(StructType([StructField(name, LongType()) for name in BLEU_SUMS]))
+def _bleu_sums(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_row_sums(list(r), list(h)) for r, h in zip(ref, hyp)], columns=BLEU_SUMS, dtype="int64")
 
 
-def corpus_bleu(pairs: DataFrame, by: Sequence[str] = (), row: str = "id") -> DataFrame:
+def corpus_bleu(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Corpus BLEU-4 with one reference and 0.1 in place of missing matches, per group.
 
-    Rows are placed by their unique id while they are still compact word arrays. Counting n-grams
-    within a row then needs no further shuffle, however long a row is; what travels next is one row
-    of sums per group and task. Row lengths ride along as entries of order 0, so the pairs are
-    read once.
+    Clipped counts are a matter of one row, so they are taken in the row; what travels is one row of
+    sums per group and task.
     """
-    keys = [*by, row]
-    orders = range(1, MAX_ORDER + 1)
-    facts = {"hyp_len": F.size("hyp"), "ref_len": F.size("ref")}
-    facts |= {f"slots{n}": F.greatest(F.lit(1), F.size("hyp") - (n - 1)) for n in orders}
-    sizes = F.array(*[_entry(0, F.lit(name), size, size) for name, size in facts.items()]).cast(_ENTRY)
-    entries = F.concat(sizes, *[_grams(w, n, h) for n in orders for w, h in (("hyp", 1), ("ref", 0))])
-    counted = (
-        pairs.repartition(row)
-        .select(*keys, F.explode(entries).alias("e")).select(*keys, "e.*")
-        .groupBy(*keys, "n", "gram").agg(F.sum("hyp").alias("hyp"), F.sum("ref").alias("ref"))
-        .select(*by, "n", "gram", F.least("hyp", "ref").alias("m"))
-    )
-
-    def total(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("m"))), F.lit(0)).alias(name)
-
-    n, gram = F.col("n"), F.col("gram")
-    sums = [total((n == 0) & (gram == name), name) for name in facts]
-    sums += [total(n == k, f"match{k}") for k in orders]
+    counted = pairs.select(*by, _bleu_sums("ref", "hyp").alias("s")).select(*by, "s.*")
+    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in BLEU_SUMS]
     return counted.groupBy(*by).agg(*sums).select(*by, _bleu().alias("bleu"), "hyp_len", "ref_len")
 
 
@@ -216,7 +195,7 @@ def batch_predict(rows: DataFrame, make_scorer: Callable[[], Scorer], keep: Sequ
                     failed = row[names].reset_index(drop=True)
                     yield failed.assign(prediction=None, nll_sum=None, n_tokens=None, error=str(problem))
 
-    return rows.select(*names, "code", "docstring").mapInPandas(
+    return rows.select(*dict.fromkeys([*names, "code", "docstring"])).mapInPandas(
         task, f"{schema}, prediction string, nll_sum double, n_tokens bigint, error string"
     )
 
@@ -224,21 +203,19 @@ def batch_predict(rows: DataFrame, make_scorer: Callable[[], Scorer], keep: Sequ
 def keyword_scorer(k: int = 12) -> Callable[[], Scorer]:
     """A baseline that predicts the ``k`` commonest words of the code, ties alphabetically.
 
-    Its stated loss is one nat per word of the docstring.
+    Its stated loss is a tenth of a nat per character of the docstring's words.
     """
     def make() -> Scorer:
-        from collections import Counter
-
         def summary(code: str) -> str:
             counts = Counter(code.split())
             return " ".join(sorted(counts, key=lambda w: (-counts[w], w))[:k])
 
         def score(batch: pd.DataFrame) -> pd.DataFrame:
-            lengths = batch["docstring"].str.split().str.len().astype("int64")
+            words = batch["docstring"].str.split()
             return pd.DataFrame({
                 "prediction": [summary(c) for c in batch["code"]],
-                "nll_sum": lengths.astype("float64"),
-                "n_tokens": lengths,
+                "nll_sum": [sum(map(len, w)) / 10 for w in words],
+                "n_tokens": words.str.len().astype("int64"),
             })
 
         return score
@@ -246,17 +223,17 @@ def keyword_scorer(k: int = 12) -> Callable[[], Scorer]:
     return make
 
 
-def evaluation_report(predictions: DataFrame, references: DataFrame, file: str = "file", stemmed: bool = True) -> DataFrame:
+def evaluation_report(predictions: DataFrame, file: str = "file", stemmed: bool = True) -> DataFrame:
     """One row per run: ``file, model, bleu, rougeL, loss, perplexity``; failed rows do not count.
 
-    ``predictions`` come from :func:`batch_predict`, ``references`` hold ``id, docstring``.
+    ``predictions`` come from :func:`batch_predict` and keep the ``docstring`` they are compared with.
     """
-    good = predictions.filter(F.col("error").isNull()).join(references.select("id", "docstring"), "id")
+    good = predictions.filter(F.col("error").isNull())
     pairs = good.select(
-        "id", file, "nll_sum", "n_tokens",
+        file, "nll_sum", "n_tokens",
         T.split_words(F.col("docstring")).alias("ref"), T.split_words(F.col("prediction")).alias("hyp"),
     )
-    bleu = corpus_bleu(pairs.select("id", file, "ref", "hyp"), [file]).select(file, "bleu")
+    bleu = corpus_bleu(pairs.select(file, "ref", "hyp"), [file]).select(file, "bleu")
     rest = rouge_l(pairs, stemmed).groupBy(file).agg(
         F.avg("rougeL").alias("rougeL"),
         F.coalesce(F.try_divide(F.sum("nll_sum"), F.sum("n_tokens")), F.lit(0.0)).alias("loss"),

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
+from quernstone.session import apart
 
 TRAIN = "train"
 REASONS = ("removed_len", "removed_dupe", "removed_doc")
@@ -126,24 +127,29 @@ def refine(pairs: DataFrame, **bands: tuple[int, int]) -> DataFrame:
 
 
 def refine_gated(gated: DataFrame) -> DataFrame:
-    """The deduplicating half of :func:`refine`.
+    """The deduplicating half of :func:`refine`, in one join of the text with the registry.
 
-    The registry has one row per fingerprint, so the text meets it in one join: a broadcast while
-    the registry is small, and otherwise a join whose hot fingerprints adaptive execution splits.
+    The registry is dealt out apart from the join, so adaptive execution splits hot fingerprints.
     """
-    kept = gated.join(train_registry(gated), "fp", "left").filter(~_is_dupe())
+    kept = gated.join(apart(train_registry(gated), "fp"), "fp", "left").filter(~_is_dupe())
     return kept.select("id", "split", "code", "docstring")
 
 
+def kept_ids(narrow: DataFrame) -> DataFrame:
+    """Ids of the rows to keep, from gated rows without their text: ``id, split, fp``."""
+    return narrow.join(apart(train_registry(narrow), "fp"), "fp", "left").filter(~_is_dupe()).select("id")
+
+
 def reject_reason(judged: DataFrame) -> DataFrame:
-    """Verdict for every row: the failed gate, ``removed_dupe`` or ``kept``.
+    """Verdict for every row of ``id, split, reason, fp``: the failed gate, ``removed_dupe`` or ``kept``.
 
-    Rows that failed a gate have no fingerprint. They join on their own id, which matches nothing
-    and spreads them evenly instead of piling them up under a null key.
+    The rows are read twice, so they should be stored. Rows that failed a gate have no fingerprint. They
+    join on their own id, which matches nothing and spreads them evenly instead of piling them up under
+    a null key.
     """
     rows = judged.select("id", "split", "reason", F.coalesce("fp", F.col("id").cast("string")).alias("fp"))
     verdict = F.coalesce("reason", F.when(_is_dupe(), "removed_dupe"), F.lit("kept"))
-    joined = rows.join(train_registry(passed(judged)), "fp", "left")
+    joined = rows.join(apart(train_registry(passed(judged)), "fp"), "fp", "left")
     return joined.select("id", "split", verdict.alias("reason"))
 
 
@@ -156,13 +162,13 @@ def dedup_keep_first(rows: DataFrame, key: str = "fp", order: str = "id") -> Dat
 def cross_split_anti(gated: DataFrame) -> DataFrame:
     """Gated rows outside the training split whose fingerprint no gated training row has."""
     held_out = gated.filter(F.col("split") != TRAIN)
-    return held_out.join(train_registry(gated).select("fp"), "fp", "left_anti")
+    return held_out.join(apart(train_registry(gated).select("fp"), "fp"), "fp", "left_anti")
 
 
 def leakage_pairs(gated: DataFrame) -> DataFrame:
     """The rows :func:`cross_split_anti` removes, each with the training row that it met."""
     held_out = gated.filter(F.col("split") != TRAIN).select("id", "split", "fp")
-    hits = held_out.join(train_registry(gated), "fp")
+    hits = held_out.join(apart(train_registry(gated), "fp"), "fp")
     return hits.select("id", "split", "fp", F.col("first_id").alias("train_id"))
 
 

@@ -15,8 +15,10 @@ EPOCH = r"(?i)Epoch\s+(\d+)\s+\|\s+Loss:\s+([\d.]+)\s+\|\s+Val:\s+([\d.]+)"
 EPOCH_LENIENT = r"(?d)Epoch\s+(\d+).*?Val:\s+([\d.]+)"
 SECONDS = r"Time:\s+([\d.]+)s"
 TIMER = r"\[TIMER\] Phase '([^']+)' completed in ([\d.]+)s"
-METRIC = r"""(?i)["']?%s["']?\s*[:=]\s*(%s)"""
-PLAIN_NUMBER, FULL_NUMBER = r"[\d.]+", r"[\d.]+(?:[eE][-+]?\d+)?"
+BLEU = r"""(?i)["']?bleu["']?\s*[:=]\s*([\d.]+)"""
+BLEU_FULL = r"""(?i)["']?bleu["']?\s*[:=]\s*([\d.]+(?:[eE][-+]?\d+)?)"""
+ROUGE_L = r"""(?i)["']?rougeL["']?\s*[:=]\s*([\d.]+)"""
+ROUGE_L_FULL = r"""(?i)["']?rougeL["']?\s*[:=]\s*([\d.]+(?:[eE][-+]?\d+)?)"""
 FILE_FIELD = r'(?i)"file"\s*:\s*"([^"]+)"'
 
 NO_DATA = "NO DATA FOUND"
@@ -69,8 +71,8 @@ def _run_name() -> Column:
     return F.coalesce(F.replace(named, F.lit(".pt"), F.lit("")), R.run_short_name(F.col("path")))
 
 
-def _metric(name: str, number: str = PLAIN_NUMBER) -> Column:
-    return _number(F.col("content"), METRIC % (name, number), 1)
+def _metric(pattern: str) -> Column:
+    return _number(F.col("content"), pattern, 1)
 
 
 def parse_run_metrics(logs: DataFrame) -> DataFrame:
@@ -79,64 +81,77 @@ def parse_run_metrics(logs: DataFrame) -> DataFrame:
     return logs.select(
         *keys,
         _run_name().alias("name"),
-        _metric("bleu").alias("bleu"),
-        _metric("rougeL").alias("rougeL"),
-        _metric("bleu", FULL_NUMBER).alias("bleu_full"),
-        _metric("rougeL", FULL_NUMBER).alias("rougeL_full"),
+        _metric(BLEU).alias("bleu"),
+        _metric(ROUGE_L).alias("rougeL"),
+        _metric(BLEU_FULL).alias("bleu_full"),
+        _metric(ROUGE_L_FULL).alias("rougeL_full"),
     )
 
 
-def phase_durations(logs: DataFrame, phases: Sequence[str], run: str = "run_id") -> DataFrame:
-    """Seconds per named phase and their total, one row per run; a repeated phase counts once, last."""
-    hits = logs.select(run, "part", F.posexplode(F.regexp_extract_all("content", F.lit(TIMER), F.lit(0))))
+def _run_of(logs: DataFrame, run: str | None) -> str:
+    """The column that tells runs apart: the one asked for, else ``run_id``, else the file."""
+    return run or ("run_id" if "run_id" in logs.columns else "path")
+
+
+def _part_of(logs: DataFrame) -> Column:
+    """Number of the file within its run; a run is one file unless ``part`` says otherwise."""
+    return F.col("part").cast("bigint") if "part" in logs.columns else F.lit(0).cast("bigint")
+
+
+def phase_durations(logs: DataFrame, run: str | None = None) -> DataFrame:
+    """``run, phase, seconds, total_seconds`` for every phase a log names; a repeated phase counts once, last."""
+    key = _run_of(logs, run)
+    hits = logs.select(key, _part_of(logs).alias("_part"), F.posexplode(F.regexp_extract_all("content", F.lit(TIMER), F.lit(0))))
     timed = hits.select(
-        run,
-        F.struct("part", "pos").alias("at"),
-        F.regexp_extract("col", TIMER, 1).alias("phase"),
-        _number(F.col("col"), TIMER, 2).alias("seconds"),
+        key, F.struct("_part", "pos").alias("at"), F.regexp_extract("col", TIMER, 1).alias("phase"), _number(F.col("col"), TIMER, 2).alias("seconds")
     )
-    last = {p: F.max_by("seconds", F.when(F.col("phase") == p, F.col("at"))) for p in phases}
-    wide = timed.groupBy(run).agg(*[c.alias(p) for p, c in last.items()])
-    total = sum((F.coalesce(F.col(p), F.lit(0.0)) for p in phases), F.lit(0.0))
-    return wide.withColumn("total_seconds", total)
+    last = timed.groupBy(key, "phase").agg(F.max_by("seconds", "at").alias("seconds"))
+    return last.withColumn("total_seconds", F.coalesce(F.sum("seconds").over(W.partitionBy(key)), F.lit(0.0)))
 
 
-def run_summary(logs: DataFrame, part_size: int, run: str = "run_id") -> DataFrame:
-    """One row per run: name, scores, best epoch, number of epochs, mean epoch and training time.
+def run_summary(logs: DataFrame, part_size: int = 0, run: str | None = None) -> DataFrame:
+    """One row per run: name, scores, best epoch, number of epochs, mean epoch, training time, all phases.
 
-    Each log file is reduced to a single row with array functions, so the only shuffle carries one
-    small row per file.
+    ``logs`` are what :func:`quernstone.sources.runlogs.read_logs` returns, a file per run, or have
+    ``run_id`` and ``part`` for runs in several files of ``part_size`` epochs. Each file is reduced to a
+    single row with array functions, so the only shuffle carries one small row per file. The first
+    score counts; an epoch whose loss cannot be read is no candidate for the best.
     """
+    key, part = _run_of(logs, run), _part_of(logs)
     entry = F.transform(_epoch_hits(), lambda h, i: F.struct(
         _number(h, EPOCH, 3).alias("val_loss"),
-        (F.col("part").cast("bigint") * part_size + i + 1).alias("pos"),
+        (part * part_size + i + 1).alias("pos"),
         _number(h, SECONDS, 1).alias("seconds"),
     ))
+    phases = F.transform(F.regexp_extract_all("content", F.lit(TIMER), F.lit(0)), lambda h: F.struct(
+        F.regexp_extract(h, TIMER, 1).alias("phase"), _number(h, TIMER, 2).alias("seconds"),
+    ))
     files = logs.select(
-        run,
-        F.when(F.col("part") == 0, _run_name()).alias("name"),
-        _metric("bleu").alias("bleu"),
-        _metric("rougeL").alias("rougeL"),
-        _number(F.regexp_extract("content", r"(\[TIMER\] Phase 'model_training' completed in [\d.]+s)", 1), TIMER, 2)
-        .alias("training_seconds"),
-        entry.alias("_epochs"),
+        F.col(key), part.alias("_part"), F.when(part == 0, _run_name()).alias("name"),
+        _metric(BLEU).alias("bleu"), _metric(ROUGE_L).alias("rougeL"), entry.alias("_epochs"), phases.alias("_phases"),
     ).select(
         "*",
-        F.array_min("_epochs").alias("_best"),
+        F.array_min(F.filter("_epochs", lambda e: e["val_loss"].isNotNull())).alias("_best"),
         F.size("_epochs").alias("_n"),
         F.aggregate("_epochs", F.lit(0.0), lambda acc, e: acc + F.coalesce(e["seconds"], F.lit(0.0))).alias("_s"),
     )
+
+    def first(name: str) -> Column:
+        return F.min_by(name, F.when(F.col(name).isNotNull(), F.col("_part"))).alias(name)
+
     best = F.min("_best")
-    return files.groupBy(run).agg(
-        F.max("name").alias("name"),
-        F.max("bleu").alias("bleu"),
-        F.max("rougeL").alias("rougeL"),
+    timed = F.flatten(F.sort_array(F.collect_list(F.struct("_part", "_phases")))["_phases"])
+    known = F.aggregate(timed, F.expr("cast(map() AS map<string,double>)"), lambda m, e: F.map_concat(
+        F.map_filter(m, lambda k, _: k != e["phase"]), F.create_map(e["phase"], e["seconds"])))
+    summed = files.groupBy(key).agg(
+        F.max("name").alias("name"), first("bleu"), first("rougeL"),
         best["pos"].alias("best_epoch"),
         best["val_loss"].alias("min_val_loss"),
         F.sum("_n").alias("n_epochs"),
         F.try_divide(F.sum("_s"), F.sum("_n")).alias("mean_epoch_seconds"),
-        F.max("training_seconds").alias("training_seconds"),
+        known.alias("phases"),
     )
+    return summed.withColumn("training_seconds", F.try_element_at("phases", F.lit("model_training")))
 
 
 # --- per-run aggregates ----------------------------------------------------------------------
@@ -169,9 +184,15 @@ def mean_epoch_seconds(epochs: DataFrame, run: str = "run_id") -> DataFrame:
 
 
 def metric_matrix(
-    metrics: DataFrame, value: str, subsets: Sequence[int], first_by: str = "file"
+    metrics: DataFrame, value: str, subsets: Sequence[int] | None = None, first_by: str = "file"
 ) -> DataFrame:
-    """Model by subset size; the first value in file order, 0 where there is none."""
+    """Model by subset size; the first value in file order, 0 where there is none.
+
+    Without ``subsets`` every size that occurs gets a column, in ascending order.
+    """
+    if subsets is None:
+        found = metrics.select("subset_size").distinct().filter("subset_size IS NOT NULL")
+        subsets = sorted(r[0] for r in found.collect())
     cells = metrics.groupBy("model").pivot("subset_size", list(subsets)).agg(F.min_by(value, first_by))
     return cells.select(
         "model", *[F.coalesce(F.col(f"`{s}`"), F.lit(0.0)).alias(f"s{s}") for s in subsets]
@@ -253,7 +274,10 @@ def select_runs_by_rank(files: DataFrame, spec: str, name: str = "file", suffix:
 
 
 def run_records(run_table: DataFrame, epochs: DataFrame, part_size: int, mode: str = "fast") -> DataFrame:
-    """Nested run records; a run longer than ``part_size`` epochs continues in further records."""
+    """Nested run records; a run longer than ``part_size`` epochs continues in further records.
+
+    A run without epochs has one record with an empty history.
+    """
     duration = F.format_string("%.2fs", "seconds")
     history = (
         epochs.withColumn("part", F.expr(f"(epoch - 1) DIV {part_size}").cast("int"))
@@ -265,13 +289,14 @@ def run_records(run_table: DataFrame, epochs: DataFrame, part_size: int, mode: s
     subset = F.when(F.col("subset_size") == 0, "ALL").otherwise(F.col("subset_size").cast("string"))
     started = F.date_format("started", "yyyy-MM-dd'T'HH:mm:ss")
     total = F.format_string("%.2fs", "total_seconds")
-    return run_table.join(history, "run_id").select(
+    empty = F.array().cast(history.schema["training_history"].dataType)
+    return run_table.join(history, "run_id", "left").select(
         "run_id",
-        "part",
+        F.coalesce("part", F.lit(0)).alias("part"),
         F.struct(
             F.col("model").alias("model_type"), subset.alias("subset"), started.alias("start_time")
         ).alias("metadata"),
         F.create_map(F.lit("model_training"), total).alias("durations"),
-        "training_history",
+        F.coalesce("training_history", empty).alias("training_history"),
         F.struct("file", "model", "bleu", "rougeL", F.lit(mode).alias("eval_mode")).alias("evaluation"),
     )

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quernstone.operators.positions import (
-    id_bucket,
-    positions_by_hash,
-    positions_by_id,
-    shuffle_key,
-)
+from quernstone.operators.positions import positions_in_order, shuffle_key
 
 # Rows scored per evaluation depth, and the share of the validation budget.
 SCORING_BUDGETS = {"instant": 100, "fast": 200, "deep": 1000}
@@ -24,27 +19,21 @@ def valid_budget(subset: int) -> int:
     return subset // VALID_SHARE
 
 
-def subset_first_n(rows: DataFrame, n: int, id_col: str = "id", bucket: Column | None = None) -> DataFrame:
-    """The first ``n`` rows by id, for any ``n``.
+def subset_first_n(rows: DataFrame, n: int, id_col: str = "id") -> DataFrame:
+    """The first ``n`` rows by a unique id of any sortable type, for any ``n``.
 
-    A plain top-n would send ``n`` rows of every task to one task. Instead rows are counted per
-    bucket (a range of ids, or any expression whose order agrees with the id, such as file and
-    block of a line); buckets that start before the ``n``-th row are kept, and ranks are needed
-    only within them.
+    A plain top-n would send ``n`` rows of every task to one task. Here the ids alone are cut into ranges
+    and counted; the ``n``-th id then is a bound that filters the rows where they are.
     """
-    bucketed = rows.withColumn("_bucket", id_bucket(id_col) if bucket is None else bucket)
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
-    needed = counts.select(
-        "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    ).filter(F.col("_offset") < n)
-    rank = F.row_number().over(W.partitionBy("_bucket").orderBy(id_col))
-    return (
-        bucketed.join(needed, "_bucket")
-        .withColumn("_pos", F.col("_offset") + rank)
-        .filter(F.col("_pos") <= n)
-        .drop("_bucket", "_offset", "_pos")
-    )
+    placed, _ = positions_in_order(rows.select(id_col), [id_col])
+    bound = placed.filter(F.col("pos") <= n).agg(F.max(id_col).alias("bound"))
+    return rows.filter(F.col(id_col) <= bound.scalar())
+
+
+def first_n_per_group(rows: DataFrame, n: int, by: str, id_col: str = "id") -> DataFrame:
+    """The first ``n`` rows of each group; every task keeps at most ``n`` per group before they meet."""
+    rank = F.row_number().over(W.partitionBy(by).orderBy(id_col))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
 def sample_n_per_split(
@@ -65,11 +54,15 @@ def sample_n_per_split(
 def assign_batches(
     rows: DataFrame, batch_size: int, seed: int | None = None, id_col: str = "id"
 ) -> DataFrame:
-    """Number consecutive groups of ``batch_size`` rows from 0, in id order or shuffled by a seed."""
+    """Number consecutive groups of ``batch_size`` rows from 0, in id order or shuffled by a seed.
+
+    Ids may be of any sortable type, such as the (file, block, line) of refined shards.
+    """
     if seed is None:
-        placed = positions_by_id(rows, id_col)
+        placed, _ = positions_in_order(rows, [id_col])
     else:
-        placed = positions_by_hash(rows, id_col, seed)
+        placed, _ = positions_in_order(rows.withColumn("_key", shuffle_key(id_col, seed)), ["_key", id_col])
+        placed = placed.drop("_key")
     return placed.withColumn("batch_id", F.expr(f"(pos - 1) DIV {batch_size}"))
 
 

@@ -1,30 +1,29 @@
-"""Scoring a run end to end: predict, store, report."""
+"""Scoring runs end to end: choose rows, predict with every run, store, report."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quernstone.operators import quality, sampling
-from quernstone.session import scratch_path
+from quernstone.session import stored
 
 
 def evaluate(
-    rows: DataFrame,
-    make_scorer: Callable[[], quality.Scorer],
-    budget: int | None = None,
-    file: str = "file",
-    stemmed: bool = True,
+    rows: DataFrame, scorers: Mapping[str, Callable[[], quality.Scorer]], budget: int | None = None, stemmed: bool = True
 ) -> DataFrame:
-    """Report over ``rows`` (``id, file, code, docstring``), or over the first ``budget`` of them.
+    """Report with one row per run over ``rows`` (``id, code, docstring``), or the first ``budget`` of them.
 
+    ``scorers`` maps the file of each run to its scorer; every run is scored on the same rows.
     Predictions are stored before they are scored: the scorer is the costly part, and both scores
     read its output.
     """
-    chosen = rows if budget is None else sampling.subset_first_n(rows, budget)
-    path = scratch_path(rows.sparkSession, "predictions")
-    predicted = quality.batch_predict(chosen, make_scorer, keep=("id", file))
-    predicted.write.parquet(path)
-    stored = rows.sparkSession.read.schema(predicted.schema).parquet(path)
-    return quality.evaluation_report(stored, rows, file, stemmed)
+    chosen = rows if budget is None else stored(sampling.subset_first_n(rows, budget), "chosen")
+    predicted = [
+        quality.batch_predict(chosen.select("id", "code", "docstring").withColumn("file", F.lit(file)), make, keep=("id", "file", "docstring"))
+        for file, make in scorers.items()
+    ]
+    return quality.evaluation_report(stored(reduce(DataFrame.unionByName, predicted), "predictions"), "file", stemmed)

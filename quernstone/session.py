@@ -1,4 +1,4 @@
-"""Session helpers: shared scratch space, and spreading of narrow scans."""
+"""Session helpers: shared scratch space, tables written between steps, code for executors."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "quernstone", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -30,13 +31,21 @@ def local_session(app: str = "quernstone", cores: int | str = "*", **conf: str)
     return session
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process; ``local-cluster`` is not."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests on one machine) a temporary folder takes its place.
+    Only where the session names none and runs on one machine, as in tests, a temporary folder takes
+    its place; on a cluster its executors would each write to a disk of their own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="quernstone-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -49,6 +58,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back with its schema."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def apart(df: DataFrame, *keys: str) -> DataFrame:
+    """``df``, an aggregate by ``keys``, dealt out once more by a hash of them.
+
+    A join on ``keys`` then needs an exchange on either side, and adaptive execution can split the other
+    side where a key is hot; beside a bare aggregate it cannot.
+    """
+    return df.repartition(F.xxhash64(*keys))
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -58,7 +83,7 @@ def ship_packages(spark: SparkSession) -> None:
     The archive only has to be readable by the driver; Spark copies it to every executor.
     """
     context = spark.sparkContext
-    if context.master.startswith("local[") or context.master == "local" or context.applicationId in _SHIPPED:
+    if is_local(context.master) or context.applicationId in _SHIPPED:
         return
     _SHIPPED.add(context.applicationId)
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -71,16 +96,3 @@ def ship_packages(spark: SparkSession) -> None:
                         full = os.path.join(folder, name)
                         out.write(full, os.path.relpath(full, root))
     context.addPyFile(archive)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan of few, large splits enough partitions to keep all cores busy.
-
-    One gzip shard or one parquet row group is read by a single task. When the scan has fewer
-    than two splits per core, its rows are hashed on ``keys`` (unique ids, so evenly); a scan
-    that is wide already stays as it is and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(cores, *keys)

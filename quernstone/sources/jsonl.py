@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import re
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,19 @@ CODE_KEYS = ("code", "func_code_string")
 DOC_KEYS = ("docstring", "func_documentation_string")
 
 
+def split_of(file: Column, root: str) -> Column:
+    """Split of a shard by the nearest split folder below ``root``; fails for a shard that lies in none."""
+    below = quote(re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/", safe="/:")
+    inside = F.when(F.locate(below, file) > 0, F.substr(file, F.locate(below, file) + len(below) - 1)).otherwise(file)
+    nearest = F.regexp_extract(inside, rf"(?s)^.*/(?:split=)?({'|'.join(SPLITS)})/", 1)
+    stray = F.raise_error(F.concat(F.lit("shard lies in no split folder: "), file))
+    return F.when(nearest != "", nearest).otherwise(stray.cast("string"))
+
+
+def _missing(problem: AnalysisException) -> bool:
+    return problem.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_jsonl_shards(
     spark: SparkSession, root: str, split: str | None = None, shards: str = SHARDS
 ) -> DataFrame:
@@ -28,7 +43,8 @@ def read_jsonl_shards(
 
     Splits are directories named ``train`` or ``split=train``. ``(file, block, seq)`` sorts lines in
     file order without numbering them: one task reads a block front to back, so the increasing id
-    it hands out is ordered inside the block. A split without shards gives a warning and no rows.
+    it hands out is ordered inside the block. A root or split without shards gives a warning and no
+    rows; a shard outside any split folder is an error, as are paths that cannot be read.
     """
     path = f"{root}/{{{split},split={split}}}" if split else root
     try:
@@ -37,14 +53,16 @@ def read_jsonl_shards(
             .option("recursiveFileLookup", True)
             .text(path)
         )
-        if lines.isEmpty():
-            raise FileNotFoundError(path)
-    except (AnalysisException, FileNotFoundError):
+    except AnalysisException as problem:
+        if not _missing(problem):
+            raise
+        lines = None
+    if lines is None or not lines.inputFiles():
         log.warning("no shards %s under %s", shards, path)
         return spark.createDataFrame([], SHARD_SCHEMA)
     file = F.col("_metadata.file_path")
     return lines.select(
-        F.regexp_extract(file, f"/(?:split=)?({'|'.join(SPLITS)})/", 1).alias("split"),
+        split_of(file, root).alias("split"),
         file.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
@@ -117,13 +135,21 @@ def first_shard(spark: SparkSession, root: str, shards: str = SHARDS) -> str | N
         .load(root)
         .select("path")
     )
-    best = files.agg(F.min(F.when(F.col("path").contains("train"), F.col("path"))), F.min("path")).first()
+    name = F.regexp_extract("path", "(?s)^.*/([^/]*)$", 1)
+    best = files.agg(F.min(F.when(name.contains("train"), F.col("path"))), F.min("path")).first()
     return best[0] or best[1]
 
 
 def preview(spark: SparkSession, root: str, n: int = 100, shards: str = SHARDS) -> DataFrame:
-    """The first ``n`` lines of the first training shard, rendered; a broken line takes a number."""
-    lines = spark.read.text(first_shard(spark, root, shards)).select(
+    """The first ``n`` lines of the first training shard, rendered; a broken line takes a number.
+
+    Without any shard there is a warning and no rows.
+    """
+    path = first_shard(spark, root, shards)
+    if path is None:
+        log.warning("no shards %s under %s", shards, root)
+        return spark.createDataFrame([], "sample_no int, sample string")
+    lines = spark.read.text(path).select(
         F.monotonically_increasing_id().alias("seq"), F.col("value").alias("raw")
     )
     head = normalize_keys(lines.orderBy("seq").limit(n), missing="N/A")

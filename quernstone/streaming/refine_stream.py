@@ -11,16 +11,20 @@ from quernstone.sources import jsonl
 
 
 SALTS = 32
+REGISTRY = "fp string"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _keep_state_on_disk(spark: SparkSession) -> None:
+    """Seen fingerprints are kept for good, so they must not have to fit into memory."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
 def stream_shards(spark: SparkSession, root: str, shards: str = jsonl.SHARDS) -> DataFrame:
     """Lines of the shards below ``root`` as a stream of ``split, file, raw``."""
     lines = spark.readStream.option("pathGlobFilter", shards).option("recursiveFileLookup", True).text(root)
     file = F.col("_metadata.file_path")
-    folder = f"/(?:split=)?({'|'.join(jsonl.SPLITS)})/"
-    return lines.select(
-        F.regexp_extract(file, folder, 1).alias("split"), file.alias("file"), F.col("value").alias("raw")
-    )
+    return lines.select(jsonl.split_of(file, root).alias("split"), file.alias("file"), F.col("value").alias("raw"))
 
 
 def gate_stream(lines: DataFrame) -> DataFrame:
@@ -35,6 +39,7 @@ def refine_train_stream(lines: DataFrame, out: str, checkpoint: str) -> Streamin
     twice: first among files of the same salt, so that a fingerprint found everywhere is spread over
     ``SALTS`` tasks, then among the at most ``SALTS`` rows that are left of it.
     """
+    _keep_state_on_disk(lines.sparkSession)
     train = gate_stream(lines.filter(F.col("split") == ops.TRAIN))
     salted = train.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     return (
@@ -56,7 +61,7 @@ def refine_eval_stream(lines: DataFrame, registry: str, out: str, checkpoint: st
     held_out = gate_stream(lines.filter(F.col("split") != ops.TRAIN)).drop("id")
 
     def write(batch: DataFrame, number: int) -> None:
-        seen = batch.sparkSession.read.parquet(registry).select("fp").distinct()
+        seen = batch.sparkSession.read.schema(REGISTRY).parquet(registry)
         batch.join(seen, "fp", "left_anti").write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
