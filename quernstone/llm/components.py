@@ -17,7 +17,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
     least = both.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m")).select("u", F.least("u", "m").alias("m"))
     joined = edges.join(apart(least, "u"), F.col("lo") == F.col("u"))
-    return joined.select("hi", F.col("m").alias("lo")).distinct()
+    return joined.select("hi", F.col("m").alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -124,24 +124,32 @@ def _candidates(member: DataFrame, turn: int, hubs: int, percent: int) -> DataFr
     ).distinct()
 
 
-def _labelled(member: DataFrame, roots: DataFrame) -> DataFrame:
-    renamed = roots.select(F.col("node").alias("rep"), F.col("component").alias("_new"))
-    return member.join(renamed, "rep", "left").withColumn("comp", F.coalesce("_new", "comp")).drop("_new")
-
-
-def _merged(member: DataFrame, roots: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Roots after further links: only the components that these join are solved anew."""
-    if roots is None:
-        return connected_components(links, "hi", "lo")
+def _labels(known: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node, label`` after further links: the least label next to a node, followed once more.
 
+    A label is always a node that its owner is connected with; it need not be the least one yet.
+    """
+    both = links.select(F.col("hi").alias("node"), F.col("lo").alias("other")).unionByName(links.select(F.col("lo").alias("node"), F.col("hi").alias("other")))
+    if known is None:
+        near = both.select("node", F.col("other").alias("label"))
+    else:
+        lifted = both.join(known.select(F.col("node").alias("other"), "label"), "other", "left")
+        near = known.unionByName(lifted.select("node", F.coalesce("label", "other").alias("label")))
+    once = stored(near.groupBy("node").agg(F.min("label").alias("label")).filter("label < node"), "labels")
+    up = once.select(F.col("node").alias("label"), F.col("label").alias("_up"))
+    return stored(once.join(up, "label", "left").select("node", F.coalesce("_up", "label").alias("label")), "labels")
+
+
+def _components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, component``: links between different labels are solved exactly, labels then follow."""
     def lifted(end: str) -> DataFrame:
-        return roots.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
+        return labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}"))
 
-    between = links.join(lifted("hi"), "hi", "left").join(lifted("lo"), "lo", "left")
-    moved = connected_components(between.select(F.coalesce("c_hi", "hi").alias("a"), F.coalesce("c_lo", "lo").alias("b")), "a", "b")
-    up = moved.select(F.col("node").alias("component"), F.col("component").alias("_new"))
-    old = roots.join(up, "component", "left").select("node", F.coalesce("_new", "component").alias("component"))
-    return stored(old.unionByName(moved.select("node", "component")).groupBy("node").agg(F.min("component").alias("component")), "roots")
+    ends = links.join(lifted("hi"), "hi", "left").join(lifted("lo"), "lo", "left")
+    roots = connected_components(ends.select(F.coalesce("_hi", "hi").alias("a"), F.coalesce("_lo", "lo").alias("b")), "a", "b")
+    up = roots.select(F.col("node").alias("label"), F.col("component").alias("_up"))
+    followed = labels.join(up, "label", "left").select("node", F.coalesce("_up", "label").alias("component"))
+    return followed.unionByName(roots).groupBy("node").agg(F.min("component").alias("component"))
 
 
 def near_classes(
@@ -169,11 +177,11 @@ def near_classes(
         sketch.filter(usable).groupBy(*shape).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes"
     )
     placed = classes.select("rep", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "value")).select(
-        "rep", "n", F.xxhash64("band", "value").alias("bucket"), F.col("rep").alias("comp")
+        "rep", "n", F.xxhash64("band", "value").alias("bucket")
     )
     crowded = placed.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1").select("bucket")
     member = stored(placed.join(apart(crowded, "bucket"), "bucket"), "members")
-    near = apart(member.select("rep").distinct(), "rep")
+    near = member.select("rep").distinct()
     items = stored(
         text.join(near.withColumnRenamed("rep", "doc_id"), "doc_id").select(F.col("doc_id").alias("rep"), "text")
         .mapInArrow(_full_sets(words), SETS), "sets"
@@ -181,10 +189,12 @@ def near_classes(
     linked = _confirm(percent)
     spark = docs.sparkSession
     checked = spark.createDataFrame([], "hi long, lo long")
-    roots = None
-    turn = 0
+    links, labels, turn = None, None, 0
     while True:
-        pairs = _candidates(member, turn, hubs, percent).join(checked, ["hi", "lo"], "left_anti")
+        now = member.withColumn("comp", F.col("rep")) if labels is None else (
+            member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
+        )
+        pairs = _candidates(now, turn, hubs, percent).join(checked, ["hi", "lo"], "left_anti")
         both = pairs.join(items.toDF("lo", "b"), "lo").join(items.toDF("hi", "a"), "hi")
         result, seen = stored_with(
             both.select("hi", "lo", linked("a", "b").alias("link")), "pairs", found=F.count("*"), links=F.count(F.when(F.col("link"), 1))
@@ -192,11 +202,12 @@ def near_classes(
         checked = checked.unionByName(result.select("hi", "lo"))
         turn += 1
         if seen["links"]:
-            roots = _merged(member, roots, result.filter("link"))
-            member = stored(_labelled(member, roots), "members")
+            new = result.filter("link").select("hi", "lo")
+            links = new if links is None else links.unionByName(new)
+            labels = _labels(labels, new)
         elif not seen["found"] or turn > 1:
             break
-    roots = roots or spark.createDataFrame([], "node long, component long")
+    roots = spark.createDataFrame([], "node long, component long") if links is None else _components(labels, links)
     solved = stored(
         classes.select(*shape, "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .select(*shape, F.coalesce("component", "rep").alias("component")), "solved",
