@@ -126,7 +126,19 @@ def test_failing_rows_are_reported_and_left_out(spark):
     predicted = quality.batch_predict(rows, failing_scorer, keep=("id", "file")).orderBy("id").collect()
     assert [(r.id, r.prediction, r.error) for r in predicted] == [
         (1, "adds two", None), (2, None, "no score"), (3, "sums up", None)]
-    report = {r.file: r for r in evaluation.evaluate(rows, failing_scorer).collect()}
-    assert report["a_transformer.pt"].rougeL == 1.0 and report["a_transformer.pt"].model == "transformer"
-    assert report["b.pt"].bleu == 0.0 and report["b.pt"].perplexity == pytest.approx(math.exp(2))
-    assert {r.file for r in evaluation.evaluate(rows, failing_scorer, budget=1).collect()} == {"a_transformer.pt"}
+    scorers = {"a_transformer.pt": failing_scorer, "b.pt": quality.keyword_scorer(1)}
+    report = {r.file: r for r in evaluation.evaluate(rows.drop("file"), scorers).collect()}
+    assert report["a_transformer.pt"].rougeL == 0.5 and report["a_transformer.pt"].model == "transformer"
+    assert report["a_transformer.pt"].perplexity == pytest.approx(math.exp(2))
+    assert report["b.pt"].loss == pytest.approx((7 + 2 + 10) / 10 / 6)
+
+
+def test_budget_holds_for_every_run(spark):
+    rows = spark.range(20).select("id", F.lit("a b").alias("code"), F.concat(F.lit("w"), F.col("id").cast("string")).alias("docstring"))
+    def counting():
+        def score(batch):
+            return pd.DataFrame({"prediction": batch["docstring"], "nll_sum": batch["docstring"].str[1:].astype(float), "n_tokens": 1})
+        return score
+
+    report = evaluation.evaluate(rows, {f"r{k}.pt": counting for k in range(3)}, budget=7).collect()
+    assert len(report) == 3 and all(r.loss == pytest.approx(3.0) for r in report)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import runs as R
 from quernstone.operators import runs
+from quernstone.sources import runlogs
 
 LOG = """[TIMER] Phase 'data_cleaning' completed in 0.12s
 Epoch 01 | Loss: 7.2972 | Val: 7.3937 | LR: 0.000052 | Time: 840.97s
@@ -50,11 +51,27 @@ def test_run_metrics(logs):
 
 
 def test_phases_and_summary(logs):
-    rows = runs.phase_durations(logs, ["data_cleaning", "model_training"]).collect()
-    assert [(r.run_id, r.data_cleaning, r.model_training, r.total_seconds) for r in rows] == [(1, 0.12, 101.5, 101.62)]
+    rows = runs.phase_durations(logs).collect()
+    assert {(r.run_id, r.phase, r.seconds, round(r.total_seconds, 2)) for r in rows} >= {(1, "data_cleaning", 0.12, 101.62), (1, "model_training", 101.5, 101.62)}
     full, empty = runs.run_summary(logs, 1000).orderBy("run_id").collect()
     assert (full.best_epoch, full.min_val_loss, full.n_epochs) == (2, 7.1, 3)
     assert (empty.best_epoch, empty.n_epochs, empty.name) == (None, 0, "none.x")
+    assert full.phases["data_cleaning"] == 0.12 and full.training_seconds == 101.5
+
+
+def test_logs_from_files_to_a_summary(spark, tmp_path):
+    (tmp_path / "a.log").write_text(
+        "[TIMER] Phase 'setup' completed in 5.00s\n[TIMER] Phase 'extra step' completed in 7.00s\n[TIMER] Phase 'setup' completed in 6.00s\n"
+        "Epoch 01 | Loss: 3.0 | Val: 4.0 | Time: 1.00s\nEpoch 02 | Loss: 2.0 | Val: 1.2.3 | Time: 1.00s\nEpoch 03 | Loss: 1.0 | Val: 2.0 | Time: 4.00s\n"
+        'bleu: 0.5\nbleu: 0.9\n')
+    (tmp_path / "b.log").write_text("nothing here\n")
+    logs = runlogs.read_logs(spark, str(tmp_path))
+    got = {r.name: r for r in runs.run_summary(logs).collect()}
+    assert (got["a"].best_epoch, got["a"].min_val_loss, got["a"].n_epochs, got["a"].mean_epoch_seconds) == (3, 2.0, 3, 2.0)
+    assert got["a"].phases == {"setup": 6.0, "extra step": 7.0} and got["a"].bleu == 0.5
+    assert (got["b"].best_epoch, got["b"].n_epochs, got["b"].phases) == (None, 0, {})
+    phases = {(r.phase, r.seconds, r.total_seconds) for r in runs.phase_durations(logs).collect()}
+    assert phases == {("setup", 6.0, 13.0), ("extra step", 7.0, 13.0)}
 
 
 def epochs_of(spark, values):
@@ -121,6 +138,8 @@ def test_matrix_fills_gaps_and_takes_the_first_file(spark):
         [("b", "m", 20, 2.0), ("a", "m", 20, 1.0), ("c", "n", 50, 3.0)], "file string, model string, subset_size int, bleu double")
     got = {r.model: (r.s20, r.s50) for r in runs.metric_matrix(rows, "bleu", [20, 50]).collect()}
     assert got == {"m": (1.0, 0.0), "n": (0.0, 3.0)}
+    more = rows.unionByName(rows.limit(1).withColumn("subset_size", F.lit(99).cast(rows.schema["subset_size"].dataType)))
+    assert runs.metric_matrix(more, "bleu").columns == ["model", "s20", "s50", "s99"]
 
 
 def test_long_runs_continue_in_further_records(spark):
@@ -133,3 +152,10 @@ def test_long_runs_continue_in_further_records(spark):
     rows = runs.run_records(table, epochs, 3).orderBy("part").collect()
     assert [[h.epoch for h in r.training_history] for r in rows] == [[1, 2, 3], [4, 5, 6], [7]]
     assert rows[0].training_history[0].duration == "3.46s" and rows[0].metadata.subset == "ALL"
+    [bare] = runs.run_records(table, epochs.limit(0), 3).collect()
+    assert (bare.part, bare.training_history, bare.evaluation.file) == (0, [], "f.pt")
+
+
+def test_numbers_with_type_letters_do_not_count(spark):
+    rows = spark.createDataFrame([(t,) for t in ("12d", "12f", "1.5", " -2e1 ", "x", None, "nan")], "t string")
+    assert [r[0] for r in rows.select(R.to_numeric_coerce(F.col("t"))).collect()] == [0.0, 0.0, 1.5, -20.0, 0.0, 0.0, 0.0]

@@ -4,6 +4,7 @@ import gzip
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quernstone.plans import refinery
@@ -52,12 +53,33 @@ def test_shards_keep_file_order_and_splits(spark, tmp_path):
     assert jsonl.read_jsonl_shards(spark, str(tmp_path), "test").count() == 0
 
 
+def test_split_is_the_nearest_folder_below_the_root(spark, tmp_path):
+    root = tmp_path / "train" / "test" / "raw data"
+    write_gz(f"{root}/valid/a.jsonl.gz", ["v"])
+    write_gz(f"{root}/train/deep/test/b.jsonl.gz", ["t"])
+    rows = jsonl.read_jsonl_shards(spark, str(root)).collect()
+    assert sorted((r.split, r.raw) for r in rows) == [("test", "t"), ("valid", "v")]
+    write_gz(f"{root}/stray.jsonl.gz", ["s"])
+    with pytest.raises(Exception, match="no split folder"):
+        jsonl.read_jsonl_shards(spark, str(root)).collect()
+    assert jsonl.read_jsonl_shards(spark, f"{tmp_path}/nowhere").count() == 0
+
+
+def test_preview_of_nothing_and_by_file_name(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/train/empty")
+    assert jsonl.preview(spark, f"{tmp_path}/train/empty").collect() == []
+    write_gz(f"{tmp_path}/train/z_train_0.jsonl.gz", ['{"code":"yes"}'])
+    write_gz(f"{tmp_path}/train/a_test_0.jsonl.gz", ['{"code":"no"}'])
+    assert "yes" in jsonl.preview(spark, f"{tmp_path}/train").first().sample
+
+
 def test_raw_shards_to_refined_shards(spark, tmp_path):
     names = ("code", "docstring"), ("func_code_string", "func_documentation_string")
     for split in ("train", "valid", "test"):
         lines = [json.dumps(dict(zip(names[i % 2], (c, d)))) for i, s, c, d in ROWS if s == split]
         write_gz(f"{tmp_path}/in/{split}/part.jsonl.gz", [*lines, "{broken"])
-    refinery.refine_shards(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    audit = {r.split: r for r in refinery.refine_shards(spark, f"{tmp_path}/in", f"{tmp_path}/out").collect()}
+    assert all(audit[s].malformed == 1 and audit[s].kept == sum(v == "kept" and ROWS[i - 1][1] == s for i, v in brute(ROWS).items()) for s in audit)
     kept = [i for i, v in brute(ROWS).items() if v == "kept"]
     rows = spark.read.json(f"{tmp_path}/out").collect()
     assert sorted((r.split, r.docstring) for r in rows) == sorted((ROWS[i - 1][1], ROWS[i - 1][3]) for i in kept)

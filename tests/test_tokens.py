@@ -46,7 +46,7 @@ def test_vocabulary_and_codes(spark, texts, size):
     rows = unseen.select("line", encode(F.col("line")).alias("ids"))
     for row in rows.collect():
         assert row.ids == tool.encode(row.line).ids
-    spoken = encoding.decode(rows, table)
+    spoken = encoding.decode(rows.withColumn("row", F.monotonically_increasing_id()), table, key="row")
     for row in spoken.collect():
         assert row.text == tool.decode(row.ids, skip_special_tokens=True)
 
@@ -110,23 +110,50 @@ def test_batches(spark):
     assert plain == {i: i // 32 for i in range(100)}
 
 
-@pytest.mark.parametrize("width", [1, 128, 65_536])
-def test_first_rows(spark, width):
-    rows = spark.range(0, 3000, 3)
-    bucket = positions.id_bucket("id", width)
-    assert sorted(r.id for r in sampling.subset_first_n(rows, 200, bucket=bucket).collect()) == list(range(0, 600, 3))
-    assert sampling.subset_first_n(rows, 5000, bucket=bucket).count() == 1000
-    assert sampling.subset_first_n(rows, 0, bucket=bucket).count() == 0
+@pytest.mark.parametrize("step", [1, 3, 1_000_003])
+def test_first_rows(spark, step):
+    rows = spark.range(0, 1000 * step, step)
+    assert sorted(r.id for r in sampling.subset_first_n(rows, 200).collect()) == [i * step for i in range(200)]
+    assert sampling.subset_first_n(rows, 5000).count() == 1000
+    assert sampling.subset_first_n(rows, 0).count() == 0
     assert sampling.valid_budget(20_003) == 4000
 
 
+def test_first_rows_per_group(spark):
+    rows = spark.range(90).withColumn("g", F.col("id") % 3)
+    assert sorted(r.id for r in sampling.first_n_per_group(rows, 2, "g").collect()) == [0, 1, 2, 3, 4, 5]
+
+
 def test_first_lines_in_file_order(spark):
     lines = spark.createDataFrame(
         [(f, b, s) for f in ("x", "a") for b in (0, 64) for s in range(3)], "file string, block long, seq long"
     ).withColumn("id", F.struct("file", "block", "seq"))
-    got = sampling.subset_first_n(lines, 7, bucket=F.struct("file", "block")).orderBy("id").collect()
+    got = sampling.subset_first_n(lines, 7).orderBy("id").collect()
     assert [(r.file, r.block, r.seq) for r in got] == [
         ("a", 0, 0), ("a", 0, 1), ("a", 0, 2), ("a", 64, 0), ("a", 64, 1), ("a", 64, 2), ("x", 0, 0)]
+    batched = sampling.assign_batches(lines, 5).orderBy("id").collect()
+    assert [r.batch_id for r in batched] == [0] * 5 + [1] * 5 + [2] * 2
+    assert sorted(r.batch_id for r in sampling.assign_batches(lines, 5, seed=1).collect()) == [0] * 5 + [1] * 5 + [2] * 2
+
+
+def test_long_tokens_merge_in_order():
+    import time
+
+    merges = {(4, 4): (0, 5), (5, 5): (1, 6), (6, 6): (2, 7), (5, 4): (3, 8)}
+    letters = {"a": 4}
+
+    def slow(word):
+        ids = [letters[c] for c in word]
+        while options := [(merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]:
+            at = min(options)[1]
+            ids[at : at + 2] = [merges[ids[at], ids[at + 1]][1]]
+        return ids
+
+    for n in range(1, 40):
+        assert encoding._merge_word("a" * n, letters, merges) == slow("a" * n)
+    start = time.process_time()
+    assert len(encoding._merge_word("a" * 20_000, letters, merges)) == 2500
+    assert time.process_time() - start < 5
 
 
 def test_samples_are_bounded_and_repeatable(spark):
