@@ -21,7 +21,7 @@ SMOOTHING = 5.0
 ACCEPT = 0.7
 UNKNOWN = "und"
 UNKNOWN_SHARE = 0.01
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 # Bytes that belong to words: ASCII letters in lower case and everything beyond ASCII; all others are one gap.
 _FOLD = np.zeros(256, dtype=np.uint8)
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)

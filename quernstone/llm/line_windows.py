@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,13 +20,13 @@ LAST = (1 << 63) - 1
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col)
     return docs.select(
-        F.struct("*").alias("_row"), text.alias("_text"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_doc"),
+        F.struct("*").alias("_row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_doc"),
         F.xxhash64(F.lit("text"), text).alias("_copy"),
     )
 
 
-def _windows(text: Column, window: int) -> Column:
-    """Two hashes and the start, counted in visible lines, of every window."""
+def _windows(text: Column, window: int) -> tuple[Column, Callable[[Column], Column]]:
+    """Two hashes of every visible line, and what makes windows of them: two hashes and the first line's number."""
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(VISIBLE))
     pairs = F.transform(lines, lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit("line"), line).alias("b")))
 
@@ -71,8 +73,8 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "do
     Texts of fewer lines, empty and null ones stay as they are. Null ids come last. Rows that repeat both
     id and text count as one document and stay alike. Empty tables give no rows.
     """
-    keyed = _keyed(docs, id_col, text_col)
-    pairs, windows = _windows(F.col("_text"), window)
+    keyed, text = _keyed(docs, id_col, text_col), F.col(f"_row.`{text_col}`")
+    pairs, windows = _windows(text, window)
     places = stored(
         keyed.select("_doc", "_copy", pairs.alias("hashes"))
         .select("_doc", "_copy", F.explode(windows(F.col("hashes"))).alias("w"))
@@ -90,10 +92,10 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "do
     )
     joined = keyed.join(later, ["_doc", "_copy"], "left")
     hit = F.col("starts").isNotNull()
-    cut = _without(window)(F.when(hit, F.col("_text")).otherwise(F.lit("")), F.coalesce("starts", F.array().cast("array<int>")))
-    own = F.coalesce(F.size(F.filter(F.split("_text", "\n"), lambda line: line.rlike(VISIBLE))), F.lit(0))
+    cut = _without(window)(F.when(hit, text).otherwise(F.lit("")), F.coalesce("starts", F.array().cast("array<int>")))
+    own = F.coalesce(F.size(F.filter(F.split(text, "\n"), lambda line: line.rlike(VISIBLE))), F.lit(0))
     return joined.withColumn("_cut", cut).select(
-        F.col("_row").withField(f"`{text_col}`", F.when(hit, F.col("_cut.text")).otherwise(F.col("_text"))).alias("_row"),
-        F.when(hit, F.col("_cut.lines")).otherwise(F.when(F.col("_text").isNull(), 0).otherwise(own)).cast("long").alias("n_lines"),
+        F.col("_row").withField(f"`{text_col}`", F.when(hit, F.col("_cut.text")).otherwise(text)).alias("_row"),
+        F.when(hit, F.col("_cut.lines")).otherwise(F.when(text.isNull(), 0).otherwise(own)).cast("long").alias("n_lines"),
         F.when(hit, F.col("_cut.removed")).otherwise(0).cast("long").alias("n_removed"),
     )
