@@ -15,7 +15,7 @@ VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 SPECIAL = "<|endoftext|>"
 END_ID = 2
-KNOWN_LIMIT = 1_000_000
+KNOWN_LIMIT = 500_000
 # Bytes that can follow a blank at the start of a piece. Left out are ASCII control and white space and
 # the lead bytes of wider white space, where a cut could fall inside a run of blanks.
 _STARTS = np.zeros(256, dtype=bool)
