@@ -40,22 +40,30 @@ def noisy_docs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# SQL that both engines read: a module that one file in six imports inside its body, and the file's one symbol.
+MODULE_SQL = """CASE l_partkey % 6 WHEN 0 THEN 'json' WHEN 1 THEN 'numpy' WHEN 2 THEN 'zlib' WHEN 3 THEN 'Requests'
+  WHEN 4 THEN 'wsgiref' ELSE 'yaml' END"""
+NAME_SQL = "CASE l_linenumber % 3 WHEN 0 THEN 'f_' WHEN 1 THEN 'g_' ELSE 'C_' END || cast(l_orderkey AS string)"
+SOURCE_SQL = f"""'import os' || chr(10) || 'from ' || lower(l_returnflag) || '_pkg.mod import x' || chr(10)
+  || 'from .sib import y' || chr(10)
+  || CASE l_linenumber % 3 WHEN 0 THEN 'def ' WHEN 1 THEN 'async def ' ELSE 'class ' END || {NAME_SQL}
+  || CASE l_linenumber % 3 WHEN 0 THEN '(a, b, *args, k=1, **kw):' WHEN 1 THEN '(p, /, q):' ELSE ':' END || chr(10)
+  || '    ' || repeat(chr(34), 3) || 'Doc ' || l_linestatus || '.' || repeat(chr(34), 3) || chr(10)
+  || '    import ' || {MODULE_SQL} || '.part' || chr(10)
+  || '    s = ' || chr(34) || 'a#b' || chr(34) || '  # note ' || cast(l_partkey AS string) || chr(10)
+  || '   ' || chr(10)
+  || '    return s + ' || chr(39) || '#' || cast(l_suppkey AS string) || chr(39) || chr(10)"""
+PATH_SQL = """'src/m' || cast(l_orderkey % 50 AS string) || '/f' || cast(l_orderkey AS string) || '_'
+  || cast(l_linenumber AS string) || '.py'"""
+
+
 def sources(spark: SparkSession, folder: str) -> DataFrame:
-    """One small Python file per line item."""
+    """One small Python file per line item: functions, coroutines and classes, with nested imports."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"
     )
     return lines.repartition("l_orderkey", "l_linenumber", "l_partkey").selectExpr(
-        "l_orderkey * 10 + l_linenumber AS id",
-        """'src/m' || cast(l_orderkey % 50 AS string) || '/f' || cast(l_orderkey AS string) || '_'
-           || cast(l_linenumber AS string) || '.py' AS path""",
-        """'import os' || chr(10) || 'from ' || lower(l_returnflag) || '_pkg.mod import x' || chr(10)
-           || 'from .sib import y' || chr(10)
-           || 'def f_' || cast(l_orderkey AS string) || '(a, b, *args, k=1, **kw):' || chr(10)
-           || '    ' || repeat(chr(34), 3) || 'Doc ' || l_linestatus || '.' || repeat(chr(34), 3) || chr(10)
-           || '    s = ' || chr(34) || 'a#b' || chr(34) || '  # note ' || cast(l_partkey AS string) || chr(10)
-           || '   ' || chr(10)
-           || '    return s + ' || chr(39) || '#' || cast(l_suppkey AS string) || chr(39) || chr(10) AS source""",
+        "l_orderkey * 10 + l_linenumber AS id", f"{PATH_SQL} AS path", f"{SOURCE_SQL} AS source"
     )
 
 

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from checks.adapters import LOG_PART, RUN_FIELDS, SHARD_ROWS, dirty_line_sql, json_text
+from checks.adapters import (
+    LOG_PART,
+    MODULE_SQL,
+    NAME_SQL,
+    PATH_SQL,
+    RUN_FIELDS,
+    SHARD_ROWS,
+    SOURCE_SQL,
+    dirty_line_sql,
+    json_text,
+)
 from quernstone.operators.codeindex import STANDARD_MODULES
 
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -80,17 +90,9 @@ NOISY = """noisy AS (
     || ':param p: thing' || chr(10) || '>>> run(' || cast(doc_id AS varchar) || ')' || chr(10)
     || CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END || chr(10) || chr(10)
     || 'Second paragraph' AS docstring FROM documents)"""
-SOURCES = """sources AS (
-  SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey, l_linenumber, l_returnflag, l_linestatus,
-    'src/m' || cast(l_orderkey % 50 AS varchar) || '/f' || cast(l_orderkey AS varchar) || '_'
-      || cast(l_linenumber AS varchar) || '.py' AS path,
-    'import os' || chr(10) || 'from ' || lower(l_returnflag) || '_pkg.mod import x' || chr(10)
-      || 'from .sib import y' || chr(10)
-      || 'def f_' || cast(l_orderkey AS varchar) || '(a, b, *args, k=1, **kw):' || chr(10)
-      || '    ' || repeat(chr(34), 3) || 'Doc ' || l_linestatus || '.' || repeat(chr(34), 3) || chr(10)
-      || '    s = ' || chr(34) || 'a#b' || chr(34) || '  # note ' || cast(l_partkey AS varchar) || chr(10)
-      || '   ' || chr(10)
-      || '    return s + ' || chr(39) || '#' || cast(l_suppkey AS varchar) || chr(39) || chr(10) AS source
+SOURCES = f"""sources AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_returnflag, l_linestatus, l_linenumber % 3 AS form, {PATH_SQL} AS path,
+    {NAME_SQL} AS name, {MODULE_SQL} AS module, {SOURCE_SQL} AS source
   FROM lineitem)"""
 CLEANED = PAIRS + f""",
 raw_cleaned AS (SELECT id, split, code AS raw_code, {clean_code('code')} AS code, {clean_doc('docstring')} AS docstring FROM pairs),
@@ -206,7 +208,8 @@ IMPORT_ROWS = SOURCES + """,
 imports AS (
   SELECT path, 'os' AS module, false AS relative FROM sources
   UNION ALL SELECT path, lower(l_returnflag) || '_pkg', false FROM sources
-  UNION ALL SELECT path, 'sib', true FROM sources)"""
+  UNION ALL SELECT path, 'sib', true FROM sources
+  UNION ALL SELECT path, module, false FROM sources)"""
 
 RAW = PAIRS + f", dirty AS (SELECT id, split, docstring, code, {dirty_line_sql()} AS raw FROM pairs)"
 GOOD = "id % 8 IN (0, 1, 4, 7)"
@@ -408,7 +411,8 @@ def build() -> dict[str, str]:
         FROM log_epochs GROUP BY ALL) e USING (run_id, part)""")
 
     # sources as syntax, predictions
-    sql["extract_symbols"] = w(SOURCES, """SELECT path, 'Function' AS type, 'f_' || l_orderkey AS name, 4 AS lineno, 'a, b, *args, k, **kw' AS args,
+    sql["extract_symbols"] = w(SOURCES, """SELECT path, CASE form WHEN 0 THEN 'Function' WHEN 1 THEN 'Async Function' ELSE 'Class' END AS type,
+        name, 4 AS lineno, CASE form WHEN 0 THEN 'a, b, *args, k, **kw' WHEN 1 THEN 'p, q' END AS args,
         'Doc ' || l_linestatus || '.' AS docstring FROM sources""")
     sql["extract_imports"] = w(IMPORT_ROWS, "SELECT path, module, relative FROM imports")
     sql["batch_predict"] = w(KEYWORDS, f"SELECT id, split AS run, prediction, length(replace(docstring, ' ', '')) / 10.0::double AS nll_sum, cast({n_words('docstring')} AS bigint) AS n_tokens FROM predicted")
