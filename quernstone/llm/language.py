@@ -73,14 +73,16 @@ def text_scores(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.n
         sizes = np.array([len(h) for h in held])
         first = np.cumsum(sizes) - sizes
         bins, inside = _bins(data)
+        seams = np.cumsum(sizes)[:-1]
+        inside[seams - 1] = inside[seams - 2] = False
         scores = np.where(inside[:, None], model.table[bins], 0)
-        np.add.at(sums, owner, np.add.reduceat(scores, np.minimum(first, len(bins) - 1), axis=0, dtype=np.float64))
-        np.add.at(counts, owner, np.add.reduceat(inside.astype(np.int64), np.minimum(first, len(bins) - 1)))
+        np.add.at(sums, owner, np.add.reduceat(scores, first, axis=0, dtype=np.float64))
+        np.add.at(counts, owner, np.add.reduceat(inside.astype(np.int64), first))
 
     for row, text in enumerate(texts):
         raw = _whole(text)
         for at in range(0, len(raw) - 2, STEP_BYTES):
-            held.append(raw[at : at + STEP_BYTES + 2] + b"\0")
+            held.append(raw[at : at + STEP_BYTES + 2])
             owner.append(row)
             size += len(held[-1])
             if size >= STEP_BYTES:
