@@ -273,30 +273,38 @@ def select_runs_by_rank(files: DataFrame, spec: str, name: str = "file", suffix:
 # --- run records -----------------------------------------------------------------------------
 
 
-def run_records(run_table: DataFrame, epochs: DataFrame, part_size: int, mode: str = "fast") -> DataFrame:
+def run_records(
+    run_table: DataFrame, epochs: DataFrame, part_size: int, mode: str = "fast", phases: DataFrame | None = None
+) -> DataFrame:
     """Nested run records; a run longer than ``part_size`` epochs continues in further records.
 
-    A run without epochs has one record with an empty history.
+    A run without epochs has one record with an empty history. ``phases`` (``run_id, phase, seconds``, as
+    from :func:`phase_durations`) fill the durations; without them the total time is the training's.
+    ``tokenizer`` and ``infrastructure`` columns of ``run_table`` become blocks of the record.
     """
-    duration = F.format_string("%.2fs", "seconds")
+    shown = F.format_string("%.2fs", "seconds")
     history = (
         epochs.withColumn("part", F.expr(f"(epoch - 1) DIV {part_size}").cast("int"))
         .groupBy("run_id", "part")
         .agg(F.sort_array(F.collect_list(
-            F.struct("epoch", "train_loss", "val_loss", "lr", duration.alias("duration"))
+            F.struct("epoch", "train_loss", "val_loss", "lr", shown.alias("duration"))
         )).alias("training_history"))
     )
+    durations = F.create_map(F.lit("model_training"), F.format_string("%.2fs", "total_seconds"))
+    if phases is not None:
+        named = phases.groupBy("run_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("phase", shown)))).alias("_durations"))
+        run_table = run_table.join(named, "run_id", "left")
+        durations = F.coalesce("_durations", F.expr("cast(map() AS map<string,string>)"))
     subset = F.when(F.col("subset_size") == 0, "ALL").otherwise(F.col("subset_size").cast("string"))
     started = F.date_format("started", "yyyy-MM-dd'T'HH:mm:ss")
-    total = F.format_string("%.2fs", "total_seconds")
     empty = F.array().cast(history.schema["training_history"].dataType)
+    metadata = [F.col("model").alias("model_type"), subset.alias("subset"), started.alias("start_time")]
     return run_table.join(history, "run_id", "left").select(
         "run_id",
         F.coalesce("part", F.lit(0)).alias("part"),
-        F.struct(
-            F.col("model").alias("model_type"), subset.alias("subset"), started.alias("start_time")
-        ).alias("metadata"),
-        F.create_map(F.lit("model_training"), total).alias("durations"),
+        F.struct(*metadata, *[c for c in ("tokenizer",) if c in run_table.columns]).alias("metadata"),
+        durations.alias("durations"),
+        *[c for c in ("infrastructure",) if c in run_table.columns],
         F.coalesce("training_history", empty).alias("training_history"),
         F.struct("file", "model", "bleu", "rougeL", F.lit(mode).alias("eval_mode")).alias("evaluation"),
     )

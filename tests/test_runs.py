@@ -154,6 +154,11 @@ def test_long_runs_continue_in_further_records(spark):
     assert rows[0].training_history[0].duration == "3.46s" and rows[0].metadata.subset == "ALL"
     [bare] = runs.run_records(table, epochs.limit(0), 3).collect()
     assert (bare.part, bare.training_history, bare.evaluation.file) == (0, [], "f.pt")
+    phases = spark.createDataFrame([(1, "setup", 1.5), (1, "training", 2.0)], "run_id int, phase string, seconds double")
+    full = table.withColumn("tokenizer", F.struct(F.lit("REUSED").alias("status"))).withColumn("infrastructure", F.create_map(F.lit("gpu"), F.lit("T4")))
+    [record] = runs.run_records(full, epochs.limit(0), 3, phases=phases).collect()
+    assert record.durations == {"setup": "1.50s", "training": "2.00s"}
+    assert record.metadata.tokenizer.status == "REUSED" and record.infrastructure == {"gpu": "T4"}
 
 
 def test_numbers_with_type_letters_do_not_count(spark):
