@@ -6,9 +6,8 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.llm.common import apart, mix64, stored, stored_with
@@ -18,8 +17,9 @@ from quernstone.llm.shingles import WORDS, shingle_sets
 ROWS = 6
 MISS = 1e-4
 HUBS = 4
+MOST_HUBS = 32
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
-SETS = "rep long, items binary"
+SETS = "rep long, items array<long>"
 SEED = 97
 
 
@@ -90,31 +90,21 @@ def _full_sets(words: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                items = [s.tobytes() for s in shingle_sets(part.column("text").to_pylist(), words)]
-                yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(items, pa.binary())], names=["rep", "items"])
+                items = [s.view(np.int64) for s in shingle_sets(part.column("text").to_pylist(), words)]
+                yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(items, pa.list_(pa.int64()))], names=["rep", "items"])
 
     return work
 
 
-def _confirm(percent: int):
-    @F.pandas_udf("boolean")
-    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = np.zeros(len(a), dtype=bool)
-        for k, (x, y) in enumerate(zip(a, b)):
-            s, t = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            if len(s) > len(t):
-                s, t = t, s
-            at = np.searchsorted(t, s)
-            common = int((t[np.minimum(at, len(t) - 1)] == s).sum()) if len(t) else 0
-            out[k] = common > 0 and 100 * common >= percent * (len(s) + len(t) - common)
-        return pd.Series(out)
-
-    return linked
+def _linked(a: Column, b: Column, percent: int) -> Column:
+    """Whether two full sets reach the threshold."""
+    common = F.size(F.array_intersect(a, b))
+    return (common > 0) & (100 * common >= percent * (F.size(a) + F.size(b) - common))
 
 
 def _candidates(member: DataFrame, turn: int, hubs: int, percent: int) -> DataFrame:
     """Star edges from a few hubs of each bucket to its members of other components."""
-    order = [F.struct(F.xxhash64(F.lit(turn * hubs + k), "rep").alias("h"), "rep", "comp", "n") for k in range(hubs)]
+    order = [F.struct(F.xxhash64(F.lit(turn * MOST_HUBS + k), "rep").alias("h"), "rep", "comp", "n") for k in range(hubs)]
     chosen = member.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(o) for o in order])).alias("hubs"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
     centre = apart(chosen.filter("c1 <> c2").select("bucket", "hubs"), "bucket")
     edges = member.join(centre, "bucket").select("rep", "comp", "n", F.explode("hubs").alias("hub"))
@@ -160,8 +150,8 @@ def near_classes(
 
     Rows link when ``100 * intersection >= percent * union`` of their sets of distinct shingles; equal
     sets are one class from the start. Classes meet in banded buckets. In every turn each bucket that
-    still holds several components names a few hubs, and only edges between a hub and members of other
-    components are checked, on full sets: the number of pairs is linear in the members. Links merge
+    still holds several components names a few hubs, twice as many each time, and only edges between a
+    hub and members of other components are checked, on full sets: the number of pairs is linear in the members. Links merge
     components, and further turns with other hubs follow until one finds no pair it has not checked or
     no link, so a bucket's texts need not resemble its first hub.
 
@@ -186,7 +176,6 @@ def near_classes(
         text.join(near.withColumnRenamed("rep", "doc_id"), "doc_id").select(F.col("doc_id").alias("rep"), "text")
         .mapInArrow(_full_sets(words), SETS), "sets"
     )
-    linked = _confirm(percent)
     spark = docs.sparkSession
     checked = spark.createDataFrame([], "hi long, lo long")
     links, labels, turn = None, None, 0
@@ -194,10 +183,10 @@ def near_classes(
         now = member.withColumn("comp", F.col("rep")) if labels is None else (
             member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
         )
-        pairs = _candidates(now, turn, hubs, percent).join(checked, ["hi", "lo"], "left_anti")
+        pairs = _candidates(now, turn, min(hubs << turn, MOST_HUBS), percent).join(checked, ["hi", "lo"], "left_anti")
         both = pairs.join(items.toDF("lo", "b"), "lo").join(items.toDF("hi", "a"), "hi")
         result, seen = stored_with(
-            both.select("hi", "lo", linked("a", "b").alias("link")), "pairs", found=F.count("*"), links=F.count(F.when(F.col("link"), 1))
+            both.select("hi", "lo", _linked(F.col("a"), F.col("b"), percent).alias("link")), "pairs", found=F.count("*"), links=F.count(F.when(F.col("link"), 1))
         )
         checked = checked.unionByName(result.select("hi", "lo"))
         turn += 1
