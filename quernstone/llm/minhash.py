@@ -103,13 +103,18 @@ def _linked(a: Column, b: Column, percent: int) -> Column:
 
 
 def _candidates(member: DataFrame, turn: int, hubs: int, percent: int) -> DataFrame:
-    """Star edges from a few hubs of each bucket to its members of other components."""
-    order = [F.struct(F.xxhash64(F.lit(turn * MOST_HUBS + k), "rep").alias("h"), "rep", "comp", "n") for k in range(hubs)]
+    """Star edges from a few hubs of each bucket to its members of other components.
+
+    A hub that is not linked with anything yet meets only others like it: it meets linked ones from the
+    other end, as a member, so a large component never meets each of the few that are still alone.
+    """
+    order = [F.struct(F.xxhash64(F.lit(turn * MOST_HUBS + k), "rep").alias("h"), "rep", "comp", "n", "linked") for k in range(hubs)]
     chosen = member.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(o) for o in order])).alias("hubs"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
     centre = apart(chosen.filter("c1 <> c2").select("bucket", "hubs"), "bucket")
-    edges = member.join(centre, "bucket").select("rep", "comp", "n", F.explode("hubs").alias("hub"))
+    edges = member.join(centre, "bucket").select("rep", "comp", "n", "linked", F.explode("hubs").alias("hub"))
     small, large = F.least("n", F.col("hub.n")), F.greatest("n", F.col("hub.n"))
-    return edges.filter((F.col("hub.comp") != F.col("comp")) & (100 * small >= percent * large)).select(
+    worth = (F.col("hub.comp") != F.col("comp")) & (F.col("hub.linked") | ~F.col("linked"))
+    return edges.filter(worth & (100 * small >= percent * large)).select(
         F.greatest("rep", "hub.rep").alias("hi"), F.least("rep", "hub.rep").alias("lo")
     ).distinct()
 
@@ -121,11 +126,11 @@ def _labels(known: DataFrame | None, links: DataFrame) -> DataFrame:
     """
     both = links.select(F.col("hi").alias("node"), F.col("lo").alias("other")).unionByName(links.select(F.col("lo").alias("node"), F.col("hi").alias("other")))
     if known is None:
-        near = both.select("node", F.col("other").alias("label"))
+        near = both.toDF("node", "label")
     else:
         lifted = both.join(known.select(F.col("node").alias("other"), "label"), "other", "left")
         near = known.unionByName(lifted.select("node", F.coalesce("label", "other").alias("label")))
-    once = stored(near.groupBy("node").agg(F.min("label").alias("label")).filter("label < node"), "labels")
+    once = stored(near.groupBy("node").agg(F.min("label").alias("label")).select("node", F.least("node", "label").alias("label")), "labels")
     up = once.select(F.col("node").alias("label"), F.col("label").alias("_up"))
     return stored(once.join(up, "label", "left").select("node", F.coalesce("_up", "label").alias("label")), "labels")
 
@@ -180,11 +185,16 @@ def near_classes(
     checked = spark.createDataFrame([], "hi long, lo long")
     links, labels, turn = None, None, 0
     while True:
-        now = member.withColumn("comp", F.col("rep")) if labels is None else (
-            member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
-        )
-        pairs = _candidates(now, turn, min(hubs << turn, MOST_HUBS), percent).join(checked, ["hi", "lo"], "left_anti")
-        both = pairs.join(items.toDF("lo", "b"), "lo").join(items.toDF("hi", "a"), "hi")
+        if labels is None:
+            now = member.select("*", F.col("rep").alias("comp"), F.lit(False).alias("linked"))
+        else:
+            known = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+            now = known.select(*member.columns, F.coalesce("label", "rep").alias("comp"), F.col("label").isNotNull().alias("linked"))
+        wanted = _candidates(now, turn, min(hubs << turn, MOST_HUBS), percent).join(checked, ["hi", "lo"], "left_anti")
+        pairs = stored(wanted, "candidates")
+        pairs = pairs if turn else pairs.hint("merge")  # the first turn is large wherever the table is
+        both = pairs.join(items.toDF("lo", "b"), "lo")
+        both = (both if turn else both.hint("merge")).join(items.toDF("hi", "a"), "hi")
         result, seen = stored_with(
             both.select("hi", "lo", _linked(F.col("a"), F.col("b"), percent).alias("link")), "pairs", found=F.count("*"), links=F.count(F.when(F.col("link"), 1))
         )
