@@ -18,7 +18,7 @@ PER_LANGUAGE = 400
 MAX_LANGUAGES = 64
 SATURATION = 100.0
 SMOOTHING = 5.0
-ACCEPT = 0.7
+ACCEPT = 0.5
 UNKNOWN = "und"
 UNKNOWN_SHARE = 0.01
 STEP_BYTES = 1 << 18
