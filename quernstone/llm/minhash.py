@@ -107,7 +107,7 @@ def _candidates(member: DataFrame, turn: int, hubs: int, percent: int) -> DataFr
     A hub that is not linked with anything yet meets only others like it: it meets linked ones from the
     other end, as a member, so a large component never meets each of the few that are still alone.
     """
-    order = [F.struct(F.xxhash64(F.lit(turn * hubs + k), "rep").alias("h"), "rep", "comp", "n", "linked") for k in range(hubs)]
+    order = [F.struct(F.xxhash64(F.lit(1000 * turn + k), "rep").alias("h"), "rep", "comp", "n", "linked") for k in range(hubs)]
     chosen = member.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(o) for o in order])).alias("hubs"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
     centre = apart(chosen.filter("c1 <> c2").select("bucket", "hubs"), "bucket")
     edges = member.join(centre, "bucket").select("rep", "comp", "n", "linked", F.explode("hubs").alias("hub"))
@@ -154,8 +154,8 @@ def near_classes(
 
     Rows link when ``100 * intersection >= percent * union`` of their sets of distinct shingles; equal
     sets are one class from the start. Classes meet in banded buckets. In every turn each bucket that
-    still holds several components names a few hubs, others each time, and only edges between a hub
-    and members of other components are checked, on full sets: the number of pairs is linear in the members. Links merge
+    still holds several components names a few hubs, others each time and twice as many after the
+    first, and only edges between a hub and members of other components are checked, on full sets: the number of pairs is linear in the members. Links merge
     components, and further turns with other hubs follow until one finds no pair it has not checked or
     no link, so a bucket's texts need not resemble its first hub.
 
@@ -189,7 +189,7 @@ def near_classes(
         else:
             known = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
             now = known.select(*member.columns, F.coalesce("label", "rep").alias("comp"), F.col("label").isNotNull().alias("linked"))
-        wanted = _candidates(now, turn, hubs, percent).join(checked, ["hi", "lo"], "left_anti")
+        wanted = _candidates(now, turn, 2 * hubs if turn else hubs, percent).join(checked, ["hi", "lo"], "left_anti")
         pairs = stored(wanted, "candidates")
         pairs = pairs if turn else pairs.hint("merge")  # the first turn is large wherever the table is
         both = pairs.join(items.toDF("lo", "b"), "lo")
