@@ -102,17 +102,13 @@ def _linked(a: Column, b: Column, percent: int) -> Column:
 
 
 def _candidates(member: DataFrame, turn: int, hubs: int, percent: int) -> DataFrame:
-    """Star edges from a few hubs of each bucket to its members of other components.
-
-    A hub that is not linked with anything yet meets only others like it: it meets linked ones from the
-    other end, as a member, so a large component never meets each of the few that are still alone.
-    """
-    order = [F.struct(F.xxhash64(F.lit(1000 * turn + k), "rep").alias("h"), "rep", "comp", "n", "linked") for k in range(hubs)]
+    """Star edges from a few hubs of each bucket to its members of other components, linked or not."""
+    order = [F.struct(F.xxhash64(F.lit(1000 * turn + k), "rep").alias("h"), "rep", "comp", "n") for k in range(hubs)]
     chosen = member.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(o) for o in order])).alias("hubs"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
     centre = apart(chosen.filter("c1 <> c2").select("bucket", "hubs"), "bucket")
-    edges = member.join(centre, "bucket").select("rep", "comp", "n", "linked", F.explode("hubs").alias("hub"))
+    edges = member.join(centre, "bucket").select("rep", "comp", "n", F.explode("hubs").alias("hub"))
     small, large = F.least("n", F.col("hub.n")), F.greatest("n", F.col("hub.n"))
-    worth = (F.col("hub.comp") != F.col("comp")) & (F.col("hub.linked") | ~F.col("linked"))
+    worth = F.col("hub.comp") != F.col("comp")
     return edges.filter(worth & (100 * small >= percent * large)).select(
         F.greatest("rep", "hub.rep").alias("hi"), F.least("rep", "hub.rep").alias("lo")
     ).distinct()
@@ -185,10 +181,10 @@ def near_classes(
     links, labels, turn = None, None, 0
     while True:
         if labels is None:
-            now = member.select("*", F.col("rep").alias("comp"), F.lit(False).alias("linked"))
+            now = member.withColumn("comp", F.col("rep"))
         else:
             known = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-            now = known.select(*member.columns, F.coalesce("label", "rep").alias("comp"), F.col("label").isNotNull().alias("linked"))
+            now = known.select(*member.columns, F.coalesce("label", "rep").alias("comp"))
         wanted = _candidates(now, turn, 2 * hubs if turn else hubs, percent).join(checked, ["hi", "lo"], "left_anti")
         pairs = stored(wanted, "candidates")
         pairs = pairs if turn else pairs.hint("merge")  # the first turn is large wherever the table is

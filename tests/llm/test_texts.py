@@ -6,7 +6,7 @@ import re
 import pytest
 
 from quernstone.llm.line_windows import drop_repeated_lines
-from quernstone.llm.minhash import bands_needed, near_classes
+from quernstone.llm.minhash import _candidates, bands_needed, near_classes
 from quernstone.llm.shingles import shingle_sets
 from tests.llm.test_vectors import roots_of
 
@@ -68,6 +68,17 @@ def test_near_classes_edges(spark):
     assert (1 - 0.85**6) ** bands_needed(85) <= 1e-4
 
 
+def test_unlinked_hubs_meet_linked_members(spark):
+    alone = [(7, rep, 100, rep, False) for rep in range(10, 110)]
+    members = [(7, 1, 100, 0, True), (7, 2, 100, 0, True), *alone]
+    for turn in range(1, 4):
+        pairs = _candidates(spark.createDataFrame(members, "bucket long, rep long, n long, comp long, linked boolean"), turn, 8, 85).collect()
+        hubs = {r["lo"] for r in pairs if r["hi"] >= 10} | {r["hi"] for r in pairs}
+        met = {r["hi"] for r in pairs if r["lo"] == 1 and r["hi"] >= 10}
+        drawn = {h for h in hubs if sum(h in (r["hi"], r["lo"]) for r in pairs) > 50}
+        assert drawn and {h for h in drawn if h >= 10} <= met
+
+
 def test_shingle_hashes_tell_sets_apart():
     rng = random.Random(4)
     texts = [t for _, t in documents(2)] + [prose(rng, 30_000)]
