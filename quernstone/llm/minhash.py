@@ -6,17 +6,23 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import apart, mix64, stored, stored_with
+from quernstone.llm.common import apart, key_runs, mix64, stored, stored_with
 from quernstone.llm.components import connected_components
+from quernstone.llm.near_vectors import _roots
 from quernstone.llm.shingles import WORDS, shingle_sets
 
 ROWS = 6
 MISS = 1e-4
 HUBS = 4
+BLOCK_ROWS = 256
+BLOCK_SHINGLES = 1 << 21
+STEP = 4096
+WORTH = 10
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
 SETS = "rep long, items array<long>"
 SEED = 97
@@ -142,6 +148,83 @@ def _components(labels: DataFrame, links: DataFrame) -> DataFrame:
     return followed.unionByName(roots).groupBy("node").agg(F.min("component").alias("component"))
 
 
+def _common(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of the intersections of the sets of ``a`` with those of ``b``, or with each other.
+
+    A set with itself is not counted right: items that no other set holds are left out.
+    """
+    sets = a + (b or [])
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    code, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    shared = n[code] > 1
+    code, owner = (np.cumsum(n > 1) - 1)[code[shared]], owner[shared]
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    out = np.zeros((len(a), len(a if b is None else b)))
+    for low in range(0, int(code[-1]) + 1 if len(code) else 0, STEP):
+        at, end = np.searchsorted(code, [low, low + STEP])
+        x = np.zeros((len(sets), STEP), dtype=np.float32)
+        x[owner[at:end], code[at:end] - low] = 1
+        out += x[: len(a)] @ (x if b is None else x[len(a) :]).T
+    return out
+
+
+def _block_links(percent: int):
+    keys = ["bucket", "i", "j"]
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in key_runs(batches, keys):
+            i, j = int(block["i"].iloc[0]), int(block["j"].iloc[0])
+            a = block[block["chunk"] == i]
+            b = a if i == j else block[block["chunk"] == j]
+            other = a["comp"].to_numpy()[:, None] != b["comp"].to_numpy()[None, :]
+            if not other.any():
+                continue
+            common = _common(a["items"].to_list(), None if i == j else b["items"].to_list())
+            union = a["items"].map(len).to_numpy()[:, None] + b["items"].map(len).to_numpy()[None, :] - common
+            linked = other & (common > 0) & (100 * common >= percent * union)
+            if i != j:
+                size = len(a)
+                cross, linked = linked, np.zeros((size + len(b),) * 2, dtype=bool)
+                linked[:size, size:], linked[size:, :size] = cross, cross.T
+            some = linked.any(axis=1)
+            if some.any():
+                ids = (a if i == j else pd.concat([a, b]))["rep"].to_numpy()
+                yield pd.DataFrame({"hi": ids, "lo": _roots(ids, linked)})[some]
+
+    return work
+
+
+def _rest(member: DataFrame, roots: DataFrame, items: DataFrame, percent: int) -> DataFrame | None:
+    """Links ``hi, lo`` of all pairs of different components in buckets that still hold several.
+
+    Buckets of two are settled by any hub; buckets with the same members are compared once. Members are
+    dealt into chunks, bounded in texts and shingles, and all pairs of chunks are compared as matrices,
+    in many tasks; of each text only the least one it is connected with leaves a task.
+    """
+    now = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+    marks = [F.expr(f"bit_xor(xxhash64({k}, rep))").alias(f"x{k}") for k in range(2)]
+    held = now.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("s"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), *marks)
+    chunks = F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
+    unsettled, seen = stored_with(
+        held.filter("m > 2 AND c1 <> c2").groupBy("m", "s", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", chunks.alias("chunks")),
+        "unsettled", buckets=F.count("*"),
+    )
+    if not seen["buckets"]:
+        return None
+    placed = (
+        now.join(unsettled, "bucket")
+        .withColumn("chunk", F.pmod(F.xxhash64("bucket", "rep"), F.col("chunks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("bucket", "rep", "comp", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    )
+    keys = ["bucket", "i", "j"]
+    tasks = int(member.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wide = placed.join(items, "rep").repartition(tasks, *keys).sortWithinPartitions(*keys)
+    links, seen = stored_with(wide.mapInPandas(_block_links(percent), "hi long, lo long"), "rest", links=F.count("*"))
+    return links if seen["links"] else None
+
+
 def near_classes(
     docs: DataFrame, percent: int = 85, words: int = WORDS, rows: int = ROWS, miss: float = MISS, hubs: int = HUBS,
     id_col: str = "doc_id", text_col: str = "text", seed: int = SEED,
@@ -151,9 +234,11 @@ def near_classes(
     Rows link when ``100 * intersection >= percent * union`` of their sets of distinct shingles; equal
     sets are one class from the start. Classes meet in banded buckets. In every turn each bucket that
     still holds several components names a few hubs, others each time and twice as many after the
-    first, and only edges between a hub and members of other components are checked, on full sets: the number of pairs is linear in the members. Links merge
+    first, and edges between a hub and members of other components are checked, on full sets. Links merge
     components, and further turns with other hubs follow until one finds no pair it has not checked or
-    no link, so a bucket's texts need not resemble its first hub.
+    links less than one in ``WORTH`` of those it checks. Buckets that hold several components then are compared pair by pair, in blocks, so
+    every pair that shares a bucket is checked or inside one component: the cost of that is quadratic in
+    the members of such a bucket.
 
     Null and blank texts have an empty set and link with nothing. Rows that repeat an id share their
     component. Null ids are kept alone. Empty tables give no rows; other columns are ignored.
@@ -199,9 +284,12 @@ def near_classes(
             new = result.filter("link").select("hi", "lo")
             links = new if links is None else links.unionByName(new)
             labels = _labels(labels, new)
-        elif not seen["found"] or turn > 1:
+        if WORTH * seen["links"] < seen["found"] or not seen["found"]:
             break
-    roots = spark.createDataFrame([], "node long, component long") if links is None else _components(labels, links)
+    roots = spark.createDataFrame([], "node long, component long") if links is None else stored(_components(labels, links), "roots")
+    rest = _rest(member, roots, items, percent)
+    if rest is not None:
+        roots = _components(roots.withColumnRenamed("component", "label"), rest)
     solved = stored(
         classes.select(*shape, "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .select(*shape, F.coalesce("component", "rep").alias("component")), "solved",

@@ -3,10 +3,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from quernstone.llm.line_windows import drop_repeated_lines
-from quernstone.llm.minhash import _candidates, bands_needed, near_classes
+from quernstone.llm.minhash import _candidates, _common, bands_needed, near_classes
 from quernstone.llm.shingles import shingle_sets
 from tests.llm.test_vectors import roots_of
 
@@ -79,6 +80,31 @@ def test_unlinked_hubs_meet_linked_members(spark):
         assert drawn and {h for h in drawn if h >= 10} <= met
 
 
+def test_near_classes_copies_that_reach_only_the_original(spark):
+    rng = random.Random(6)
+    base = prose(rng, 2000)
+    texts = [base]
+    for _ in range(300):
+        words = base.split(" ")
+        for at in rng.sample(range(2000), 20):
+            words[at] = f"new{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").createOrReplaceTempView("copies")
+    sets = [plain_set(t) for t in texts]
+    with_original = {k for k, s in enumerate(sets) if 100 * len(s & sets[0]) >= 85 * len(s | sets[0])}
+    got = {r["doc_id"] for r in near_classes(spark.table("copies")).collect() if r["component_id"] == 0}
+    assert len(with_original) == 301 and got == with_original
+
+
+def test_common_sizes_of_sets():
+    rng = random.Random(8)
+    sets = [np.array(sorted(rng.sample(range(-30_000, 30_000), rng.randrange(1, 20_000))), np.int64) for _ in range(7)]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    got = _common(sets)
+    assert all(got[a, b] == want[a][b] for a in range(7) for b in range(7) if a != b)
+    assert _common(sets[:3], sets[3:]).tolist() == [row[3:] for row in want[:3]]
+
+
 def test_shingle_hashes_tell_sets_apart():
     rng = random.Random(4)
     texts = [t for _, t in documents(2)] + [prose(rng, 30_000)]
