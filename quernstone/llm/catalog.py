@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import language, line_windows, minhash, mixing, near_vectors, packing, personal_data, sharding, url_filter, vector_search
+from quernstone.llm import (
+    exact_copies, language, line_windows, minhash, mixing, near_vectors, packing, personal_data, phrases, sharding, url_filter, vector_search, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +83,18 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return personal_data.digest(personal_data.find_personal_data(_table(spark, sf, "documents")))
 
 
+def op11_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_copies.exact_classes(_table(spark, sf, "documents"), digests=True)
+
+
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +106,8 @@ def queries() -> dict[str, Query]:
         run.__name__: run
         for run in (
             op1_near_vectors, op2_mix_sources, op3_pack_documents, op4_language_id, op5_vector_search, op6_feistel_shards,
-            op7_line_windows, op8_minhash, op9_url_filter, op10_personal_data, language_pages, pipeline,
+            op7_line_windows, op8_minhash, op9_url_filter, op10_personal_data,
+            op11_exact_dedup, op12_collocations, op13_whitening, language_pages, pipeline,
         )
     }
 

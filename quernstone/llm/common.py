@@ -16,14 +16,14 @@ _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage, so a lost executor costs a read and not the steps before; joins between two
     stored tables are plain exchanges on both sides, which adaptive execution can split when a key is hot.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -131,6 +131,41 @@ left{1} AS (
 ),"""
 
 
+EXACT_DEDUP = r"""
+WITH hashed AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+), grouped AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY text_sha256)
+SELECT h.doc_id, g.keep_id, g.group_size, h.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, h.text_sha256
+FROM hashed h JOIN grouped g ON h.text_sha256 = g.text_sha256
+"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+met AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+  FROM worded, range(1, 4) t(k) WHERE len(w) >= k
+), counted AS (SELECT lang, k, phrase, count(*) AS f FROM met GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidate AS (SELECT * FROM counted WHERE k > 1 AND f >= 10),
+inside AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[i : i + 1], ' ') AS phrase, max(f) AS longer FROM candidate, range(1, 3) t(i) WHERE k = 3 GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM candidate c LEFT JOIN inside i ON c.k = 2 AND i.lang = c.lang AND i.phrase = c.phrase WHERE i.longer IS NULL OR 100 * i.longer < 50 * c.f
+), cuts AS (
+  SELECT lang, phrase, f, cut, array_to_string(string_split(phrase, ' ')[: cut], ' ') AS a, array_to_string(string_split(phrase, ' ')[cut + 1 :], ' ') AS b
+  FROM kept, range(1, 3) t(cut) WHERE cut < k
+), scored AS (
+  SELECT c.lang, c.phrase, c.f, c.cut, x.f AS l, y.f AS r, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.a JOIN counted y ON y.lang = c.lang AND y.phrase = c.b
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, encode(phrase)) AS rank FROM lowest)
+SELECT lang, rank, phrase, f AS a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 def mix_sources() -> str:
     turns = "\n".join(MIX_TURN.format(k, k + 1) for k in range(mixing.TURNS))
     taken = " ".join(f"UNION ALL SELECT doc_id, source FROM running{k} WHERE upto <= gap" for k in range(mixing.TURNS))
@@ -144,4 +179,6 @@ def build() -> dict[str, str]:
         "op5_vector_search": VECTOR_SEARCH,
         "op7_line_windows": LINE_WINDOWS,
         "op8_minhash": MINHASH,
+        "op11_exact_dedup": EXACT_DEDUP,
+        "op12_collocations": COLLOCATIONS,
     }

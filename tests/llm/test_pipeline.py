@@ -22,7 +22,7 @@ def test_query(spark, name):
 
 def test_all_operators_are_registered():
     names = set(entry.queries())
-    assert {n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")} >= set(catalog.queries()) - {"language_pages", "pipeline"}
+    assert {n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")} >= set(catalog.queries()) - {"language_pages", "pipeline"}
     assert "pipeline" in names and set(SQL) <= names and corpus_pipeline.ORACLE_SQL is None
 
 
