@@ -5,13 +5,15 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,8 +37,10 @@ _FOLD = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + BLANKS, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(ENDS) + b" " * len(BLANKS)
 )
 _FACTORS = [0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
-OCCURRENCES = "block long, lang string, words array<string>, n array<long>, total long, codes array<int>"
-PLACED = "block long, lang string, words array<string>, codes array<int>, places array<int>, phrases array<string>, n array<long>"
+BATCH_BYTES = "8m"
+# Words lie joined by blanks and phrases by line feeds, which neither holds; hashes, codes and places are 64- and 32-bit numbers in a row.
+OCCURRENCES = "block long, lang string, words string, n array<long>, total long, hashes binary, codes binary"
+PLACED = "block long, lang string, words string, hashes binary, codes binary, places binary, phrases string, n array<long>"
 
 
 class _Codes(dict):
@@ -68,15 +72,15 @@ class _Open:
         codes = np.frombuffer(self.codes, dtype=np.int32)
         codes = codes[codes > 0]
         codes = codes[np.append(True, (codes[1:] != 1) | (codes[:-1] != 1))] - 2 if len(codes) else codes
-        words = [w.decode("utf-8") for w in list(self.known)[2:]]
+        words = list(self.known)[2:]
         inside = codes[codes >= 0]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([block], pa.int64()), pa.array([lang], pa.string()), pa.array([words], pa.list_(pa.string())),
+                pa.array([block], pa.int64()), pa.array([lang], pa.string()), pa.array([b" ".join(words).decode("utf-8")], pa.string()),
                 pa.array([np.bincount(inside, minlength=len(words))], pa.list_(pa.int64())), pa.array([len(inside)], pa.int64()),
-                pa.array([codes], pa.list_(pa.int32())),
+                pa.array([_word_hashes(words).tobytes()], pa.binary()), pa.array([codes.astype("<i4").tobytes()], pa.binary()),
             ],
-            names=["block", "lang", "words", "n", "total", "codes"],
+            names=["block", "lang", "words", "n", "total", "hashes", "codes"],
         )
 
 
@@ -98,14 +102,11 @@ def _blocks(block_words: int):
     return work
 
 
-def _word_hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word of a string array."""
-    words = pa.concat_arrays([words]) if words.offset else words
-    if not len(words):
-        return np.empty(0, np.uint64)
-    offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
-    return slice_hashes(data, offsets[:-1] - offsets[0], offsets[1:] - offsets[0])
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+    data = np.frombuffer(b"".join(words), dtype=np.uint8)
+    return slice_hashes(data, np.append(0, ends[:-1]), ends) if words else np.empty(0, np.uint64)
 
 
 def _keys(lang: str, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
@@ -161,19 +162,19 @@ class _Extended:
     """One block with its phrases of ``words`` words, all of whose shorter parts may be frequent."""
 
     def __init__(self, batch: pa.RecordBatch, row: int, words: int, singles: Marks):
-        self.block, self.lang = batch.column("block")[row].as_py(), batch.column("lang")[row].as_py()
-        self.words = batch.column("words").slice(row, 1).flatten()
-        self.codes = batch.column("codes").slice(row, 1).flatten().to_numpy(zero_copy_only=False)
-        self.hashes = _word_hashes(self.words)
+        def numbers(name: str, kind: str) -> np.ndarray:
+            return np.frombuffer(batch.column(name)[row].as_buffer(), dtype=kind)
+
+        lang, self.codes, hashes = batch.column("lang")[row].as_py(), numbers("codes", "<i4"), numbers("hashes", "<u8")
         if words == 2:
-            numbers = np.arange(len(self.words))
-            frequent = np.append(singles(_keys(self.lang, self.hashes, numbers, numbers, 1)), False)
+            every = np.arange(len(hashes))
+            frequent = np.append(singles(_keys(lang, hashes, every, every, 1)), False)
             held = np.flatnonzero(frequent[self.codes])
         else:
-            held = batch.column("places").slice(row, 1).flatten().to_numpy(zero_copy_only=False)
+            held = numbers("places", "<i4")
         self.starts = _adjacent(held)
-        self.at, self.group, self.n = _groups(self.codes, self.starts, words, len(self.words))
-        self.keys = _keys(self.lang, self.hashes, self.codes, self.at, words)
+        self.at, self.group, self.n = _groups(self.codes, self.starts, words, len(hashes))
+        self.keys = _keys(lang, hashes, self.codes, self.at, words)
 
 
 def _group_counts(words: int, singles):
@@ -193,15 +194,14 @@ def _semi_join(words: int, singles, marks):
             for row in range(batch.num_rows):
                 own = _Extended(batch, row, words, singles and singles.value)
                 stays = marks.value(own.keys)
-                columns = [own.words.take(pa.array(own.codes[own.at[stays] + k])) for k in range(words)]
-                phrases = pc.binary_join_element_wise(*columns, " ") if stays.any() else pa.array([], pa.string())
+                dictionary = pa.array(batch.column("words")[row].as_py().split(" "))
+                columns = [dictionary.take(pa.array(own.codes[own.at[stays] + k])) for k in range(words)]
+                phrases = "\n".join(pc.binary_join_element_wise(*columns, " ").to_pylist())
+                places = own.starts[stays[own.group]].astype("<i4").tobytes()
+                same = [batch.column(name).slice(row, 1) for name in ("block", "lang", "words", "hashes", "codes")]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("block").slice(row, 1), batch.column("lang").slice(row, 1), batch.column("words").slice(row, 1),
-                        batch.column("codes").slice(row, 1), pa.array([own.starts[stays[own.group]].astype(np.int32)], pa.list_(pa.int32())),
-                        pa.ListArray.from_arrays(pa.array([0, len(phrases)], pa.int32()), phrases), pa.array([own.n[stays]], pa.list_(pa.int64())),
-                    ],
-                    names=["block", "lang", "words", "codes", "places", "phrases", "n"],
+                    [*same, pa.array([places], pa.binary()), pa.array([phrases], pa.string()), pa.array([own.n[stays]], pa.list_(pa.int64()))],
+                    names=["block", "lang", "words", "hashes", "codes", "places", "phrases", "n"],
                 )
 
     return work
@@ -212,12 +212,29 @@ def _kept(df: DataFrame, label: str) -> DataFrame:
     return stored(df, label, **{"parquet.block.size": str(FILE_BYTES)})
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows are whole blocks here, so few of them make a batch for a Python worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _listed(text: str, mark: str) -> Column:
+    """``text`` taken apart beside its counts, a row each."""
+    return F.explode(F.arrays_zip(F.split(text, mark).alias("phrase"), F.col("n").alias("a"))).alias("p")
+
+
 def _word_key(lang: str, word: str) -> Column:
     """The key of a phrase of one word, as the occurrences have it."""
 
     @F.pandas_udf("long")
     def keyed(langs: pd.Series, words: pd.Series) -> pd.Series:
-        hashes = _word_hashes(pa.array(words, pa.string()))
+        hashes = _word_hashes([w.encode("utf-8") for w in words])
         out = np.empty(len(words), dtype=np.int64)
         for one in langs.unique():
             at = np.flatnonzero((langs == one).to_numpy())
@@ -246,30 +263,29 @@ def frequent_phrases(
     spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDECLARED)).alias("lang")
     texts = docs.select(lang, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    held = first = _kept(texts.mapInArrow(_blocks(block_words), OCCURRENCES), "occurrences")
-    sizes = stored(first.groupBy("lang").agg(F.sum("total").alias("n")), "sizes")
-    singles = (
-        first.select("lang", F.explode(F.arrays_zip("words", "n")).alias("w"))
-        .groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.n").alias("a")).filter(F.col("a") >= min_count)
-    )
-    found = [stored(singles.select("lang", "phrase", F.lit(1).alias("words"), "a"), "words")]
-    marks = spark.sparkContext.broadcast(_marks(found[0].select(_word_key("lang", "phrase").alias("key")), found[0].count()))
-    for length in range(2, words + 1):
-        before = marks if length == 2 else None
-        counted = held.drop("n", "total", "phrases").mapInArrow(_group_counts(length, before), "key long, n long")
-        keys = stored(counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("key"), "keys")
-        after = spark.sparkContext.broadcast(_marks(keys, keys.count()))
-        joined = _kept(held.drop("n", "total", "phrases").mapInArrow(_semi_join(length, before, after), PLACED), "occurrences")
-        groups = joined.select("lang", F.explode(F.arrays_zip("phrases", "n")).alias("p")).groupBy("lang", F.col("p.phrases").alias("phrase"))
-        found.append(stored(groups.agg(F.sum("p.n").alias("a")).filter(F.col("a") >= min_count).select("lang", "phrase", F.lit(length).alias("words"), "a"), "phrases"))
+
+    def frequent(rows: DataFrame, column: str, mark: str, length: int) -> DataFrame:
+        counted = rows.select("lang", _listed(column, mark)).filter("p.a IS NOT NULL").groupBy("lang", "p.phrase").agg(F.sum("p.a").alias("a"))
+        return stored(counted.filter(F.col("a") >= min_count).select("lang", "phrase", F.lit(length).alias("words"), "a"), "phrases")
+
+    with _small_batches(spark):
+        held = _kept(texts.mapInArrow(_blocks(block_words), OCCURRENCES), "occurrences")
+        sizes = stored(held.groupBy("lang").agg(F.sum("total").alias("n")), "sizes")
+        found = [frequent(held, "words", " ", 1)]
+        marks = spark.sparkContext.broadcast(_marks(found[0].select(_word_key("lang", "phrase").alias("key")), found[0].count()))
+        for length in range(2, words + 1):
+            before = marks if length == 2 else None
+            needed = ["lang", "hashes", "codes", *(["places"] if length > 2 else [])]
+            counted = held.select(*needed).mapInArrow(_group_counts(length, before), "key long, n long")
+            keys = stored(counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("key"), "keys")
+            marks = spark.sparkContext.broadcast(_marks(keys, keys.count()))
+            joined = _kept(held.select("block", "words", *needed).mapInArrow(_semi_join(length, before, marks), PLACED), "occurrences")
+            found.append(frequent(joined, "phrases", "\n", length))
+            forget(held)
+            forget(keys)
+            held = joined
         forget(held)
-        forget(keys)
-        held, marks = joined, after
-    forget(held)
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    return every, sizes
+    return reduce(DataFrame.unionByName, found), sizes
 
 
 def _part(start: Column, count: Column) -> Column:
@@ -302,10 +318,7 @@ def collocations(
     ]
     kept = candidates
     if inner:
-        longer = inner[0]
-        for more in inner[1:]:
-            longer = longer.unionByName(more)
-        longer = longer.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
+        longer = reduce(DataFrame.unionByName, inner).groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
         kept = candidates.join(longer, ["lang", "phrase"], "left").filter(F.col("longer").isNull() | (100 * F.col("longer") < absorbed * F.col("a")))
     cuts = kept.select("lang", "phrase", "words", "parts", "a", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("cut")).select(
         "lang", "phrase", "a", "cut", _part(F.lit(1), F.col("cut")).alias("left"), _part(F.col("cut") + 1, F.col("words") - F.col("cut")).alias("right")
