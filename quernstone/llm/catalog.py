@@ -16,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 SHARDS = 40
 ASKING = 100
+PER_SEQUENCE = 64
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,7 +33,7 @@ def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_pack_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.digest(packing.pack_documents(_table(spark, sf, "documents")))
+    return packing.pack_documents(_table(spark, sf, "documents"), documents=PER_SEQUENCE, with_ids=False)
 
 
 def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:

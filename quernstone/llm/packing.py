@@ -7,15 +7,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.llm.common import stored, stored_with
 from quernstone.llm.tokens import END_ID, shared_encoder
 
 SEQUENCE = 1024
-GROUP_DOCUMENTS = 4_096
-PIECES = "doc_id long, piece int, start long, ids array<int>"
-PACKED = f"{PIECES}, sequence_id long, offset long"
+GROUP_PIECES = 8_192
+STEP_BYTES = 1 << 21
+PIECES = "key long, doc_id long, piece int, start long, length long, ids_crc32 long"
 RULES = ("norm", "dot")
 
 
@@ -26,16 +29,17 @@ def _cut_points(length: int, size: int) -> list[tuple[int, int]]:
     return cuts + [(at, size) for at in range(first, length, size)]
 
 
-def _tokenised(size: int, vocabulary: str | None, ranks: str | None):
+def _tokenised(size: int, with_ids: bool, vocabulary: str | None, ranks: str | None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(vocabulary, ranks)
+        encoder, made = shared_encoder(vocabulary, ranks), TaskContext.get().partitionId() << 36
         for batch in batches:
-            step = max(1, min(1000, batch.num_rows))
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            at = 0
+            for end in [*np.flatnonzero(np.diff(np.cumsum(sizes) // STEP_BYTES)).tolist(), batch.num_rows - 1]:
+                part = batch.slice(at, end + 1 - at)
+                at = end + 1
                 ids, counts = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-                ends = np.cumsum(counts)
-                flat = np.insert(ids.astype(np.int32), ends, END_ID)
+                flat = np.insert(ids.astype("<i4"), np.cumsum(counts), END_ID)
                 doc, piece, start, length = [], [], [], []
                 for row, n in enumerate((counts + 1).tolist()):
                     for k, (a, b) in enumerate(_cut_points(n, size)):
@@ -43,25 +47,34 @@ def _tokenised(size: int, vocabulary: str | None, ranks: str | None):
                         piece.append(k)
                         start.append(a)
                         length.append(b)
-                offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id").take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                    ],
-                    names=["doc_id", "piece", "start", "ids"],
-                )
+                offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+                raw = memoryview(flat.tobytes())
+                sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                columns = {
+                    "key": pa.array(np.arange(made, made + len(doc)), pa.int64()), "doc_id": part.column("doc_id").take(pa.array(doc, pa.int64())),
+                    "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
+                    "ids_crc32": pa.array(sums, pa.int64()),
+                }
+                if with_ids:
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+                made += len(doc)
+                yield pa.RecordBatch.from_pydict(columns)
 
     return work
 
 
 def token_pieces(
-    docs: DataFrame, size: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, size: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
     vocabulary: str | None = None, ranks: str | None = None,
 ) -> DataFrame:
-    """``doc_id, piece, start, ids``: whole texts as ids with an end id, cut where longer than ``size``."""
+    """``key, doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids``: whole texts as ids with an end id.
+
+    Longer ones are cut into pieces of ``size``. ``key`` numbers the pieces by task and place; it holds
+    for a stored table only. Texts are taken ``STEP_BYTES`` at a time, a longer one alone, at some 60
+    bytes of memory for each of its own.
+    """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(_tokenised(size, vocabulary, ranks), PIECES)
+    return narrow.mapInArrow(_tokenised(size, with_ids, vocabulary, ranks), PIECES + ", ids array<int>" * with_ids)
 
 
 def best_fit(
@@ -114,54 +127,50 @@ def best_fit(
 
 def _packed(size: int, documents: int | None, attention: int | None, rule: str):
     def work(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        lengths = np.diff(np.concatenate([[0], np.cumsum(table.column("ids").combine_chunks().value_lengths().to_numpy())])).astype(np.int64)
-        ids = table.column("doc_id").to_pandas().fillna(-1).to_numpy(dtype=np.int64)
-        order = np.lexsort((table.column("piece").to_numpy(), ids, -lengths))
+        lengths, keys = table.column("length").to_numpy(), table.column("key").to_numpy()
+        order = np.lexsort((keys, -lengths))
         bins, offsets = best_fit(lengths[order], size, documents, attention, rule)
-        out = table.select(["doc_id", "piece", "start", "ids"]).take(pa.array(order))
         first = int(key[0].as_py()) << 32
-        return out.append_column("sequence_id", pa.array(bins + first)).append_column("offset", pa.array(offsets))
+        return pa.table({"key": keys[order], "sequence_id": bins + first, "offset": offsets})
 
     return work
 
 
+def place_pieces(
+    pieces: DataFrame, count: int, size: int = SEQUENCE, documents: int | None = None, attention: int | None = None, rule: str = "norm",
+    group_pieces: int = GROUP_PIECES,
+) -> DataFrame:
+    """``key, sequence_id, offset`` for pieces ``key, length``, of which there are ``count``.
+
+    Nothing but two numbers of each piece moves. Pieces are dealt by a hash of their own key into groups
+    of about ``group_pieces``, at most ``size`` tokens each, whatever ids or texts repeat, and packed
+    inside each group in order of falling length (see :func:`best_fit`); a task holds one group. A group
+    wastes a few sequences at most.
+    """
+    groups = max(1, -(-count // group_pieces))
+    dealt = pieces.select("key", "length", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("long").alias("_group"))
+    return dealt.groupBy("_group").applyInArrow(_packed(size, documents, attention, rule), "key long, sequence_id long, offset long")
+
+
 def pack_documents(
     docs: DataFrame, size: int = SEQUENCE, documents: int | None = None, attention: int | None = None, rule: str = "norm",
-    id_col: str = "doc_id", text_col: str = "text", group_documents: int = GROUP_DOCUMENTS,
+    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, group_pieces: int = GROUP_PIECES,
     vocabulary: str | None = None, ranks: str | None = None,
 ) -> DataFrame:
-    """``doc_id, piece, start, ids, sequence_id, offset``: every piece with its ids and its place.
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` and ``ids``: every piece and its place.
 
     Documents become ids and one end id; longer ones are cut into full pieces after a first, shorter one.
-    Pieces are dealt by a hash of document and number into groups of about ``group_documents`` documents,
-    however many the table has, and packed inside each group in order of falling length (see
-    :func:`best_fit`), so a task holds one group. A group wastes a few sequences at most.
+    The pieces are stored once; their lengths are packed (see :func:`place_pieces`) and the places joined
+    back by key. ``ids_crc32`` is the checksum of the ids as little-endian 32-bit numbers; without
+    ``with_ids`` the ids themselves are left out and never leave the task that made them.
 
-    Null and empty texts are the end id alone. Rows that repeat an id are packed as rows of their own. An
-    empty table gives no rows; other columns are ignored.
+    Null and empty texts are the end id alone. Very long texts are cut into as many pieces as they need.
+    Rows that repeat an id, or have none, are packed as rows of their own. An empty table gives no rows;
+    other columns are ignored.
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule}")
-    groups = max(1, -(-docs.count() // group_documents))
-    pieces = token_pieces(docs, size, id_col, text_col, vocabulary, ranks)
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups)).cast("long"))
-    return dealt.groupBy("_group").applyInArrow(_packed(size, documents, attention, rule), PACKED)
-
-
-def digest(packed: DataFrame) -> DataFrame:
-    """``packed`` with length and checksum in place of the ids."""
-
-    @F.arrow_udf("long")
-    def checksum(ids: pa.Array) -> pa.Array:
-        values = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-        ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
-        raw, out, at = memoryview(values.tobytes()), [], 0
-        for end in ends:
-            out.append(zlib.crc32(raw[4 * at : 4 * end]))
-            at = end
-        return pa.array(out, pa.int64())
-
-    return packed.select(
-        "doc_id", "piece", "start", F.size("ids").cast("long").alias("length"), checksum("ids").alias("ids_crc32"), "sequence_id", "offset"
-    )
+    pieces, seen = stored_with(token_pieces(docs, size, id_col, text_col, with_ids, vocabulary, ranks), "pieces", n=F.count("*"))
+    places = place_pieces(pieces, seen["n"], size, documents, attention, rule, group_pieces)
+    out = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []), "sequence_id", "offset"]
+    return pieces.join(stored(places, "places"), "key").select(*out)

@@ -83,7 +83,7 @@ def packing_rows():
     return rows + [(500, None, None, None), (501, "", None, None), (502, "word " * 900, None, None), (503, "a<|endoftext|>b", None, None), (504, "a  b\n\n c\u3000d", None, None), (505, "same", None, None), (505, "same", None, None), (None, "no id", None, None)]
 
 
-@pytest.mark.parametrize("options", [{}, {"documents": 3}, {"attention": 128 * 64}, {"rule": "dot"}, {"group_documents": 10}])
+@pytest.mark.parametrize("options", [{}, {"documents": 3}, {"attention": 128 * 64}, {"rule": "dot"}, {"group_pieces": 10}])
 def test_pack_keeps_every_token(spark, options):
     rows, size = packing_rows(), 128
     if "attention" in options:
@@ -108,7 +108,7 @@ def test_pack_keeps_every_token(spark, options):
         own.sort(key=lambda r: r.offset)
         assert [r.offset for r in own] == [sum(len(p.ids) for p in own[:k]) for k in range(len(own))]
         assert sum(len(r.ids) for r in own) <= size and len(own) <= options.get("documents", size)
-    if "documents" not in options and "group_documents" not in options:
+    if "documents" not in options and "group_pieces" not in options:
         assert len(bins) <= 2 + 1.04 * sum(len(r.ids) for r in got) / size
 
 
@@ -117,15 +117,34 @@ def test_pack_digest_and_nothing(spark):
     import zlib
 
     assert packing.pack_documents(frame(spark, [])).collect() == []
-    packed = packing.pack_documents(frame(spark, packing_rows()), size=64)
-    ids = {(r.doc_id, r.piece): r.ids for r in packed.collect()}
-    for r in packing.digest(packed).collect():
-        own = ids[r.doc_id, r.piece]
-        assert (r.length, r.ids_crc32) == (len(own), zlib.crc32(struct.pack(f"<{len(own)}I", *own)))
+    packed = packing.pack_documents(frame(spark, packing_rows()), size=64).collect()
+    for r in packed:
+        assert (r.length, r.ids_crc32) == (len(r.ids), zlib.crc32(struct.pack(f"<{len(r.ids)}I", *r.ids)))
+    narrow = packing.pack_documents(frame(spark, packing_rows()), size=64, with_ids=False)
+    assert "ids" not in narrow.columns
+    assert Counter(tuple(r) for r in narrow.collect()) == Counter(tuple(v for k, v in r.asDict().items() if k != "ids") for r in packed)
     with pytest.raises(ValueError):
         packing.pack_documents(frame(spark, []), rule="other")
 
 
+def test_pieces_without_ids_spread_over_groups(spark):
+    rows = [(None, f"text {k} " * (k % 9), "a", "x") for k in range(300)] + [(k, f"other {k}", "a", "x") for k in range(600)]
+    pieces = packing.stored(packing.token_pieces(frame(spark, rows), 64, with_ids=False), "test-pieces")
+    n = pieces.count()
+    groups = [r["count"] for r in packing.place_pieces(pieces, n, 64, group_pieces=100).groupBy((F.col("sequence_id") / (1 << 32)).cast("int")).count().collect()]
+    assert sum(groups) == n and max(groups) < 150
+
+
+def test_capacities_bind():
+    """Limits that plain best fit breaks change the choice, at a small loss."""
+    rng = np.random.default_rng(4)
+    lengths = np.sort(np.concatenate([rng.integers(1, 12, 3000), rng.integers(100, 1025, 600)]))[::-1]
+    plain = packing.best_fit(lengths)[0]
+    bound = packing.best_fit(lengths, documents=64)[0]
+    assert np.bincount(plain).max() > 64 >= np.bincount(bound).max()
+    assert plain.max() <= bound.max() <= 1.1 * plain.max()
+
+
 def test_best_fit_obeys_every_capacity():
     rng = np.random.default_rng(1)
     lengths = np.sort(rng.integers(1, 83, 400))[::-1]
