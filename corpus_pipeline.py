@@ -10,6 +10,7 @@ from quernstone.llm.common import stored
 from quernstone.session import ship_packages
 
 NEAR_PERCENT = 80
+PER_SEQUENCE = 64
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +22,12 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages keep their first place; a document of which nothing is left goes."""
     ship_packages(spark)
-    cut = line_windows.drop_repeated_lines(docs).filter("n_removed = 0 OR n_removed < n_lines").select("n_removed", "_row.*")
-    length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    return cut.withColumn("n_chars", length).select(*docs.columns)
+    cut = line_windows.drop_repeated_lines(docs).filter("n_removed = 0 OR n_removed < n_lines").select("_row", "n_removed")
+    kept = {c: F.col(f"_row.`{c}`") for c in docs.columns}
+    if "n_chars" in kept:
+        changed = F.when(F.col("n_removed") > 0, F.length("_row.text")).otherwise(kept["n_chars"])
+        kept["n_chars"] = changed.cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[value.alias(c) for c, value in kept.items()])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +47,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens, one row per piece with its ids and its place."""
     ship_packages(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, documents=PER_SEQUENCE)
 
 
 STAGES = [
