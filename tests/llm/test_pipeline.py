@@ -3,6 +3,7 @@
 import inspect
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -54,3 +55,15 @@ def test_stages_take_and_return_documents(spark):
         else:
             assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
             assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
+
+
+def test_line_stage_with_clashing_and_absent_columns(spark):
+    passage = "first line\nsecond line\nthird line"
+    rows = [(1, f"{passage}\nown", "a", 7.0), (2, f"more\n{passage}", "b", None), (3, None, None, 1.0)]
+    names = {"n_removed": "string", "n_lines": "double"}
+    clash = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"{k} {v}" for k, v in names.items()]]))
+    got = corpus_pipeline.lines_once(spark, clash, SMALL)
+    assert got.columns == clash.columns
+    assert sorted(map(tuple, got.collect()), key=str) == [rows[0], (2, "more", "b", None), rows[2]]
+    plain = clash.select("doc_id", "text").withColumn("n_chars", F.lit(5))
+    assert sorted((r.doc_id, r.n_chars) for r in corpus_pipeline.lines_once(spark, plain, SMALL).collect()) == [(1, 5), (2, 4), (3, 5)]
