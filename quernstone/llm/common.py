@@ -6,12 +6,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.session import scratch_path
 
 CHUNK_BYTES = 1 << 20
+BATCH_BYTES = "8m"
+# Bits of a map of marks: so many per key, and at most.
+KEY_BITS, MOST_BITS, MAP_BITS = 32, 1 << 27, 1 << 15
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
@@ -52,6 +55,44 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Let batches for Python workers hold 8 MB at most, unless the session names a size.
+
+    Whole texts make wide rows; the default of 64 MB is held several times over by each running task.
+    """
+    name, unset = "spark.sql.execution.arrow.maxBytesPerBatch", "64m"
+    if spark.conf.get(name, unset) == unset:
+        spark.conf.set(name, BATCH_BYTES)
+
+
+class Marks:
+    """Which keys are in a set: one bit per key in a map of bounded size. None of the set is missed; others may pass."""
+
+    def __init__(self, bits: int, maps: dict[int, bytes]):
+        self.bits = bits
+        self.data = np.zeros(bits // 8, dtype=np.uint8)
+        for number, bitmap in maps.items():
+            self.data[(number - 1) * MAP_BITS // 8 :][: MAP_BITS // 8] = np.frombuffer(bitmap, dtype=np.uint8)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = keys & np.uint64(self.bits - 1)
+        return (self.data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def marks_of(keys: DataFrame, count: int) -> Marks:
+    """Marks of the ``count`` values of a column ``key``, built as bitmaps on the cluster.
+
+    The map has ``KEY_BITS`` bits per key and ``MOST_BITS`` at most, 16 MB; with more keys than that it
+    lets more others pass.
+    """
+    bits = MAP_BITS
+    while bits < min(KEY_BITS * count, MOST_BITS):
+        bits *= 2
+    at = F.col("key").bitwiseAND(F.lit(bits - 1)) + 1
+    maps = keys.groupBy(F.bitmap_bucket_number(at).alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    return Marks(bits, {r["number"]: bytes(r["bits"]) for r in maps.collect()})
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Scramble unsigned 64-bit integers (finaliser with full avalanche); one-to-one."""
     x = x ^ (x >> np.uint64(30))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import mix64, stored
+from quernstone.llm.common import lean_batches, mix64, stored
 
 BINS = 1 << 14
 PER_LANGUAGE = 400
@@ -205,6 +205,7 @@ def identify(
     Null texts and such without letters have no language: ``und``, not accepted. Missing clues (null, or
     never seen) say nothing. Repeated rows are judged alike. An empty table gives no rows.
     """
+    lean_batches(docs.sparkSession)
     model = model or fit(docs, columns)
     by_host, says, ends, prior = _beliefs(docs, model, columns)
     flat = F.array(*[F.lit(0.0)] * len(model.languages))

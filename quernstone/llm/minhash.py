@@ -8,10 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import apart, key_runs, mix64, stored, stored_with
+from quernstone.llm.common import apart, forget, key_runs, lean_batches, marks_of, mix64, stored, stored_with
 from quernstone.llm.components import connected_components
 from quernstone.llm.near_vectors import _roots
 from quernstone.llm.shingles import WORDS, shingle_sets
@@ -90,9 +91,11 @@ def _sketches(bands: int, rows: int, words: int, seed: int):
     return work
 
 
-def _full_sets(words: int):
+def _full_sets(words: int, wanted: Broadcast):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+            batch = batch.filter(pa.array(wanted.value(keys)))
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 items = [s.view(np.int64) for s in shingle_sets(part.column("text").to_pylist(), words)]
@@ -101,6 +104,21 @@ def _full_sets(words: int):
     return work
 
 
+def _sets_of(text: DataFrame, member: DataFrame, words: int) -> DataFrame:
+    """Full sets of the texts whose id is in a crowded bucket, stored.
+
+    A map of marked ids goes to the scan, so no text is moved and few others are cut into shingles; a
+    set that nobody asked for meets no pair.
+    """
+    key = F.xxhash64("rep").alias("key")
+    ids = stored(member.select("rep").distinct().select(key), "wanted")
+    wanted = text.sparkSession.sparkContext.broadcast(marks_of(ids, ids.count()))
+    rows = text.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), "text").select("rep", "text", key)
+    items = stored(rows.mapInArrow(_full_sets(words, wanted), SETS), "sets")
+    forget(ids)
+    return items
+
+
 def _linked(a: Column, b: Column, percent: int) -> Column:
     """Whether two full sets reach the threshold."""
     common = F.size(F.array_intersect(a, b))
@@ -243,6 +261,7 @@ def near_classes(
     Null and blank texts have an empty set and link with nothing. Rows that repeat an id share their
     component. Null ids are kept alone. Empty tables give no rows; other columns are ignored.
     """
+    lean_batches(docs.sparkSession)
     bands = bands_needed(percent, rows, miss)
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch = stored(text.mapInArrow(_sketches(bands, rows, words, seed), SKETCH), "sketch")
@@ -256,11 +275,7 @@ def near_classes(
     )
     crowded = placed.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1").select("bucket")
     member = stored(placed.join(apart(crowded, "bucket"), "bucket"), "members")
-    near = member.select("rep").distinct()
-    items = stored(
-        text.join(near.withColumnRenamed("rep", "doc_id"), "doc_id").select(F.col("doc_id").alias("rep"), "text")
-        .mapInArrow(_full_sets(words), SETS), "sets"
-    )
+    items = _sets_of(text, member, words)
     spark = docs.sparkSession
     checked = spark.createDataFrame([], "hi long, lo long")
     links, labels, turn = None, None, 0

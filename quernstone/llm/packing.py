@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import stored, stored_with
+from quernstone.llm.common import lean_batches, stored, stored_with
 from quernstone.llm.tokens import END_ID, shared_encoder
 
 SEQUENCE = 1024
@@ -170,6 +170,7 @@ def pack_documents(
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule}")
+    lean_batches(docs.sparkSession)
     pieces, seen = stored_with(token_pieces(docs, size, id_col, text_col, with_ids, vocabulary, ranks), "pieces", n=F.count("*"))
     places = place_pieces(pieces, seen["n"], size, documents, attention, rule, group_pieces)
     out = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []), "sequence_id", "offset"]

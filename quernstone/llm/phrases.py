@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -13,11 +12,11 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import apart, forget, mix64, slice_hashes, stored
+from quernstone.llm.common import Marks, apart, forget, lean_batches, marks_of, mix64, slice_hashes, stored
 
 UNDECLARED = "und"
 MIN_COUNT = 10
@@ -27,8 +26,6 @@ ABSORBED = 50
 BLOCK_WORDS = 1 << 18
 STEP_BYTES = 1 << 20
 FILE_BYTES = 1 << 24
-# Bits of the filter of frequent groups: so many per group, and at most; beyond that it lets more pass, to be counted in vain.
-KEY_BITS, MOST_BITS, MAP_BITS = 32, 1 << 27, 1 << 15
 SALTS = 64
 GAP = -1
 # Ends of a piece, and the blanks between words.
@@ -37,7 +34,6 @@ _FOLD = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + BLANKS, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(ENDS) + b" " * len(BLANKS)
 )
 _FACTORS = [0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
-BATCH_BYTES = "8m"
 # Words lie joined by blanks and phrases by line feeds, which neither holds; hashes, codes and places are 64- and 32-bit numbers in a row.
 OCCURRENCES = "block long, lang string, words string, n array<long>, total long, hashes binary, codes binary"
 PLACED = "block long, lang string, words string, hashes binary, codes binary, places binary, phrases string, n array<long>"
@@ -118,30 +114,6 @@ def _keys(lang: str, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray,
     return mix64(total)
 
 
-class Marks:
-    """Which keys belong to frequent groups: one bit per key in a map of bounded size; no group is ever missed."""
-
-    def __init__(self, bits: int, maps: dict[int, bytes]):
-        self.bits = bits
-        self.data = np.zeros(bits // 8, dtype=np.uint8)
-        for number, bitmap in maps.items():
-            self.data[(number - 1) * MAP_BITS // 8 :][: MAP_BITS // 8] = np.frombuffer(bitmap, dtype=np.uint8)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        at = keys & np.uint64(self.bits - 1)
-        return (self.data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def _marks(keys: DataFrame, count: int) -> Marks:
-    """Marks of a column ``key``, built as bitmaps on the cluster."""
-    bits = MAP_BITS
-    while bits < min(KEY_BITS * count, MOST_BITS):
-        bits *= 2
-    at = F.col("key").bitwiseAND(F.lit(bits - 1)) + 1
-    maps = keys.groupBy(F.bitmap_bucket_number(at).alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
-    return Marks(bits, {r["number"]: bytes(r["bits"]) for r in maps.collect()})
-
-
 def _adjacent(places: np.ndarray) -> np.ndarray:
     """Merge-join of a sorted relation with itself at the next place; a gap lies between pieces."""
     return places[:-1][places[1:] == places[:-1] + 1]
@@ -212,18 +184,6 @@ def _kept(df: DataFrame, label: str) -> DataFrame:
     return stored(df, label, **{"parquet.block.size": str(FILE_BYTES)})
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Rows are whole blocks here, so few of them make a batch for a Python worker."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, BATCH_BYTES)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def _listed(text: str, mark: str) -> Column:
     """``text`` taken apart beside its counts, a row each."""
     return F.explode(F.arrays_zip(F.split(text, mark).alias("phrase"), F.col("n").alias("a"))).alias("p")
@@ -258,33 +218,35 @@ def frequent_phrases(
     and the occurrences are semi-joined with it and written before they are extended again. A bit that
     another group has set lets occurrences through that are counted in vain: phrases are counted by
     their words in the end, so counts and results are exact whatever the map lets pass. Only counts
-    move; occurrences stay in their blocks.
+    move; occurrences stay in their blocks. A block has counted its groups already, so a phrase has a
+    row per block at most, and no task adds up before the exchange what hardly ever repeats.
     """
     spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDECLARED)).alias("lang")
     texts = docs.select(lang, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def frequent(rows: DataFrame, column: str, mark: str, length: int) -> DataFrame:
-        counted = rows.select("lang", _listed(column, mark)).filter("p.a IS NOT NULL").groupBy("lang", "p.phrase").agg(F.sum("p.a").alias("a"))
+        met = rows.select("lang", _listed(column, mark)).filter("p.a IS NOT NULL").select("lang", "p.phrase", "p.a").repartition("lang", "phrase")
+        counted = met.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
         return stored(counted.filter(F.col("a") >= min_count).select("lang", "phrase", F.lit(length).alias("words"), "a"), "phrases")
 
-    with _small_batches(spark):
-        held = _kept(texts.mapInArrow(_blocks(block_words), OCCURRENCES), "occurrences")
-        sizes = stored(held.groupBy("lang").agg(F.sum("total").alias("n")), "sizes")
-        found = [frequent(held, "words", " ", 1)]
-        marks = spark.sparkContext.broadcast(_marks(found[0].select(_word_key("lang", "phrase").alias("key")), found[0].count()))
-        for length in range(2, words + 1):
-            before = marks if length == 2 else None
-            needed = ["lang", "hashes", "codes", *(["places"] if length > 2 else [])]
-            counted = held.select(*needed).mapInArrow(_group_counts(length, before), "key long, n long")
-            keys = stored(counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("key"), "keys")
-            marks = spark.sparkContext.broadcast(_marks(keys, keys.count()))
-            joined = _kept(held.select("block", "words", *needed).mapInArrow(_semi_join(length, before, marks), PLACED), "occurrences")
-            found.append(frequent(joined, "phrases", "\n", length))
-            forget(held)
-            forget(keys)
-            held = joined
+    lean_batches(spark)
+    held = _kept(texts.mapInArrow(_blocks(block_words), OCCURRENCES), "occurrences")
+    sizes = stored(held.groupBy("lang").agg(F.sum("total").alias("n")), "sizes")
+    found = [frequent(held, "words", " ", 1)]
+    marks = spark.sparkContext.broadcast(marks_of(found[0].select(_word_key("lang", "phrase").alias("key")), found[0].count()))
+    for length in range(2, words + 1):
+        before = marks if length == 2 else None
+        needed = ["lang", "hashes", "codes", *(["places"] if length > 2 else [])]
+        counted = held.select(*needed).mapInArrow(_group_counts(length, before), "key long, n long")
+        keys = stored(counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("key"), "keys")
+        marks = spark.sparkContext.broadcast(marks_of(keys, keys.count()))
+        joined = _kept(held.select("block", "words", *needed).mapInArrow(_semi_join(length, before, marks), PLACED), "occurrences")
+        found.append(frequent(joined, "phrases", "\n", length))
         forget(held)
+        forget(keys)
+        held = joined
+    forget(held)
     return reduce(DataFrame.unionByName, found), sizes
 
 

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
-from quernstone.llm import exact_copies, phrases, whitening
+from quernstone.llm import common, exact_copies, phrases, whitening
 
 DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
@@ -127,8 +127,7 @@ def test_collocations(spark, words, block):
 
 def test_collocations_whatever_the_map_lets_pass(spark, monkeypatch):
     rows = spoken(100, 9)
-    monkeypatch.setattr(phrases, "MOST_BITS", phrases.MAP_BITS)
-    monkeypatch.setattr(phrases.Marks, "__call__", lambda self, keys: np.ones(len(keys), dtype=bool))
+    monkeypatch.setattr(common.Marks, "__call__", lambda self, keys: np.ones(len(keys), dtype=bool))
     got = phrases.collocations(frame(spark, rows), min_count=15, top=7, absorbed=80)
     assert sorted(map(tuple, got.collect())) == plain_phrases(rows, min_count=15, top=7, absorbed=80)
 
