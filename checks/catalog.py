@@ -440,12 +440,16 @@ def pretoken_counts(spark, sf):
     return vocab.pretoken_counts(A.documents(spark, sf), "text")
 
 
-BPE_SIZE = 320
+_TRAINED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def _train(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    lines = vocab.tokenizer_corpus(refined(spark, sf))
-    return vocab.train_bpe(vocab.pretoken_counts(lines), BPE_SIZE)
+    """The vocabulary of a folder, learned once per application."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _TRAINED:
+        lines = vocab.tokenizer_corpus(refined(spark, sf))
+        _TRAINED[key] = vocab.train_bpe(stored(vocab.pretoken_counts(lines), "pretokens"))
+    return _TRAINED[key]
 
 
 def train_bpe(spark, sf):

@@ -74,6 +74,18 @@ def apart(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(F.xxhash64(*keys))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of the shared folder, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table made by :func:`stored`, once nothing reads it any more."""
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
 _SHIPPED: set[str] = set()
 
 

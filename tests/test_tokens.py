@@ -1,6 +1,8 @@
 """Tokenisation against the public library, batches and positions against brute force."""
 
 import hashlib
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,9 +38,10 @@ def test_pretokens(texts):
         assert row.t == [p for p, _ in split.pre_tokenize_str(row.line)]
 
 
-@pytest.mark.parametrize("size", [60, 110, 140])
-def test_vocabulary_and_codes(spark, texts, size):
-    table, merges = vocab.train_bpe(vocab.pretoken_counts(texts), size)
+@pytest.mark.parametrize("size,candidates", [(60, 1 << 16), (110, 12), (400, 1 << 16)])
+def test_vocabulary_and_codes(spark, texts, size, candidates, monkeypatch):
+    monkeypatch.setattr(vocab, "_REBUILD_MERGES", 20)
+    table, merges = vocab.train_bpe(vocab.pretoken_counts(texts), size, candidates)
     tool = library(size)
     assert {r.token: r.id for r in table.collect()} == tool.get_vocab()
     encode = encoding.bpe_encoder(table, merges)
@@ -69,11 +72,84 @@ def test_corpus_is_train_only(spark):
     assert [r.line for r in vocab.tokenizer_corpus(rows).orderBy("part").collect()] == ["c", "d"]
 
 
-def test_safe_prefix_stops_where_order_may_change():
-    assert vocab._safe_prefix([("ab", 9), ("cd", 8), ("bx", 7), ("ef", 6)], True) == ["ab", "cd"]
-    assert vocab._safe_prefix([("ab", 9), ("cd", 7), ("ea", 7), ("gh", 6)], True) == ["ab"]
-    assert vocab._safe_prefix([("ab", 9), ("cd", 7), ("ef", 7)], False) == ["ab"]
-    assert vocab._safe_prefix([("aa", 9), ("cd", 7), ("ef", 6)], False) == ["aa", "cd"]
+def slow_merges(words, size):
+    """Merges by a full count in every round, and the number of symbols."""
+    ids, merges = {chr(0x10000 + k): k for k in range(26)}, []
+    names = {chr(0x10000 + k): chr(97 + k) for k in range(26)}
+    while len(ids) < size:
+        counts = Counter()
+        for seq, n in words.items():
+            for p in vocab._pairs(seq):
+                counts[p] += n
+        if not counts:
+            break
+        pair = min(counts, key=lambda p: (-counts[p], p))
+        name = names[pair[0]] + names[pair[1]]
+        new = next((s for s, n in names.items() if n == name), None) or chr(0x10000 + len(ids))
+        ids[new], names[new] = ids.get(new, len(ids)), name
+        merges.append((ord(pair[0]) - 0x10000, ord(pair[1]) - 0x10000, ids[new]))
+        merged = Counter()
+        for seq, n in words.items():
+            merged[seq.replace(pair, new)] += n
+        words = merged
+    return merges
+
+
+@pytest.mark.parametrize("candidates,batch", [(1 << 16, 512), (9, 512), (25, 2)])
+def test_merges_equal_full_counts(spark, candidates, batch, monkeypatch):
+    """Long words over few letters: many ties, overlaps and tokens that several merges lead to."""
+    monkeypatch.setattr(vocab, "_REBUILD_MERGES", 15)
+    monkeypatch.setattr(vocab, "_BATCH", batch)
+    rng = random.Random(candidates)
+    words = Counter("".join(rng.choice("abcab") for _ in range(rng.randrange(1, 14))) for _ in range(50))
+    alphabet = "".join(chr(97 + k) for k in range(26))
+    words.update({alphabet[k]: 1 for k in range(26)})  # all letters have an id
+    symbols = Counter({"".join(chr(0x10000 + ord(c) - 97) for c in w): n for w, n in words.items()})
+    counts = spark.createDataFrame(list(words.items()), "pretoken string, n long")
+    shift = len(K.SPECIAL_TOKENS)
+    got = [(r.left - shift, r.right - shift, r.new - shift) for r in vocab.train_bpe(counts, 400 + shift, candidates)[1].orderBy("rank").collect()]
+    want = slow_merges(symbols, 400)
+    assert got == want and len({m[2] for m in want}) < len(want)
+
+
+def test_rounds_look_up_only_words_with_a_merged_pair(spark):
+    words = spark.createDataFrame([(chr(0x10000 + k) + chr(0x10001 + k), 1) for k in range(0, 400, 2)], vocab.WORDS)
+    index = vocab.PairIndex(words)
+    pair = chr(0x10000) + chr(0x10001)
+    changes = index.merge({pair: chr(0x12000)}, None)
+    assert [tuple(r) for r in changes.collect()] == [(pair, -1)]
+    plan = changes._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan or "PartitionFilters: [(shard" in plan
+    index.close()
+
+
+def test_batches_stop_where_counts_change():
+    def taken(top, known=()):
+        made = iter(range(0x12000, 0x13000))
+        return list(vocab.take_batch(vocab.Candidates(top, True), 9, lambda p: (chr(next(made)), p in known))[0])
+
+    assert taken([("ab", 9), ("cd", 8), ("bx", 7), ("ef", 6)]) == ["ab", "cd"]
+    assert taken([("ab", 9), ("cd", 7), ("ef", 7), ("gh", 7), ("ha", 7)]) == ["ab", "cd", "ef", "gh"]
+    assert taken([("aa", 9), ("cd", 7), ("ab", 6)]) == ["aa", "cd"]
+    assert taken([("ab", 9), ("cd", 7), ("ef", 6)], {"cd"}) == ["ab", "cd"]
+    some = vocab.Candidates([("ab", 9), ("cd", 7)], False)
+    some.change("ab", -4)
+    assert some.best() == "cd"
+    some.drop("cd")
+    assert some.best() is None  # a pair that was left out may have 6
+
+
+def test_a_failed_write_keeps_the_old_vocabulary(spark, texts, tmp_path, monkeypatch):
+    path = str(tmp_path / "v")
+    small, large = (vocab.train_bpe(vocab.pretoken_counts(texts), n) for n in (60, 70))
+    vocab.vocab_table(spark, path, lambda: small)
+    broken = large[1].withColumn("left", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        vocab.vocab_table(spark, path, lambda: (large[0], broken), force=True)
+    table, merges, status = vocab.vocab_table(spark, path, lambda: pytest.fail("trained again"))
+    assert status == "REUSED" and table.count() == 60 and merges.count() == small[1].count()
+    table, _, status = vocab.vocab_table(spark, path, lambda: large, force=True)
+    assert status == "NEWLY_TRAINED" and table.count() == 70
 
 
 def test_wrap(spark):
