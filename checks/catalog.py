@@ -22,7 +22,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = "*.txt.gz"
 SEED = 7
 BATCH = 32
-EVALUATED = 300
 
 
 # --- sources and sinks -----------------------------------------------------------------------
@@ -287,12 +286,12 @@ def batch_predict(spark, sf):
 
 
 def evaluation_report(spark, sf):
-    """Two runs scored on the same rows: the first 300 refined ones."""
+    """Two runs scored on all refined rows."""
     scorers = {
         "20240101_0000_transformer_sub20000.pt": quality.keyword_scorer(12),
         "20240102_0000_lstm_dotproduct_sub50000.pt": quality.keyword_scorer(5),
     }
-    report = evaluation.evaluate(refined(spark, sf), scorers, EVALUATED, stemmed=False)
+    report = evaluation.evaluate(refined(spark, sf), scorers, stemmed=False)
     return report.withColumns({c: F.round(c, 6) for c in ("bleu", "rougeL", "loss", "perplexity")})
 
 

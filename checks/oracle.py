@@ -225,7 +225,7 @@ predicted AS (
   FROM refined r LEFT JOIN ranked k ON r.id = k.id AND rk <= 12 GROUP BY r.id, split, docstring)"""
 
 EVALUATED = CLEANED + f""",
-chosen AS (SELECT * FROM refined ORDER BY id LIMIT 300),
+chosen AS (SELECT * FROM refined),
 files AS (SELECT unnest(['20240101_0000_transformer_sub20000.pt', '20240102_0000_lstm_dotproduct_sub50000.pt']) AS file, unnest([12, 5]) AS k),
 code_words AS (SELECT id, unnest({words('code')}) AS w FROM chosen),
 ranked AS (

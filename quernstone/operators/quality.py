@@ -6,7 +6,7 @@ Pair frames carry a row ``id``, group columns such as ``run``, and word arrays `
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -163,41 +163,73 @@ def mean_of_batch_means(tokens: DataFrame, by: Sequence[str] = (), batch: str =
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 
 
+OUTPUTS = ["prediction", "nll_sum", "n_tokens"]
+OUTPUT_SCHEMA = "prediction string, nll_sum double, n_tokens bigint, error string"
+
+
+def _attempt(score: Scorer, batch: pd.DataFrame, names: list[str]) -> Iterator[pd.DataFrame]:
+    """``batch`` scored; if that fails, tried again row by row, so only the failing rows get an error."""
+
+    def scored(rows: pd.DataFrame) -> pd.DataFrame:
+        out = score(rows)[OUTPUTS].reset_index(drop=True)
+        return pd.concat([rows[names].reset_index(drop=True), out], axis=1).assign(error=None)
+
+    try:
+        yield scored(batch)
+        return
+    except Exception:  # a scorer may fail in any way; narrowed down to rows below
+        pass
+    for at in range(len(batch)):
+        row = batch.iloc[at:at + 1]
+        try:
+            yield scored(row)
+        except Exception as problem:
+            yield row[names].reset_index(drop=True).assign(prediction=None, nll_sum=None, n_tokens=None, error=str(problem))
+
+
 def batch_predict(rows: DataFrame, make_scorer: Callable[[], Scorer], keep: Sequence[str] = ("id", "run")) -> DataFrame:
     """Run a user's scorer over all rows: ``prediction, nll_sum, n_tokens`` or an ``error``.
 
     ``make_scorer`` is called once per task (to load a model, say). The scorer gets batches with
-    ``code`` and ``docstring`` and returns those three columns, row by row. A batch that fails is
-    tried again row by row, so only the failing rows get an error.
+    ``code`` and ``docstring`` and returns those three columns, row by row.
     """
     kept = [f for f in rows.schema.fields if f.name in keep]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
     names = [f.name for f in kept]
-    outputs = ["prediction", "nll_sum", "n_tokens"]
-
-    def attempt(score: Scorer, batch: pd.DataFrame) -> pd.DataFrame:
-        scored = score(batch)[outputs].reset_index(drop=True)
-        return pd.concat([batch[names].reset_index(drop=True), scored], axis=1).assign(error=None)
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = make_scorer()
         for batch in batches:
-            try:
-                yield attempt(score, batch)
-                continue
-            except Exception:  # a scorer may fail in any way; narrowed down to rows below
-                pass
-            for at in range(len(batch)):
-                row = batch.iloc[at:at + 1]
-                try:
-                    yield attempt(score, row)
-                except Exception as problem:
-                    failed = row[names].reset_index(drop=True)
-                    yield failed.assign(prediction=None, nll_sum=None, n_tokens=None, error=str(problem))
-
-    return rows.select(*dict.fromkeys([*names, "code", "docstring"])).mapInPandas(
-        task, f"{schema}, prediction string, nll_sum double, n_tokens bigint, error string"
-    )
+            yield from _attempt(score, batch, names)
+
+    return rows.select(*dict.fromkeys([*names, "code", "docstring"])).mapInPandas(task, f"{schema}, {OUTPUT_SCHEMA}")
+
+
+def predict_runs(
+    rows: DataFrame, scorers: Mapping[str, Callable[[], Scorer]], keep: Sequence[str] = ("id", "docstring"), done: str | None = None
+) -> DataFrame:
+    """Every run's scorer over the same rows in one pass: a row per run and input row, with the run's ``file``.
+
+    Rows are read and sent to Python once, however many runs there are. ``done`` names a column of run
+    files that a row needs no more; a scorer is made when the first row of a task asks for it.
+    """
+    kept = [f for f in rows.schema.fields if f.name in keep]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    names = [f.name for f in kept]
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made: dict[str, Scorer] = {}
+        for batch in batches:
+            had = [set() if d is None else set(d) for d in batch[done]] if done else None
+            for file, make in scorers.items():
+                wanted = batch if had is None else batch[[file not in h for h in had]]
+                if len(wanted):
+                    score = made.get(file) or made.setdefault(file, make())
+                    for out in _attempt(score, wanted, names):
+                        yield out.assign(file=file)
+
+    columns = dict.fromkeys([*names, "code", "docstring", *([done] if done else [])])
+    return rows.select(*columns).mapInPandas(task, f"{schema}, {OUTPUT_SCHEMA}, file string")
 
 
 def keyword_scorer(k: int = 12) -> Callable[[], Scorer]:

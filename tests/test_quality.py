@@ -142,3 +142,37 @@ def test_budget_holds_for_every_run(spark):
 
     report = evaluation.evaluate(rows, {f"r{k}.pt": counting for k in range(3)}, budget=7).collect()
     assert len(report) == 3 and all(r.loss == pytest.approx(3.0) for r in report)
+
+
+def tallying_scorer(folder, name):
+    """Leaves a file per row it is asked for."""
+    def make():
+        def score(batch):
+            for code in batch["code"]:
+                open(f"{folder}/{name}-{code}", "x").close()
+            return pd.DataFrame({"prediction": batch["docstring"], "nll_sum": 1.0, "n_tokens": 1})
+        return score
+    return make
+
+
+def test_stored_predictions_are_not_made_again(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    rows = spark.createDataFrame([(i, f"c{i}", f"some words {i}") for i in range(30)], "id long, code string, docstring string")
+    scorers = {f"{n}.pt": tallying_scorer(str(calls), n) for n in ("a", "b")}
+    store = str(tmp_path / "store")
+    assert len(evaluation.evaluate(rows.filter("id < 10"), {"a.pt": scorers["a.pt"]}, store=store).collect()) == 1
+    assert len(list(calls.iterdir())) == 10
+    first = evaluation.evaluate(rows, scorers, store=store).orderBy("file").collect()
+    assert len(list(calls.iterdir())) == 60  # the scorer refuses to be asked twice
+    assert evaluation.evaluate(rows, scorers, store=store).orderBy("file").collect() == first and len(first) == 2
+    assert evaluation.predict_missing(rows, scorers, store).filter("error IS NOT NULL").count() == 0
+    few = evaluation.predict_missing(rows.filter("id >= 25"), scorers, store)
+    assert sorted((r.id, r.file) for r in few.collect()) == [(i, f) for i in range(25, 30) for f in ("a.pt", "b.pt")]
+
+
+def test_all_runs_read_the_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(1, "a", "b")], "id long, code string, docstring string").write.parquet(path)
+    predicted = quality.predict_runs(spark.read.parquet(path), {f"{k}.pt": quality.keyword_scorer(k) for k in range(1, 6)})
+    assert predicted.count() == 5 and predicted._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
