@@ -86,8 +86,8 @@ def read_logs(spark, sf):
 def write_run_records(spark, sf):
     path = scratch_path(spark, "records")
     records = runs.run_records(A.runs(spark, sf), A.epochs(spark, sf), A.LOG_PART)
-    runlogs.write_run_records(records, path)
-    back = spark.read.schema(records.schema).json(path)
+    runlogs.write_run_files(runs.run_files(records), path)
+    back = runlogs.read_run_records(spark, path, records.schema)
     return back.select(
         "run_id", "part", "metadata.*", F.col("durations")["model_training"].alias("model_training"),
         "evaluation.file", "evaluation.eval_mode", F.explode("training_history").alias("h"),

@@ -84,3 +84,13 @@ def render_epoch_line(
 
 def render_timer_line(phase: Column, seconds: Column) -> Column:
     return F.format_string("[TIMER] Phase '%s' completed in %.2fs", phase, seconds)
+
+
+def elapsed(seconds: Column) -> Column:
+    """A duration as ``H:MM:SS``, days before it and microseconds behind it where there are any."""
+    micros = F.round(seconds * 1_000_000).cast("bigint")
+    whole = F.floor(micros / 1_000_000)
+    days, rest = F.floor(whole / 86_400), F.pmod(micros, F.lit(1_000_000))
+    clock = F.format_string("%d:%02d:%02d", F.floor(whole / 3_600) % 24, F.floor(whole / 60) % 60, whole % 60)
+    named = F.when(days == 1, "1 day, ").when(days > 1, F.concat(days.cast("string"), F.lit(" days, "))).otherwise("")
+    return F.concat(named, clock, F.when(rest > 0, F.format_string(".%06d", rest)).otherwise(""))

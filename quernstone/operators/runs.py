@@ -280,6 +280,7 @@ def run_records(
 
     A run without epochs has one record with an empty history. ``phases`` (``run_id, phase, seconds``, as
     from :func:`phase_durations`) fill the durations; without them the total time is the training's.
+    ``total_execution`` is what all of them take together.
     ``tokenizer`` and ``infrastructure`` columns of ``run_table`` become blocks of the record.
     """
     shown = F.format_string("%.2fs", "seconds")
@@ -290,11 +291,14 @@ def run_records(
             F.struct("epoch", "train_loss", "val_loss", "lr", shown.alias("duration"))
         )).alias("training_history"))
     )
-    durations = F.create_map(F.lit("model_training"), F.format_string("%.2fs", "total_seconds"))
+    durations, spent = F.create_map(F.lit("model_training"), F.format_string("%.2fs", "total_seconds")), F.col("total_seconds")
     if phases is not None:
-        named = phases.groupBy("run_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("phase", shown)))).alias("_durations"))
+        named = phases.groupBy("run_id").agg(
+            F.map_from_entries(F.sort_array(F.collect_list(F.struct("phase", shown)))).alias("_durations"), F.sum("seconds").alias("_spent")
+        )
         run_table = run_table.join(named, "run_id", "left")
-        durations = F.coalesce("_durations", F.expr("cast(map() AS map<string,string>)"))
+        durations, spent = F.coalesce("_durations", F.expr("cast(map() AS map<string,string>)")), F.col("_spent")
+    durations = F.map_concat(durations, F.create_map(F.lit("total_execution"), R.elapsed(F.coalesce(spent, F.lit(0.0)))))
     subset = F.when(F.col("subset_size") == 0, "ALL").otherwise(F.col("subset_size").cast("string"))
     started = F.date_format("started", "yyyy-MM-dd'T'HH:mm:ss")
     empty = F.array().cast(history.schema["training_history"].dataType)
@@ -308,3 +312,37 @@ def run_records(
         F.coalesce("training_history", empty).alias("training_history"),
         F.struct("file", "model", "bleu", "rougeL", F.lit(mode).alias("eval_mode")).alias("evaluation"),
     )
+
+
+def run_files(records: DataFrame) -> DataFrame:
+    """``name, json, log``: the two files of each record of :func:`run_records`.
+
+    The name is the archive name of the run (:func:`quernstone.functions.runs.run_slug`), with the run's id
+    behind it where several runs have that name, and the part behind that from the second part on. The log
+    says what the record says in lines that :func:`run_summary` reads.
+    """
+    entry = F.col("metadata")
+    slug = R.run_slug(F.to_timestamp(entry["start_time"]), entry["model_type"], entry["subset"].try_cast("int"), F.col("evaluation.bleu"))
+    named = records.select("*", F.regexp_replace(slug, r"[^A-Za-z0-9._-]", "_").alias("_slug"))
+    shared = named.groupBy("_slug").agg((F.min("run_id") != F.max("run_id")).alias("_shared"))
+    name = F.concat(
+        "_slug", F.when(F.col("_shared"), F.concat(F.lit("_"), F.col("run_id").cast("string"))).otherwise(""),
+        F.when(F.col("part") > 0, F.format_string("_P%d", "part")).otherwise(""),
+    )
+    epochs = F.transform("training_history", lambda h: F.format_string(
+        "Epoch %02d | Loss: %.4f | Val: %.4f | LR: %.6f | Time: %s", h["epoch"], h["train_loss"], h["val_loss"], h["lr"], h["duration"]
+    ))
+    spent = F.map_filter("durations", lambda k, _: k != "total_execution")
+    timers = F.transform(F.map_entries(spent), lambda e: F.format_string("[TIMER] Phase '%s' completed in %s", e["key"], e["value"]))
+    pretty = {"pretty": "true"}
+    later = F.col("part") > 0
+    log = F.concat_ws(
+        "\n",
+        F.format_string("RUN %s PART %d", F.col("run_id").cast("string"), "part"),
+        F.when(~later, F.array_join(timers, "\n")), F.nullif(F.array_join(epochs, "\n"), F.lit("")),
+        F.when(~later, F.concat(F.lit("--- FINAL EVALUATION ("), F.upper("evaluation.eval_mode"), F.lit(") ---"))),
+        F.when(~later, F.to_json("evaluation", pretty)),
+        F.lit("--- FINISHED ---"), F.concat(F.lit("Total Duration: "), F.col("durations")["total_execution"]),
+    )
+    whole = F.to_json(F.struct(*records.columns), pretty)
+    return named.join(shared, "_slug").select(name.alias("name"), whole.alias("json"), log.alias("log"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.session import remove
+
 METRIC_SCHEMA = """file string, model string, bleu double, rougeL double, loss double, perplexity double,
  Subset string, Hardware string, `Infra (s)` double, `Cleaning (s)` double, Tokenizer string,
  `Mean Epoch (s)` string"""
@@ -27,9 +31,36 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     return logs.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
 
 
-def write_run_records(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Nested run records, one JSON object per line."""
-    records.write.mode(mode).option("compression", "gzip").json(path)
+def write_run_files(files: DataFrame, path: str) -> int:
+    """Write ``name, json, log`` as ``<name>.json`` and ``<name>.log`` below ``path``; returns how many files.
+
+    Tasks write to a hidden folder beside them. When all have succeeded, each file is moved to its
+    name, which takes its place in one step and replaces an older one; if any fails, the folder is
+    removed and nothing appears. Works on every file system that Spark writes to.
+    """
+    spark = files.sparkSession
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    both = F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("value")) for kind in ("json", "log")]))
+    try:
+        files.select("name", both).write.option("maxRecordsPerFile", 1).partitionBy("name", "kind").text(staging)
+        system = hadoop.Path(path).getFileSystem(conf)
+        made = list(system.globStatus(hadoop.Path(f"{staging}/name=*/kind=*/part-*")) or [])
+        for status in made:
+            part = status.getPath()
+            kind, name = part.getParent(), part.getParent().getParent()
+            target = hadoop.Path(f"{path}/{name.getName().removeprefix('name=')}.{kind.getName().removeprefix('kind=')}")
+            system.delete(target, False)
+            if not system.rename(part, target):
+                raise OSError(f"{target} could not be put in place")
+        return len(made)
+    finally:
+        remove(spark, staging)
+
+
+def read_run_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records from the ``.json`` files below ``path``, one each."""
+    return spark.read.option("multiLine", True).option("pathGlobFilter", "*.json").schema(schema).json(path)
 
 
 def write_log_texts(logs: DataFrame, path: str, mode: str = "errorifexists") -> None:

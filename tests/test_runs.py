@@ -157,10 +157,57 @@ def test_long_runs_continue_in_further_records(spark):
     phases = spark.createDataFrame([(1, "setup", 1.5), (1, "training", 2.0)], "run_id int, phase string, seconds double")
     full = table.withColumn("tokenizer", F.struct(F.lit("REUSED").alias("status"))).withColumn("infrastructure", F.create_map(F.lit("gpu"), F.lit("T4")))
     [record] = runs.run_records(full, epochs.limit(0), 3, phases=phases).collect()
-    assert record.durations == {"setup": "1.50s", "training": "2.00s"}
+    assert record.durations == {"setup": "1.50s", "training": "2.00s", "total_execution": "0:00:03.500000"}
     assert record.metadata.tokenizer.status == "REUSED" and record.infrastructure == {"gpu": "T4"}
 
 
 def test_numbers_with_type_letters_do_not_count(spark):
     rows = spark.createDataFrame([(t,) for t in ("12d", "12f", "1.5", " -2e1 ", "x", None, "nan")], "t string")
     assert [r[0] for r in rows.select(R.to_numeric_coerce(F.col("t"))).collect()] == [0.0, 0.0, 1.5, -20.0, 0.0, 0.0, 0.0]
+
+
+def test_elapsed(spark):
+    from datetime import timedelta
+
+    seconds = [0.0, 9.0, 61.5, 3600.25, 86_399.999999, 86_400.0, 200_000.0, 1e-6]
+    rows = spark.createDataFrame([(x,) for x in seconds], "s double").select(R.elapsed(F.col("s")))
+    assert [r[0] for r in rows.collect()] == [str(timedelta(seconds=x)) for x in seconds]
+
+
+def records_of_three_runs(spark):
+    epochs = spark.range(1, 15).select(
+        (F.col("id") % 2).cast("int").alias("run_id"), F.ceil(F.col("id") / 2).cast("int").alias("epoch"), F.lit(1.0).alias("train_loss"),
+        (F.col("id") / 4).alias("val_loss"), F.lit(0.1).alias("lr"), F.lit(3.0).alias("seconds"))
+    table = spark.createDataFrame(
+        [(0, "lstm", 20000, "0_lstm_sub20000.pt", 0.25, 0.5, 21.0), (1, "lstm", 20000, "1_lstm_sub20000.pt", 0.25, 0.75, 21.0), (2, "gru/x", 0, "2.pt", 0.0, 0.0, 0.0)],
+        "run_id int, model string, subset_size int, file string, bleu double, rougeL double, total_seconds double")
+    return runs.run_records(table.withColumn("started", F.lit("2024-01-02 03:04:05").cast("timestamp")), epochs, 5)
+
+
+def test_run_files_round_trip(spark, tmp_path):
+    path, records = str(tmp_path / "runs"), records_of_three_runs(spark)
+    for _ in range(2):
+        assert runlogs.write_run_files(runs.run_files(records), path) == 10
+    stem = "20240102_030405_LSTM_S20000_B0.25"
+    names = [*[f"{stem}_{k}{p}" for k in (0, 1) for p in ("", "_P1")], "20240102_030405_GRU_X_SALL_NA"]
+    found = sorted(f.name for f in (tmp_path / "runs").iterdir() if not f.name.startswith((".", "_")))
+    assert found == sorted(f"{n}.{kind}" for n in names for kind in ("json", "log")) and not list((tmp_path / "runs").glob("_staging*"))
+    back = runlogs.read_run_records(spark, path, records.schema)
+    order = ["run_id", "part"]
+    assert back.orderBy(order).collect() == records.orderBy(order).collect()
+    logs = runlogs.read_logs(spark, f"{path}/*.log").withColumn("run_id", F.regexp_extract("content", r"RUN (\d+) PART (\d+)", 1).cast("int"))
+    logs = logs.withColumn("part", F.regexp_extract("content", r"RUN (\d+) PART (\d+)", 2).cast("int"))
+    summary = {r.run_id: r for r in runs.run_summary(logs, 5).collect()}
+    assert (summary[1].name, summary[1].bleu, summary[1].rougeL) == ("1_lstm_sub20000", 0.25, 0.75)
+    epochs = {(r.run_id, r.part): r["count"] for r in runs.parse_epochs(logs).groupBy("run_id", "part").count().collect()}
+    assert epochs == {(0, 0): 5, (0, 1): 2, (1, 0): 5, (1, 1): 2}
+    assert {r.run_id: r.total_seconds for r in runs.phase_durations(logs).collect()} == {0: 21.0, 1: 21.0, 2: 0.0}
+
+
+def test_a_failed_task_leaves_no_run_file(spark, tmp_path):
+    path = tmp_path / "runs"
+    files = runs.run_files(records_of_three_runs(spark)).repartition(5)
+    broken = files.withColumn("log", F.when(F.col("name").endswith("_NA"), F.raise_error(F.lit("lost"))).otherwise(F.col("log")))
+    with pytest.raises(Exception, match="lost"):
+        runlogs.write_run_files(broken, str(path))
+    assert not path.exists() or list(path.iterdir()) == []
