@@ -519,12 +519,9 @@ def refine_stream(spark, sf):
     root = scratch_path(spark, "arriving")
     A.write_shards(A.clean_lines(spark, sf), f"{root}/in")
     lines = stream.stream_shards(spark, f"{root}/in", SHARDS)
-    stream.refine_train_stream(lines, f"{root}/train", f"{root}/train-state").awaitTermination()
-    stream.refine_eval_stream(lines, f"{root}/train", f"{root}/eval", f"{root}/eval-state").awaitTermination()
+    stream.refine_stream(lines, f"{root}/out", f"{root}/state").awaitTermination()
+    kept = stream.read_stream_output(spark, f"{root}/out")
     columns = ("split", "fp")
-    kept = spark.read.parquet(f"{root}/train").select(*columns).unionByName(
-        spark.read.parquet(f"{root}/eval").select(*columns)
-    )
     return kept.groupBy(*columns).agg(F.count("*").alias("n"))
 
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quernstone.operators import refine as ops
 from quernstone.sources import jsonl
 
 
-SALTS = 32
-REGISTRY = "fp string"
+SALTS = 8
+KEPT = ["split", "code", "docstring", "fp"]
+ROW = "split string, code string, docstring string, fp string"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -32,19 +38,50 @@ def gate_stream(lines: DataFrame) -> DataFrame:
     return ops.gate_pairs(jsonl.normalize_keys(lines.withColumnRenamed("file", "id")))
 
 
-def refine_train_stream(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append each new training fingerprint once; the state store remembers those seen so far.
-
-    The sink doubles as the registry that evaluation rows are checked against. Copies are dropped
-    twice: first among files of the same salt, so that a fingerprint found everywhere is spread over
-    ``SALTS`` tasks, then among the at most ``SALTS`` rows that are left of it.
+def _first_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Training rows once per batch of a task, with markers for the other salts; evaluation rows under a salt each."""
+    for rows in batches:
+        train = rows[rows["split"] == ops.TRAIN].drop_duplicates("fp")
+        other = rows[rows["split"] != ops.TRAIN]
+        yield train.assign(salt=0)
+        for salt in range(1, SALTS):
+            yield train.assign(salt=salt, code=None, docstring=None)
+        yield other.assign(salt=np.arange(len(other)) % SALTS)
+
+
+def _judge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The first training row ever of a fingerprint, or the evaluation rows of one that training does not have."""
+    if state.exists:
+        return
+    held: list[pd.DataFrame] = []
+    for rows in batches:
+        train = rows[rows["split"] == ops.TRAIN]
+        if len(train):
+            state.update((True,))
+            if key[1] == 0:
+                yield train.iloc[:1][KEPT]
+            return
+        held.append(rows[KEPT])
+    yield from held
+
+
+def refine_stream(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """The refinery over arriving lines: each training fingerprint once, and evaluation rows that training does not have.
+
+    Fingerprints seen in training are a keyed state, which a batch asks for its own keys; what it
+    reads and writes depends on the batch and not on what came before. An evaluation row meets the
+    training rows of its own batch and of all earlier ones. Copies of a training row are dropped in
+    each task before they move. Evaluation rows of one fingerprint are dealt over ``SALTS`` keys, each of
+    which knows the training fingerprints, so a frequent one is no single task's. Rows lie below ``out``
+    by split.
     """
     _keep_state_on_disk(lines.sparkSession)
-    train = gate_stream(lines.filter(F.col("split") == ops.TRAIN))
-    salted = train.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    gated = gate_stream(lines).select(*KEPT)
     return (
-        salted.dropDuplicates(["fp", "salt"]).dropDuplicates(["fp"]).drop("id", "salt")
+        gated.mapInPandas(_first_copies, f"{ROW}, salt int")
+        .groupBy("fp", "salt").applyInPandasWithState(_judge, ROW, "seen boolean", "append", GroupStateTimeout.NoTimeout)
         .writeStream.format("parquet")
+        .partitionBy("split")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -52,21 +89,6 @@ def refine_train_stream(lines: DataFrame, out: str, checkpoint: str) -> Streamin
     )
 
 
-def refine_eval_stream(lines: DataFrame, registry: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Append evaluation rows whose fingerprint the registry does not hold when their batch runs.
-
-    A batch writes to a folder named by its number, so repeating it after a failure replaces its
-    own output and nothing else.
-    """
-    held_out = gate_stream(lines.filter(F.col("split") != ops.TRAIN)).drop("id")
-
-    def write(batch: DataFrame, number: int) -> None:
-        seen = batch.sparkSession.read.schema(REGISTRY).parquet(registry)
-        batch.join(seen, "fp", "left_anti").write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    return (
-        held_out.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def read_stream_output(spark: SparkSession, out: str) -> DataFrame:
+    """``split, code, docstring, fp`` of all that :func:`refine_stream` has written so far."""
+    return spark.read.schema(ROW).parquet(out)

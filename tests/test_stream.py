@@ -2,6 +2,9 @@
 
 import json
 
+import pandas as pd
+from pyspark.sql import functions as F
+
 from quernstone.operators import refine
 from quernstone.sources import jsonl
 from quernstone.streaming import refine_stream as stream
@@ -18,12 +21,13 @@ def write(root, rows, tag):
 
 def run(spark, root):
     lines = stream.stream_shards(spark, f"{root}/in")
-    stream.refine_train_stream(lines, f"{root}/train", f"{root}/s1").awaitTermination()
-    stream.refine_eval_stream(lines, f"{root}/train", f"{root}/eval", f"{root}/s2").awaitTermination()
+    query = stream.refine_stream(lines, f"{root}/out", f"{root}/state")
+    query.awaitTermination()
+    return query
 
 
 def fingerprints(df):
-    return sorted(r.fp for r in df.select("fp").collect())
+    return sorted((r.split, r.fp) for r in df.select("split", "fp").collect())
 
 
 def test_two_arrivals_match_one_batch(spark, tmp_path):
@@ -35,7 +39,29 @@ def test_two_arrivals_match_one_batch(spark, tmp_path):
     write(tmp_path, train[60:] + held_out, "late")
     run(spark, tmp_path)
     gated = refine.gate_pairs(frame(spark, rows))
-    kept_train = refine.train_registry(gated)
-    assert fingerprints(spark.read.parquet(f"{tmp_path}/train")) == fingerprints(kept_train)
-    assert fingerprints(spark.read.parquet(f"{tmp_path}/eval")) == fingerprints(refine.cross_split_anti(gated))
+    want = refine.train_registry(gated).withColumn("split", F.lit("train")).select("split", "fp").unionByName(refine.cross_split_anti(gated).select("split", "fp"))
+    assert fingerprints(stream.read_stream_output(spark, f"{tmp_path}/out")) == fingerprints(want)
     assert jsonl.read_jsonl_shards(spark, f"{tmp_path}/in").count() == len(rows)
+
+
+def pair(k):
+    return " ".join(f"word{k}_{i}" for i in range(40)), f"Adds number {k} to another one and returns what comes of it."
+
+
+def test_a_batch_asks_for_its_own_keys(spark, tmp_path):
+    """Three arrivals, the first large: later ones look up no more keys than they bring."""
+    asked = []
+    for tag, (first, last) in {"a": (0, 600), "b": (600, 610), "c": (5, 15)}.items():
+        rows = [(k, "train", *pair(k)) for k in range(first, last)] + [(k, "test", *pair(k)) for k in (first, first + 1, 10_000 + first)] * 2
+        write(tmp_path, rows, tag)
+        asked.append(run(spark, tmp_path).recentProgress[0].stateOperators[0].customMetrics["rocksdbGetCount"])
+    out = stream.read_stream_output(spark, f"{tmp_path}/out").groupBy("split").agg(F.count("*").alias("n"), F.countDistinct("fp").alias("fps")).collect()
+    assert {r.split: (r.n, r.fps) for r in out} == {"train": (610, 610), "test": (6, 3)}
+    assert max(asked[1:]) <= 4 * stream.SALTS * 13 < asked[0]
+
+
+def test_frequent_fingerprints_are_dealt_out(spark, tmp_path):
+    rows = pd.DataFrame([("test", "c", "d", "x")] * 80 + [("train", "c", "d", "y")] * 50, columns=stream.KEPT)
+    dealt = pd.concat(stream._first_copies(iter([rows])))
+    counts = dealt.groupby(["split", "salt"]).size()
+    assert (counts["test"] == 10).all() and (counts["train"] == 1).all() and len(counts) == 2 * stream.SALTS
