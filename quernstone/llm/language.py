@@ -15,7 +15,7 @@ from quernstone.llm.common import lean_batches, mix64, stored
 
 BINS = 1 << 14
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
+MAX_LANGUAGES = 1024
 SATURATION = 100.0
 SMOOTHING = 5.0
 ACCEPT = 0.5
@@ -100,21 +100,28 @@ def _count_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([language] * len(own), pa.string()), pa.array(own, pa.int64()), pa.array(n, pa.int64())], names=["language", "bin", "n"])
 
 
+def declared_of(columns: Columns) -> Column:
+    """The declared language without its region, in lower case; null where it is missing or empty."""
+    return F.nullif(F.lower(F.substring_index(F.col(columns.declared).cast("string"), "-", 1)), F.lit(""))
+
+
 def fit(docs: DataFrame, columns: Columns, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
     """Trigram model of the declared languages, from at most ``per_language`` documents of each.
 
-    Only the ``max_languages`` commonest are learned. Documents are those with the smallest hashes of the
-    id; ids and hashes move, texts do not. Sizes of sample and model are bounded by the parameters.
+    Labels are taken up to a hyphen, in lower case, so ``en-US`` is ``en``. The ``max_languages`` commonest
+    are learned: the sample has no documents of further ones, which :func:`identify` leaves undecided.
+    Documents are those with the smallest hashes of the id; ids and hashes move, texts do not. Sizes of
+    sample and model are bounded by the parameters.
     """
     if columns.declared is None:
         raise ValueError("a model needs declared languages to learn from, or must be given")
-    named = docs.select(F.col(columns.id).alias("id"), F.col(columns.declared).cast("string").alias("language")).filter("id IS NOT NULL AND language IS NOT NULL")
+    named = docs.select(F.col(columns.id).alias("id"), declared_of(columns).alias("language")).filter("id IS NOT NULL AND language IS NOT NULL")
     common = named.groupBy("language").count().orderBy(F.desc("count"), "language").limit(max_languages)
     languages = tuple(sorted(r["language"] for r in common.collect()))
     marked = named.withColumn("h", F.xxhash64(F.lit("language"), "id")).filter(F.col("language").isin(*languages))
     least = marked.groupBy("language", F.pmod(F.xxhash64("h"), F.lit(per_language)).alias("cell")).agg(F.min_by("id", "h").alias("id"))
     chosen = F.broadcast(stored(least.select("id", "language"), "sample"))
-    rows = docs.select(F.col(columns.id).alias("id"), F.col(columns.text).alias("text"), F.col(columns.declared).cast("string").alias("language")).join(chosen, ["id", "language"])
+    rows = docs.select(F.col(columns.id).alias("id"), F.col(columns.text).alias("text"), declared_of(columns).alias("language")).join(chosen, ["id", "language"])
     counts = rows.select("language", "text").mapInArrow(_count_bins, "language string, bin long, n long").groupBy("language", "bin").agg(F.sum("n").alias("n"))
     table = np.full((BINS, len(languages) + 1), 0.5)
     at = {language: k for k, language in enumerate(languages)}
@@ -137,7 +144,7 @@ def _scorer(model: Model):
 def _evidence(docs: DataFrame, model: Model, columns: Columns) -> DataFrame:
     """``_row`` and the clues of each document."""
     null = F.lit(None).cast("string")
-    declared = F.lower(F.substring_index(F.col(columns.declared).cast("string"), "-", 1)) if columns.declared else null
+    declared = declared_of(columns) if columns.declared else null
     host = F.lower(F.col(columns.host).cast("string")) if columns.host else null
     suffix, domain = F.regexp_extract(host, r"\.([a-z]+)$", 1), F.regexp_extract(host, r"([^.]+\.[a-z]+)$", 1)
     return docs.select(
@@ -202,6 +209,9 @@ def identify(
     shuffled; the tables of hosts, declared languages and suffixes are joined by what Spark finds best
     for their size. ``model`` is fitted on a bounded sample of ``docs`` if none is given.
 
+    Texts whose declared language the model has not learned are left undecided: they keep that language,
+    with confidence 0, and are accepted.
+
     Null texts and such without letters have no language: ``und``, not accepted. Missing clues (null, or
     never seen) say nothing. Repeated rows are judged alike. An empty table gives no rows.
     """
@@ -222,6 +232,8 @@ def identify(
     confidence = 1 / F.aggregate("_total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_top")))
     best = F.element_at(names, F.array_position("_total", F.col("_top")).cast("int"))
     lettered = F.col("_text.n") > 0
-    return judged.select("_row", F.when(lettered, best).otherwise(UNKNOWN).alias("language"), F.when(lettered, confidence).otherwise(0.0).alias("confidence")).withColumn(
-        "accepted", (F.col("language") != UNKNOWN) & (F.col("confidence") >= accept)
-    )
+    foreign = lettered & F.coalesce(~F.col("_declared").isin(*model.languages), F.lit(False))
+    language = F.when(foreign, F.col("_declared")).when(lettered, best).otherwise(UNKNOWN)
+    found = judged.select("_row", foreign.alias("_foreign"), language.alias("language"), F.when(lettered & ~foreign, confidence).otherwise(0.0).alias("confidence"))
+    accepted = F.col("_foreign") | ((F.col("language") != UNKNOWN) & (F.col("confidence") >= accept))
+    return found.select("_row", "language", "confidence", accepted.alias("accepted"))

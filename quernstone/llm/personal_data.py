@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -23,8 +25,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LEARNED = ("local_phone", "masked_email", "secret")
 LONGEST = 14
 REACH = 16
-SAMPLE = 200
+SAMPLE, WINDOWS, WINDOW_CHARS = 200, 2, 400
 TURNS = 8
+EXAMPLES = 8
 
 Span = tuple[str, int, int]
 
@@ -72,8 +75,13 @@ def base_spans(text: str) -> list[Span]:
 # --- the random field --------------------------------------------------------------------------
 
 TOKEN = re.compile(r"[^\W_]+|[^\s\w]|_")
-ANCHOR = re.compile(r"[0-9]{2,}|[\[(<{ ][Dd][Oo][Tt][\])>} ]|[A-Za-z](?==)")
+# Numbers, spelled-out dots, and assignments: of a value with a digit to any name, of anything to a telling name.
+ANCHOR = re.compile(
+    r"""[0-9]{2,}|[\[(<{ ][Dd][Oo][Tt][\])>} ]|\w["']?\s{0,2}[=:](?=\s{0,2}["']?[^\s"']*[0-9])"""
+    r"""|(?i:passw(?:or)?d|pwd|secret|token|key)["']?\s{0,2}[=:]"""
+)
 KEYS = frozenset({"password", "passwd", "pwd", "secret", "token", "apikey", "key"})
+LEAST_SECRET = 6
 AT, DOT = frozenset({"at"}), frozenset({"dot"})
 Token = tuple[str, int, int]
 
@@ -95,6 +103,40 @@ def _class(word: str) -> str:
     return "number" if _number(word) else "word" if word[0].isalnum() else word
 
 
+def _assignment(words: Sequence[str]) -> tuple[str, str, str, str] | None:
+    """Name, mark, quote and value, where the words are one assignment and nothing else."""
+    if not words[0][0].isalnum():
+        return None
+    at = 1
+    while at + 1 < len(words) and words[at] in "_-" and words[at + 1][0].isalnum():
+        at += 2
+    if at >= len(words) - 1 or words[at] not in "=:":
+        return None
+    name, mark, rest = words[:at], words[at], list(words[at + 1 :])
+    quote = rest[0] if rest[0] in "\"'" else ""
+    if quote:
+        if len(rest) < 3 or rest[-1] != quote:
+            return None
+        rest = rest[1:-1]
+    if not all(w[0].isalnum() or w in "_-+/." for w in rest):
+        return None
+    return "".join(name).lower(), mark, quote, "".join(rest)
+
+
+def _entropy(value: str) -> float:
+    counts = np.array(list(Counter(value).values())) / len(value)
+    return float(-(counts * np.log2(counts)).sum())
+
+
+def _secret_features(name: str, mark: str, quote: str, value: str) -> list[str]:
+    digits, letters = any(c.isdigit() for c in value), any(c.isalpha() for c in value)
+    told = next((k for k in sorted(KEYS) if name.endswith(k)), "other")
+    return [
+        "assigned", f"named={told != 'other'},mixed={digits and letters}", f"value={digits},{letters},long={min(len(value) // 4, 8)}",
+        f"entropy={min(int(2 * _entropy(value)), 8)},named={told != 'other'}", f"mark={mark},quoted={bool(quote)}",
+    ]
+
+
 def features(tokens: Sequence[Token], a: int, b: int) -> list[str]:
     """What the field sees of the segment ``tokens[a:b]`` as a whole, and of the word before it."""
     words = [t[0] for t in tokens[a:b]]
@@ -108,12 +150,13 @@ def features(tokens: Sequence[Token], a: int, b: int) -> list[str]:
         out.append(f"masked,ends={words[-1].isalpha() and lower[-1] not in DOT | AT},starts={words[0].isalnum() and lower[0] not in AT},dots={lower.count('dot')}")
         out.append("pattern=" + "".join(w if w in AT | DOT or not w[0].isalnum() else "w" for w in lower))
         out.append(f"tail={lower[-1]}")
-    if lower[0] in KEYS and len(words) > 2 and words[1] in "=:":
-        out.append(f"key,long={sum(map(len, words[2:])) >= 6},tight={max(gaps) == 0}")
+    assigned = _assignment(words)
+    if assigned:
+        out.extend(_secret_features(*assigned))
     out.append(f"first={_class(words[0])}")
     out.append(f"last={_class(words[-1])}")
     glued_left = a > 0 and tokens[a - 1][2] == tokens[a][1]
-    glued_right = b < len(tokens) and tokens[b][1] == tokens[b - 1][2] and tokens[b][0] not in ".,;:!?"
+    glued_right = b < len(tokens) and tokens[b][1] == tokens[b - 1][2] and (tokens[b][0][0].isalnum() or tokens[b][0] in "_-+/@=")
     out.append(f"glued={glued_left},{glued_right}")
     return out
 
@@ -124,7 +167,10 @@ def _possible(tokens: Sequence[Token], a: int, b: int) -> bool:
     if words[0] in ".,;:!?)=-" or words[-1] in ".,;:!?(=-" :
         return False
     lower = {w.lower() for w in words}
-    return any(len(w) > 1 and _number(w) for w in words) or bool(AT & lower and DOT & lower) or (words[0].lower() in KEYS and len(words) > 2)
+    if any(len(w) > 1 and _number(w) for w in words) or (AT & lower and DOT & lower):
+        return True
+    assigned = _assignment(words) if len(words) > 2 else None
+    return bool(assigned) and len(assigned[3]) >= LEAST_SECRET
 
 
 def _ending(tokens: Sequence[Token], b: int, longest: int) -> list[tuple[int, list[str]]]:
@@ -198,11 +244,34 @@ def _example(before: str, entity: str, kind: str | None, after: str) -> tuple[li
     return tokens, {(a, b, kind)}
 
 
+def _assignments(before: str, entity: str, word: str, after: str) -> list[tuple[list[Token], set[tuple[int, int, str]]]]:
+    """Secrets made of a hash of the address, in the ways they are written, and assignments that are none."""
+    random = hashlib.sha256(entity.encode("utf-8", "replace")).hexdigest()
+    short = re.sub("[^A-Za-z]", "", entity)[:6] + random[:4]
+    letters = "".join(chr(97 + int(c, 16)) for c in random)
+    values = (random[:40], random[:24], f"{letters[:12]}_{random[12:32]}", letters[:6].upper() + random[20:40])
+    turn = int(random[-2:], 16)
+    out = []
+    for k, name in enumerate(("token", "api_key", "secret", "password", "client-secret", "pwd", "auth", "session_id")):
+        value = values[(turn + k) % 4]
+        telling = k < 6
+        forms = (f'{name} = "{value}"', f"{name}={value}", f"{name}: {value}", f"{name}='{value}'", f'{name}: "{value}"')
+        out.append(_example(before, forms[(turn + k) % 5], "secret", after))
+        if telling:
+            out.append(_example(before, (f"{name}={short}", f'{name} = "{short}"', f"{name}: {short}")[(turn + k) % 3], "secret", after))
+    clean = (
+        f"width={len(entity)}", f"{word}: {word}", f'name = "{word}"', f"time = {random[0:1]}:30", "version: 1.20.3", f"count = {turn}00", f"date: 2024-0{1 + turn % 9}-12",
+        f'title="{word}"', f"step: {word}{turn}", f"total={turn}5000000", f"https://{word}", f"key: {word}", f"room: b{turn}", f"page = {turn}",
+    )
+    return out + [_example(before, text, None, after) for text in clean]
+
+
 def training_examples(texts: Sequence[str]) -> list[tuple[list[Token], set[tuple[int, int, str]]]]:
     """Marked windows from fixed-kind spans: known data rewritten in forms the patterns miss.
 
-    Phones lose the country code, addresses spell out ``at`` and ``dot``; the words around stay. Plain
-    numbers and dates made from the same digits, and the unchanged surroundings, are the other side.
+    Phones lose the country code, addresses spell out ``at`` and ``dot``, hashes of addresses are assigned
+    to names; the words around stay. Plain numbers and dates made from the same digits, harmless
+    assignments and the unchanged surroundings are the other side.
     """
     out = []
     for text in texts:
@@ -223,12 +292,9 @@ def training_examples(texts: Sequence[str]) -> list[tuple[list[Token], set[tuple
                     for own in (re.sub("[^A-Za-z0-9]", "", name), re.sub("[^A-Za-z]", "", name)):
                         out.append(_example(before, f"{own or 'x'}{at}{dot.join(domain.split('.')[-2:])}", "masked_email", after))
                 out.append(_example(before, f"at {domain.split('.')[0]} and dot", None, after))
-                tail = re.sub("[^A-Za-z0-9]", "", name) + "7f3a9c"
-                for key in ("password=", "token=", "secret=", "key: "):
-                    out.append(_example(before, key + tail, "secret" if "=" in key else None, after))
-                out.append(_example(before, f"width={len(name)}", None, after))
                 word = next((w for w in after.split() if w.isalpha()), "now")
                 out.append(_example(before, f"look at it dot {word}", None, after))
+                out.extend(_assignments(before, entity, word, after))
             else:
                 out.append(_example(before, digits[:5], None, after))
     return out
@@ -275,15 +341,21 @@ def _field(items: tuple, longest: int) -> Field:
     return Field(dict(items), longest)
 
 
-def fit_field(docs: DataFrame, text_col: str, id_col: str, sample: int = SAMPLE, turns: int = TURNS) -> Field:
-    """A field learned from at most ``sample`` stretches around an @ or a +, of as many documents with the smallest hashes."""
+def fit_field(
+    docs: DataFrame, text_col: str, id_col: str, sample: int = SAMPLE, turns: int = TURNS, windows: int = WINDOWS, window_chars: int = WINDOW_CHARS
+) -> Field:
+    """A field learned from a bounded sample: at most ``sample`` stretches around an @ or a +.
+
+    They come from as many documents with the smallest hashes of the id, ``windows`` from each, the first
+    ``window_chars`` characters of a stretch. Nothing but the fitting is bounded.
+    """
     text = F.col(text_col)
     some = docs.filter(text.contains("@") | text.contains("+")).select(F.col(id_col).alias("id"), F.xxhash64(F.lit("field"), id_col).alias("h"))
     chosen = some.filter("id IS NOT NULL").orderBy("h", "id").limit(sample).select("id")
     around = F.regexp_extract_all(text, F.lit(r"((?:\S+\s+){0,5}\S*[@+]\S*(?:\s+\S+){0,8})"), F.lit(1))
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"]).select(F.explode(F.slice(around, 1, 2)).alias("w"))
+    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"]).select(F.explode(F.slice(around, 1, windows)).alias("w"))
     few = rows.distinct().orderBy(F.xxhash64("w"), "w").limit(sample)
-    return Field().learn(training_examples([r["w"][:400] for r in few.collect()])[: 3 * sample], turns)
+    return Field().learn(training_examples([r["w"][:window_chars] for r in few.collect()])[: EXAMPLES * sample], turns)
 
 
 def _finder(items: tuple, longest: int):

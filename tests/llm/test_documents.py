@@ -370,3 +370,111 @@ def test_best_segmentation_against_enumeration():
                             yield score + own, [(kind, tokens[a][1], tokens[b - 1][2]), *rest]
 
     assert f.best(tokens) == max(every(0), key=lambda x: x[0])[1]
+
+
+def test_secrets_in_many_forms(spark):
+    """Whatever the sample, quotes, blanks and colons around a value do not hide it; prose and settings are left alone."""
+    texts = [f"Please write to person{k}@mail{k}.example.com or call later about the {w} today" for k, w in enumerate("red blue green house river stone cloud apple".split() * 5)]
+    random.seed(3)
+    value = "".join(random.choice("0123456789abcdef") for _ in range(40))
+    kept = [f'token = "{value}"', "password: hunter2secret", "secret = s3cr3tvalue9", f"api_key={value[:20]}", f"client-secret: '{value[:24]}'", f'session = "{value}"']
+    clean = ["He said: nothing at all happened.", "width=120 height=80", "time: 12:30 and 14:45", 'name = "Rivers"', "key: the house", "total = 15000", "see chapter: seven"]
+    rows = [(k, t, None, None) for k, t in enumerate(texts)]
+    rows += [(1000 + k, f"words before {t}### words after", None, None) for k, t in enumerate(kept)] + [(2000 + k, f"words before {t} words after", None, None) for k, t in enumerate(clean)]
+    df = frame(spark, rows)
+    found = {r.doc_id: [(s["kind"], s["start"], s["end"]) for s in r.spans if s["learned"]] for r in personal_data.find_personal_data(df).collect()}
+    assert [found[1000 + k] for k in range(len(kept))] == [[("secret", 13, 13 + len(t))] for t in kept]
+    assert [found[2000 + k] for k in range(len(clean))] == [[]] * len(clean) and not any(found[k] for k in range(len(texts)))
+
+
+def test_secrets_of_the_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = personal_data.find_personal_data(docs).join(docs.select("doc_id", "text"), "doc_id").collect()
+    got = {(r.doc_id, s["start"], s["end"]) for r in found for s in r.spans if s["learned"]}
+    want = {(r.doc_id, *m.span()) for r in found for m in re.finditer('(?i)token = "[0-9a-f]{40}"', r.text or "")}
+    assert len(want) > 10 and len(got & want) >= 0.9 * len(want) and len(got - want) <= 0.05 * len(want)
+
+
+# --- languages ----------------------------------------------------------------------------------
+
+
+def plain_posterior(rows, model):
+    """Language, confidence and acceptance by the formulas of the docstring, in plain Python."""
+    import math
+
+    names, size = model.languages, len(model.languages)
+    sums, counts = language.text_scores([r[1] for r in rows], model)
+    scores = [s / (1 + n / language.SATURATION) for s, n in zip(sums, counts)]
+    lettered = [n > 0 for n in counts]
+    best = [int(np.argmax(s)) for s in scores]
+    said = [(r[2].split("-")[0].lower() or None) if r[2] else None for r in rows]
+    host = [r[3].lower() if r[3] else None for r in rows]
+    suffix = [(re.search(r"\.([a-z]+)$", h) or [None, None])[1] if h else None for h in host]
+    domain = [(re.search(r"([^.]+\.[a-z]+)$", h) or [None, ""])[1] if h else "" for h in host]
+    live = [k for k in range(len(rows)) if lettered[k]]
+
+    def count(ks):
+        return np.bincount([best[k] for k in ks], minlength=size).astype(float)
+
+    total = count(live)
+    prior = np.append((total[:-1] + 1) / (total[:-1].sum() + size - 1) * (1 - language.UNKNOWN_SHARE), language.UNKNOWN_SHARE)
+
+    def drawn(own, parent):
+        return (own + language.SMOOTHING * parent) / (own.sum() + language.SMOOTHING)
+
+    def likelihood(values, value):
+        own = count([k for k in live if values[k] == value])
+        return np.log((own + language.SMOOTHING * own.sum() / max(total.sum(), 1.0)) / (total + language.SMOOTHING)) if own.sum() else np.zeros(size)
+
+    out = []
+    for k in range(len(rows)):
+        belief = prior
+        if host[k] is not None and any(host[j] == host[k] for j in live):
+            group = prior if domain[k] == "" else drawn(count([j for j in live if domain[j] == domain[k]]), prior)
+            belief = drawn(count([j for j in live if host[j] == host[k]]), group)
+        value = scores[k] + np.log(belief)
+        for values in (said, suffix):
+            if values[k] is not None:
+                value = value + likelihood(values, values[k])
+        top = int(np.argmax(value))
+        sure = 1 / np.exp(value - value[top]).sum()
+        if not lettered[k]:
+            out.append(("und", 0.0, False))
+        elif said[k] is not None and said[k] not in names:
+            out.append((said[k], 0.0, True))
+        else:
+            out.append((names[top], sure, names[top] != "und" and sure >= language.ACCEPT))
+        assert math.isfinite(sure)
+    return out
+
+
+def test_posterior_against_plain_formulas(spark):
+    rng = random.Random(11)
+    words = {"en": "the of and to in is that it was for".split(), "fr": "le la les des et en un une que dans".split(), "de": "der die und das ist nicht ein eine mit auf".split()}
+    rows = []
+    for k in range(150):
+        own = rng.choice(list(words))
+        said = rng.choice([own, own, own.upper() + "-XX", "en", None, ""])
+        site = rng.choice([None, f"a.{own}.org", f"{own}.example.{own}", "b.site.com", "plain", "UPPER.Site.com"])
+        rows.append((k, " ".join(rng.choice(words[own]) for _ in range(rng.choice([0, 1, 2, 12]))), said, site))
+    rows += [(900, "the of and", "sv", "a.b.se"), (901, "1234 ..", "en", None), (902, None, None, None), (903, "zzqx kkwv", "en", "a.en.org")]
+    df = frame(spark, rows)
+    model = language.fit(df.filter("doc_id < 900"), language.Columns())
+    assert model.languages == ("de", "en", "fr", "und")
+    got = {r["_row"].doc_id: (r.language, r.confidence, r.accepted) for r in language.identify(df, model=model).collect()}
+    for (k, *_), (name, sure, accepted) in zip(rows, plain_posterior(rows, model)):
+        assert got[k][0] == name and got[k][2] == accepted and got[k][1] == pytest.approx(sure, abs=1e-5), rows[[r[0] for r in rows].index(k)]
+
+
+def test_more_labels_than_a_few(spark):
+    """Seventy labels are all learned, with or without a region; labels beyond the limit leave documents undecided."""
+    rng = random.Random(5)
+    letters = {f"l{k:02d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(8)] for k in range(70)}
+    rows = [(100 * at + k, " ".join(rng.choice(own) for _ in range(30)), name if k % 2 else f"{name.upper()}-YY", None) for at, (name, own) in enumerate(letters.items()) for k in range(4)]
+    df = frame(spark, rows)
+    found = {r["_row"].doc_id: (r.language, r.accepted) for r in language.identify(df).collect()}
+    assert {found[i] for i, *_ in rows} == {(name, True) for name in letters}
+    few = language.fit(df, language.Columns(), max_languages=3)
+    assert len(few.languages) == 4
+    found = [(r.language, r.accepted, r.confidence) for r in language.identify(df, model=few).collect()]
+    assert all(accepted for _, accepted, _ in found) and {name for name, _, sure in found if sure == 0.0} == set(letters) - set(few.languages)

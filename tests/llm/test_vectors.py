@@ -103,7 +103,7 @@ def test_components_against_union_find(spark):
 
 
 def plain_top(rows, asked, k=10):
-    whole = [(i, np.floor(1024 * np.float32(v).astype(float)).astype(int)) for i, v, _ in rows if i is not None and good(v) and max(map(abs, v)) < 65536]
+    whole = [(i, np.floor(1024 * np.float32(v).astype(float)).astype(int).astype(object)) for i, v, _ in rows if i is not None and good(v)]
     out = []
     for q, v in whole:
         if q in asked:
@@ -117,13 +117,26 @@ def test_top_k_against_all_pairs(spark, sizes):
     rng = np.random.default_rng(8)
     rows = [(k, rng.standard_normal(8).astype(np.float32).tolist(), 0) for k in range(150)]
     rows += [(200 + k, [1.0] * 8, 0) for k in range(14)] + [(300 + k, [1e4 * (k - 2)] * 8, 0) for k in range(5)]
-    rows += [(400, None, 0), (401, [], 0), (402, [float("nan")] * 8, 0), (403, [None] * 8, 0), (404, [float("-inf")] * 8, 0), (None, [1.0] * 8, 0), (405, [1.0, 2.0], 0), (406, [1e30] * 8, 0)]
+    rows += [(400, None, 0), (401, [], 0), (402, [float("nan")] * 8, 0), (403, [None] * 8, 0), (404, [float("-inf")] * 8, 0), (None, [1.0] * 8, 0), (405, [1.0, 2.0], 0), (406, [7e4, -3e5] * 4, 0), (420, [9e6] * 4 + [-1e6] * 4, 0)]
     df = frame(spark, rows)
     got = top_k_inner(df, df.filter("vec_id % 20 = 0 OR vec_id > 395"), block_rows=sizes[0], query_rows=sizes[1])
     asked = {r[0] for r in rows if r[0] is not None and (r[0] % 20 == 0 or r[0] > 395)}
     assert sorted(map(tuple, got.collect())) == plain_top(rows, asked)
 
 
+def test_top_k_of_any_size(spark):
+    """Every finite vector takes part, and only a ranked score that is no long is an error."""
+    df = frame(spark, [(100, [7e4, 0.0], 0), (1, [1.0, 1.0], 0), (200, [1.0, 2.0], 0)])
+    want = {(100, 200): 70_000 << 20, (100, 1): 70_000 << 20, (200, 100): 70_000 << 20, (200, 1): 3 << 20}
+    assert {(r.query_id, r.vec_id): r.score for r in top_k_inner(df, df.filter("vec_id >= 100")).collect()} == want
+    rows = [(k, [-1.0, float(k)], 0) for k in range(12)] + [(50, [1e30, 0.0], 0), (51, [3e9, -1e9], 0)]
+    df = frame(spark, rows)
+    got = sorted(map(tuple, top_k_inner(df, df.filter("vec_id = 3")).collect()))
+    assert [g[2] for g in got] == [11, 10, 9, 8, 7, 6, 5, 4, 2, 1] and got[0][3] == (1 + 33) << 20
+    with pytest.raises(Exception, match="too large"):
+        top_k_inner(df, df.filter("vec_id = 51")).collect()
+
+
 def test_top_k_small_and_empty(spark):
     assert top_k_inner(frame(spark, []), frame(spark, [])).collect() == []
     df = frame(spark, [(1, [0.5, 0.5], 0), (2, [0.25, -1.0], 0)])
