@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,27 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def give_back() -> None:
+    """Return what this worker no longer uses to the system; an idle worker otherwise keeps its peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def frugal(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on the batches of a task, and :func:`give_back` behind it."""
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def lean_batches(spark: SparkSession) -> None:
     """Let batches for Python workers hold 8 MB at most, unless the session names a size.
 

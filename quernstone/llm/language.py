@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import lean_batches, mix64, stored
+from quernstone.llm.common import frugal, give_back, lean_batches, mix64, stored
 
 BINS = 1 << 14
 PER_LANGUAGE = 400
@@ -122,7 +122,7 @@ def fit(docs: DataFrame, columns: Columns, per_language: int = PER_LANGUAGE, max
     least = marked.groupBy("language", F.pmod(F.xxhash64("h"), F.lit(per_language)).alias("cell")).agg(F.min_by("id", "h").alias("id"))
     chosen = F.broadcast(stored(least.select("id", "language"), "sample"))
     rows = docs.select(F.col(columns.id).alias("id"), F.col(columns.text).alias("text"), declared_of(columns).alias("language")).join(chosen, ["id", "language"])
-    counts = rows.select("language", "text").mapInArrow(_count_bins, "language string, bin long, n long").groupBy("language", "bin").agg(F.sum("n").alias("n"))
+    counts = rows.select("language", "text").mapInArrow(frugal(_count_bins), "language string, bin long, n long").groupBy("language", "bin").agg(F.sum("n").alias("n"))
     table = np.full((BINS, len(languages) + 1), 0.5)
     at = {language: k for k, language in enumerate(languages)}
     for language, bin_, n in counts.collect():
@@ -136,6 +136,7 @@ def _scorer(model: Model):
     def score(texts: pd.Series) -> pd.DataFrame:
         sums, counts = text_scores(texts.to_list(), model)
         weight = 1 / (1 + counts / SATURATION)
+        give_back()
         return pd.DataFrame({"score": list(sums * weight[:, None]), "n": counts})
 
     return score

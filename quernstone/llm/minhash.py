@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import apart, forget, key_runs, lean_batches, marks_of, mix64, stored, stored_with
+from quernstone.llm.common import apart, forget, frugal, key_runs, lean_batches, marks_of, mix64, stored, stored_with
 from quernstone.llm.components import connected_components
 from quernstone.llm.near_vectors import _roots
 from quernstone.llm.shingles import WORDS, shingle_sets
@@ -114,7 +114,7 @@ def _sets_of(text: DataFrame, member: DataFrame, words: int) -> DataFrame:
     ids = stored(member.select("rep").distinct().select(key), "wanted")
     wanted = text.sparkSession.sparkContext.broadcast(marks_of(ids, ids.count()))
     rows = text.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), "text").select("rep", "text", key)
-    items = stored(rows.mapInArrow(_full_sets(words, wanted), SETS), "sets")
+    items = stored(rows.mapInArrow(frugal(_full_sets(words, wanted)), SETS), "sets")
     forget(ids)
     return items
 
@@ -239,7 +239,7 @@ def _rest(member: DataFrame, roots: DataFrame, items: DataFrame, percent: int) -
     keys = ["bucket", "i", "j"]
     tasks = int(member.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wide = placed.join(items, "rep").repartition(tasks, *keys).sortWithinPartitions(*keys)
-    links, seen = stored_with(wide.mapInPandas(_block_links(percent), "hi long, lo long"), "rest", links=F.count("*"))
+    links, seen = stored_with(wide.mapInPandas(frugal(_block_links(percent)), "hi long, lo long"), "rest", links=F.count("*"))
     return links if seen["links"] else None
 
 
@@ -264,7 +264,7 @@ def near_classes(
     lean_batches(docs.sparkSession)
     bands = bands_needed(percent, rows, miss)
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = stored(text.mapInArrow(_sketches(bands, rows, words, seed), SKETCH), "sketch")
+    sketch = stored(text.mapInArrow(frugal(_sketches(bands, rows, words, seed)), SKETCH), "sketch")
     usable = "n_shingles > 0 AND doc_id IS NOT NULL"
     shape = ["f1", "f2", "n_shingles"]
     classes = stored(

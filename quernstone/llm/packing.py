@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import lean_batches, stored, stored_with
+from quernstone.llm.common import frugal, lean_batches, stored, stored_with
 from quernstone.llm.tokens import END_ID, shared_encoder
 
 SEQUENCE = 1024
@@ -74,7 +74,7 @@ def token_pieces(
     bytes of memory for each of its own.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(_tokenised(size, with_ids, vocabulary, ranks), PIECES + ", ids array<int>" * with_ids)
+    return narrow.mapInArrow(frugal(_tokenised(size, with_ids, vocabulary, ranks)), PIECES + ", ids array<int>" * with_ids)
 
 
 def best_fit(

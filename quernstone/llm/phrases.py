@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import Marks, apart, forget, lean_batches, marks_of, mix64, slice_hashes, stored
+from quernstone.llm.common import Marks, apart, forget, frugal, lean_batches, marks_of, mix64, slice_hashes, stored
 
 UNDECLARED = "und"
 MIN_COUNT = 10
@@ -231,17 +231,17 @@ def frequent_phrases(
         return stored(counted.filter(F.col("a") >= min_count).select("lang", "phrase", F.lit(length).alias("words"), "a"), "phrases")
 
     lean_batches(spark)
-    held = _kept(texts.mapInArrow(_blocks(block_words), OCCURRENCES), "occurrences")
+    held = _kept(texts.mapInArrow(frugal(_blocks(block_words)), OCCURRENCES), "occurrences")
     sizes = stored(held.groupBy("lang").agg(F.sum("total").alias("n")), "sizes")
     found = [frequent(held, "words", " ", 1)]
     marks = spark.sparkContext.broadcast(marks_of(found[0].select(_word_key("lang", "phrase").alias("key")), found[0].count()))
     for length in range(2, words + 1):
         before = marks if length == 2 else None
         needed = ["lang", "hashes", "codes", *(["places"] if length > 2 else [])]
-        counted = held.select(*needed).mapInArrow(_group_counts(length, before), "key long, n long")
+        counted = held.select(*needed).mapInArrow(frugal(_group_counts(length, before)), "key long, n long")
         keys = stored(counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("key"), "keys")
         marks = spark.sparkContext.broadcast(marks_of(keys, keys.count()))
-        joined = _kept(held.select("block", "words", *needed).mapInArrow(_semi_join(length, before, marks), PLACED), "occurrences")
+        joined = _kept(held.select("block", "words", *needed).mapInArrow(frugal(_semi_join(length, before, marks)), PLACED), "occurrences")
         found.append(frequent(joined, "phrases", "\n", length))
         forget(held)
         forget(keys)
