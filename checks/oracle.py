@@ -13,6 +13,7 @@ from checks.adapters import (
     dirty_line_sql,
     json_text,
 )
+from quernstone.functions.stem import IRREGULAR, STEP_2, STEP_3, STEP_4
 from quernstone.operators.codeindex import STANDARD_MODULES
 
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -203,6 +204,56 @@ def rouge_words(x: str) -> str:
     return f"list_filter(string_split(regexp_replace(lower(array_to_string({x}, ' ')), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')"
 
 
+def shape_sql(x: str) -> str:
+    """A word as c and v, letter by letter; y is a vowel only behind a consonant."""
+    return f"""list_reduce(list_prepend('', string_split({x}, '')), lambda s, c: s || CASE WHEN c = '' THEN ''
+      WHEN c IN ('a', 'e', 'i', 'o', 'u') OR (c = 'y' AND right(s, 1) = 'c') THEN 'v' ELSE 'c' END)"""
+
+
+def stems_sql(source: str) -> str:
+    """CTE ``stems(w, stem)`` of the words of ``source(w)``, one CTE per step of the suffix rules."""
+    def measure(x: str) -> str:
+        return f"len(regexp_extract_all({shape_sql(x)}, 'v+c+'))"
+
+    def short_end(x: str) -> str:
+        shape = shape_sql(x)
+        return f"({shape} = 'vc' OR (({shape}) LIKE '%cvc' AND right({x}, 1) NOT IN ('w', 'x', 'y')))"
+
+    def swapped(suffix: str, ending: str, least: int = 0, also: str = "true") -> str:
+        rest = f"left(s, -{len(suffix)})"
+        return f"WHEN s LIKE '%{suffix}' THEN CASE WHEN {measure(rest)} > {least} AND {also} THEN {rest} || '{ending}' ELSE s END"
+
+    less_one = "left(s, -1)"
+    has_vowel = "contains(" + shape_sql("left(s, -{})") + ", 'v')"
+    before_ion = "right(left(s, -3), 1) IN ('s', 't')"
+    steps = [
+        """CASE WHEN s LIKE '%ies' THEN CASE WHEN len(s) = 4 THEN left(s, -1) ELSE left(s, -2) END
+          WHEN s LIKE '%sses' THEN left(s, -2) WHEN s LIKE '%s' AND s NOT LIKE '%ss' THEN left(s, -1) ELSE s END""",
+        f"""CASE WHEN s LIKE '%ied' THEN CASE WHEN len(s) = 4 THEN left(s, -1) ELSE left(s, -2) END
+          WHEN s LIKE '%eed' THEN CASE WHEN {measure("left(s, -3)")} > 0 THEN left(s, -1) ELSE s END
+          WHEN s LIKE '%ed' AND {has_vowel.format(2)} THEN left(s, -2) || '+'
+          WHEN s LIKE '%ing' AND {has_vowel.format(3)} THEN left(s, -3) || '+' ELSE s END""",
+        # A plus marks a word that has just lost ed or ing.
+        f"""CASE WHEN s NOT LIKE '%+' THEN s WHEN regexp_matches(s, '(at|bl|iz)[+]$') THEN left(s, -1) || 'e'
+          WHEN len(s) > 2 AND s[-2] = s[-3] AND right({shape_sql(less_one)}, 1) = 'c'
+            THEN CASE WHEN s[-2] IN ('l', 's', 'z') THEN left(s, -1) ELSE left(s, -2) END
+          WHEN {measure(less_one)} = 1 AND {short_end(less_one)} THEN left(s, -1) || 'e' ELSE left(s, -1) END""",
+        f"CASE WHEN s LIKE '%y' AND len(s) > 2 AND right({shape_sql(less_one)}, 1) = 'c' THEN left(s, -1) || 'i' ELSE s END",
+        f"CASE WHEN s LIKE '%alli' AND {measure('left(s, -4)')} > 0 THEN left(s, -2) ELSE s END",
+        f"""CASE {" ".join(swapped(a, b) for a, b in STEP_2)}
+          WHEN s LIKE '%logi' AND {measure("left(s, -3)")} > 0 THEN left(s, -1) ELSE s END""",
+        f"CASE {' '.join(swapped(a, b) for a, b in STEP_3)} ELSE s END",
+        f"CASE {' '.join(swapped(a, '', 1, before_ion if a == 'ion' else 'true') for a in STEP_4)} ELSE s END",
+        f"""CASE WHEN s LIKE '%e' AND ({measure(less_one)} > 1 OR ({measure(less_one)} = 1 AND NOT {short_end(less_one)}))
+          THEN left(s, -1) ELSE s END""",
+        f"CASE WHEN s LIKE '%ll' AND {measure(less_one)} > 1 THEN left(s, -1) ELSE s END",
+    ]
+    ctes = [f"step0 AS MATERIALIZED (SELECT DISTINCT w, w AS s FROM {source})"]
+    ctes += [f"step{i} AS MATERIALIZED (SELECT w, {rule} AS s FROM step{i - 1})" for i, rule in enumerate(steps, 1)]
+    odd = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in IRREGULAR.items())
+    return ",\n".join(ctes) + f",\nstems AS (SELECT w, CASE w {odd} ELSE CASE WHEN len(w) > 2 THEN s ELSE w END END AS stem FROM step{len(steps)})"
+
+
 STDLIB_HIT = f"module IN ({', '.join(q(m) for m in sorted(STANDARD_MODULES))})"
 IMPORT_ROWS = SOURCES + """,
 imports AS (
@@ -321,6 +372,15 @@ def build() -> dict[str, str]:
     rouge = f"pieces AS (SELECT id, run, {rouge_words('ref')} AS r, {rouge_words('hyp')} AS h FROM scored), {lcs_sql('pieces')}"
     f_mean = "avg(CASE WHEN n > 0 THEN 2.0 * n / (len(r) + len(h)) ELSE 0 END)"
     sql["rouge_l_mean"] = w(SCORED + "," + rouge, f"SELECT run, round({f_mean}, 6) AS rougeL FROM pieces JOIN lcs USING (id) GROUP BY run", True)
+    flat = " UNION ALL ".join(
+        f"SELECT id, '{side}' AS side, unnest({side}) AS w, generate_subscripts({side}, 1) AS place FROM plain" for side in "rh"
+    )
+    stemmed = f"""plain AS (SELECT id, run, {rouge_words('ref')} AS r, {rouge_words('hyp')} AS h FROM scored), flat AS ({flat}),
+      long AS (SELECT w FROM flat WHERE len(w) > 3), {stems_sql('long')},
+      sides AS (SELECT id, side, list(coalesce(stem, w) ORDER BY place) AS words FROM flat LEFT JOIN stems USING (w) GROUP BY id, side),
+      pieces AS (SELECT p.id, run, coalesce(a.words, []) AS r, coalesce(b.words, []) AS h FROM plain p
+        LEFT JOIN sides a ON p.id = a.id AND a.side = 'r' LEFT JOIN sides b ON p.id = b.id AND b.side = 'h'), {lcs_sql('pieces')}"""
+    sql["rouge_l_mean_stemmed"] = w(SCORED + "," + stemmed, f"SELECT run, round({f_mean}, 6) AS rougeL FROM pieces JOIN lcs USING (id) GROUP BY run", True)
     sql["loss_perplexity"] = w(CLEANED + f""",
       model AS (SELECT word, count(*) AS n FROM (SELECT unnest({words('docstring')}) AS word FROM refined WHERE split = 'train') GROUP BY word),
       total AS (SELECT sum(n) + count(*) + 1 AS t FROM model),

@@ -127,32 +127,50 @@ SAMPLE_BROKEN = "--- SAMPLE #%d [CRITICAL: JSON DECODE ERROR] ---"
 
 
 def first_shard(spark: SparkSession, root: str, shards: str = SHARDS) -> str | None:
-    """Smallest path of a training shard, else of any shard; lists files without opening them."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", shards)
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path")
-    )
-    name = F.regexp_extract("path", "(?s)^.*/([^/]*)$", 1)
-    best = files.agg(F.min(F.when(name.contains("train"), F.col("path"))), F.min("path")).first()
-    return best[0] or best[1]
+    """First training shard below ``root`` in order of paths, else the first shard of any kind.
+
+    Folders are listed one by one and no further than the first training shard; no job runs and no
+    file is opened. Names that begin with a dot or an underscore are passed over, as in any read.
+    """
+    fs = spark._jvm.org.apache.hadoop.fs
+    path = fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = fs.GlobFilter(shards)
+    pending = sorted((str(found.getPath().toString()) for found in system.globStatus(path) or []), reverse=True)
+    if not pending:
+        raise FileNotFoundError(root)
+    other = None
+    while pending:
+        status = system.getFileStatus(fs.Path(pending.pop()))
+        at, name = status.getPath(), status.getPath().getName()
+        if status.isDirectory():
+            below = [found.getPath() for found in system.listStatus(at)]
+            pending += sorted((p.toString() for p in below if not _hidden(p.getName())), reverse=True)
+        elif wanted.accept(at):
+            if "train" in name:
+                return at.toString()
+            other = other or at.toString()
+    return other
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
 
 def preview(spark: SparkSession, root: str, n: int = 100, shards: str = SHARDS) -> DataFrame:
     """The first ``n`` lines of the first training shard, rendered; a broken line takes a number.
 
-    Without any shard there is a warning and no rows.
+    One task reads the shard from its start and stops behind line ``n``; nothing is sorted or
+    exchanged. Without any shard there is a warning and no rows.
     """
     path = first_shard(spark, root, shards)
     if path is None:
         log.warning("no shards %s under %s", shards, root)
         return spark.createDataFrame([], "sample_no int, sample string")
-    lines = spark.read.text(path).select(
+    lines = spark.read.text(path).coalesce(1).limit(n).select(
         F.monotonically_increasing_id().alias("seq"), F.col("value").alias("raw")
     )
-    head = normalize_keys(lines.orderBy("seq").limit(n), missing="N/A")
+    head = normalize_keys(lines, missing="N/A")
     text = {c: strip_ws(F.coalesce(F.col(c), F.lit(""))) for c in ("docstring", "code")}
     number = (F.col("seq") + 1).cast("int")
     return head.select(number.alias("sample_no"), "malformed", *[v.alias(k) for k, v in text.items()]).select(

@@ -4,11 +4,13 @@ import math
 import random
 from collections import Counter
 
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.functions.stem import stem
+from checks import oracle
+from quernstone.functions.stem import IRREGULAR, STEP_2, STEP_3, STEP_4, stem
 from quernstone.operators import quality
 from quernstone.plans import evaluation
 
@@ -61,6 +63,17 @@ def test_common_length():
         assert quality._common_length(ref, hyp) == brute_lcs(ref, hyp)
 
 
+def test_stems_in_sql_equal_those_of_the_function():
+    draw = random.Random(4)
+    suffixes = [a for a, _ in STEP_2 + STEP_3] + list(STEP_4) + ["s", "ies", "sses", "ied", "eed", "ed", "ing", "y", "e", "ll", "logi", "alli", ""]
+    words = {"".join(draw.choices("abeiostyrlnz7", k=draw.randint(0, 5))) + draw.choice(suffixes) + draw.choice(["", "s", "ed", "ing", "ly"]) for _ in range(20_000)}
+    words = pd.DataFrame({"w": sorted(w for w in words | set(IRREGULAR) if w)})
+    with duckdb.connect() as db:
+        db.register("words", words)
+        got = dict(db.execute(f"WITH {oracle.stems_sql('words')} SELECT w, stem FROM stems").fetchall())
+    assert got == {w: stem(w) for w in words.w}
+
+
 def test_rouge(spark):
     pairs = [(["The", "Cats", "running"], ["cat", "run", "x"]), (["é"], ["é"]), ([], []), (["a-b"], ["a", "b"])]
     rows = quality.rouge_l(frame(spark, pairs)).orderBy("id").collect()

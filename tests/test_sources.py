@@ -103,6 +103,24 @@ def test_preview_counts_broken_lines(spark, tmp_path):
     assert "(DOC): N/A" in rows[2].sample
 
 
+def test_preview_reads_one_shard_from_its_start_and_stops(spark, tmp_path):
+    lines = [json.dumps({"code": f"c{i}", "docstring": "d" * 100}) for i in range(40_000)]
+    for name in ("train/b_train_0", "valid/a_valid_0", "_hidden/a_train_0", "train/c_train_1"):
+        write_gz(f"{tmp_path}/{name}.jsonl.gz", lines[::-1] if "b_train" in name else ["{}"])
+    assert jsonl.first_shard(spark, str(tmp_path)).endswith("/train/b_train_0.jsonl.gz")
+    (tmp_path / "plain.txt").write_text("\n".join(lines), encoding="utf-8")
+    plan = jsonl.preview(spark, str(tmp_path), 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "TakeOrdered" not in plan
+    rows = jsonl.preview(spark, str(tmp_path), 5).collect()
+    assert [r.sample_no for r in rows] == [1, 2, 3, 4, 5] and all(f"\nc{39_999 - i}\n" in r.sample for i, r in enumerate(rows))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        rows = jsonl.preview(spark, str(tmp_path), 3_000, "plain.txt").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.sample_no for r in rows] == list(range(1, 3_001)) and all(f"\nc{i}\n" in r.sample for i, r in enumerate(rows))
+
+
 def test_metric_array(spark, tmp_path):
     rows = [{"file": "f1", "model": "m", "bleu": 0.1, "Mean Epoch (s)": 2.5, "Subset": "20"}, {"file": "f2", "model": "m"}]
     (tmp_path / "m.json").write_text(json.dumps(rows, indent=2))
