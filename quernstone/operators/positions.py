@@ -61,18 +61,26 @@ def shuffle_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
+def _unhashable(kind: str) -> bool:
+    return "map<" in kind or "variant" in kind
+
+
 def positions_in_order(df: DataFrame, order: Sequence[str], name: str = "pos") -> tuple[DataFrame, int]:
     """1-based position in the order of any sortable columns, and the number of rows.
 
     Rows are cut into ranges of ``order`` by sampled bounds, so gaps in the values do no harm. The cut
     is written once, with each row's place in its range; one count per range (as many as shuffle
-    partitions) gives the offsets. Nulls come first.
+    partitions) gives the offsets. Nulls come first. Rows that agree in all of ``order`` follow by a hash
+    of their other columns, which also lets the bounds cut a value that many rows share; only rows that
+    are equal throughout stay in one range.
     """
     spark = df.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    others = [f.name for f in df.schema.fields if f.name not in order and not _unhashable(f.dataType.simpleString())]
+    keys = [*order, *([F.xxhash64(*[F.col(f"`{c}`") for c in others])] if others else [])]
     placed = (
-        df.repartitionByRange(ranges, *order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(ranges, *keys)
+        .sortWithinPartitions(*keys)
         .withColumn("_range", F.spark_partition_id())
         .withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
     )

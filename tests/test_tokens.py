@@ -238,3 +238,14 @@ def test_samples_are_bounded_and_repeatable(spark):
     custom = spark.createDataFrame([(-1, "x", "y")], "id bigint, code string, docstring string")
     twice = [sorted((r.suite, r.id) for r in sampling.audit_suites(rows, custom, 10, 3).collect()) for _ in range(2)]
     assert twice[0] == twice[1] and len(twice[0]) == 4 + 10 + 1
+
+
+def test_half_of_the_rows_under_one_sort_key_spread_over_ranges(spark):
+    rows = spark.range(40_000).selectExpr("id AS row", "if(id % 2 = 0, 7, id) AS k", "cast(null AS map<string,int>) AS m")
+    placed, total = positions.positions_in_order(rows, ["k"])
+    sizes = sorted(spark.read.parquet(name).count() for name in placed.inputFiles())
+    assert total == 40_000 and len(sizes) == 4 and sizes[-1] < 2 * sizes[0]
+    got = placed.orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(1, 40_001)) and [r.k for r in got] == sorted(r.k for r in got)
+    again, _ = positions.positions_in_order(rows.repartition(7), ["k"])
+    assert {r.row: r.pos for r in again.collect()} == {r.row: r.pos for r in got}
