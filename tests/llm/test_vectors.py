@@ -1,14 +1,16 @@
 """Vector operators against numpy over all pairs."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import types as T
 
 from quernstone.llm.components import connected_components
-from quernstone.llm.near_vectors import near_vectors, tables_needed
+from quernstone.llm.near_vectors import bits_for, near_vectors, tables_needed
 from quernstone.llm.vector_search import top_k_inner
+from quernstone.session import shared_folder
 
 SCHEMA = T.StructType([
     T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType()),
@@ -65,13 +67,23 @@ def vectors():
     return rows
 
 
-@pytest.mark.parametrize("block", [7, 1024])
-def test_near_vectors_against_all_pairs(spark, block):
+@pytest.mark.parametrize("block, batch, bits", [(7, 10_000, None), (1024, 10_000, None), (7, 3, 4), (1024, 5, 2), (1024, 10_000, 14)])
+def test_near_vectors_against_all_pairs(spark, block, batch, bits):
+    """Small and large blocks, blocks that go over several batches, crowded and thin buckets."""
     rows = vectors()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        check_near_vectors(spark, rows, block, bits)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def check_near_vectors(spark, rows, block, bits):
     links = plain_links(rows)
     roots = roots_of([r[0] for r in rows if r[0] is not None], links)
     degree = {n: sum(a == n for a, _ in links) for n in roots}
-    got = near_vectors(frame(spark, rows), block=block).collect()
+    got = near_vectors(frame(spark, rows), block=block, bits=bits).collect()
     assert len(got) == len(rows)
     for r in got:
         if r.vec_id is None:
@@ -86,6 +98,18 @@ def test_near_vectors_of_nothing_and_repeats(spark):
     assert sorted(map(tuple, got)) == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)]
 
 
+def test_near_vectors_leave_only_what_the_result_reads(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    got = near_vectors(frame(spark, vectors()))
+    left = {p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before if any(p.glob("*.parquet"))}
+    assert left == {"vectors", "solved"} and got.count() == len(vectors())
+
+
+def test_bits_grow_with_the_rows():
+    assert [bits_for(n) for n in (0, 1, 256, 257, 1 << 20, 10**10)] == [8, 8, 8, 9, 20, 34]
+
+
 def test_tables_follow_the_miss_rate():
     same = (1 - math.acos(0.98) / math.pi) ** 14
     assert (1 - same) ** tables_needed(0.98, 14, 1e-4) <= 1e-4 < (1 - same) ** (tables_needed(0.98, 14, 1e-4) - 1)
