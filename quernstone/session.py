@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,9 +56,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_STEP_FOLDER: ContextVar[str | None] = ContextVar("step folder", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path that nothing else uses, below the shared folder or that of the step at hand."""
+    return f"{_STEP_FOLDER.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def step_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all scratch tables of a step, deleted behind it.
+
+    What the step returns has to be written elsewhere before the end, to a path taken before the start.
+    """
+    path = scratch_path(spark, "step")
+    mark = _STEP_FOLDER.set(path)
+    try:
+        yield path
+    finally:
+        _STEP_FOLDER.reset(mark)
+        remove(spark, path)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

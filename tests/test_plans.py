@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain, and how skewed groups are spread."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +141,17 @@ def test_scratch_must_be_shared_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Cluster())
+
+
+def test_a_step_leaves_no_scratch_table(spark):
+    out = session.scratch_path(spark, "out")
+    with session.step_folder(spark) as folder:
+        inner = session.stored(spark.range(10), "inner")
+        assert all(folder in name for name in inner.inputFiles())
+        with pytest.raises(KeyError), session.step_folder(spark) as deeper:
+            session.stored(spark.range(3), "deeper")
+            raise KeyError
+        assert inner.count() == 10 and not os.path.exists(deeper.removeprefix("file:"))
+        inner.write.parquet(out)
+    assert not os.path.exists(folder.removeprefix("file:")) and spark.read.parquet(out).count() == 10
+    assert folder not in session.scratch_path(spark, "later")
