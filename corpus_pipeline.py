@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quernstone.llm import language, line_windows, minhash, mixing, packing
 from quernstone.llm.common import stored
-from quernstone.session import ship_packages
+from quernstone.session import remove, scratch_path, ship_packages, step_folder
 
 NEAR_PERCENT = 80
 PER_SEQUENCE = 64
@@ -63,8 +63,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written and read again; a stage's own tables go once it is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "stage")
+        path = scratch_path(spark, "stage")
+        with step_folder(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

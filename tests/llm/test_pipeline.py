@@ -1,6 +1,7 @@
 """The registered queries and the stages at the smallest scale."""
 
 import inspect
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from checks.compare import compare
 from quernstone.llm import catalog
+from quernstone.session import shared_folder
 from tests.llm.test_texts import plain_lines, plain_set
 
 SMALL = "/root/testdata/sf0.001"
@@ -57,6 +59,14 @@ def test_stages_take_and_return_documents(spark):
             assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
 
 
+def test_run_leaves_the_last_stage_alone(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    rows = corpus_pipeline.run(spark, SMALL)
+    left = sorted(p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before)
+    assert left.count("stage") == 1 and set(left) <= {"stage", "pieces", "places"} and rows.count() > 0
+
+
 def test_line_stage_with_clashing_and_absent_columns(spark):
     passage = "first line\nsecond line\nthird line"
     rows = [(1, f"{passage}\nown", "a", 7.0), (2, f"more\n{passage}", "b", None), (3, None, None, 1.0)]
