@@ -112,6 +112,28 @@ def test_merges_equal_full_counts(spark, candidates, batch, monkeypatch):
     assert got == want and len({m[2] for m in want}) < len(want)
 
 
+@pytest.mark.parametrize("limit,candidates", [(1 << 16, 1 << 16), (40, 1 << 16), (1 << 16, 12), (0, 30)])
+def test_runs_settle_many_merges(spark, limit, candidates, monkeypatch):
+    """Merges from runs, whole or of few pairs, and from the index where no runs fit; the first need no lookups and few rounds."""
+    monkeypatch.setattr(vocab, "_RUNS", limit)
+    monkeypatch.setattr(vocab, "_FIRST_WIDTH", 16)
+    rounds, count = [], vocab.PairIndex.counts
+    monkeypatch.setattr(vocab.PairIndex, "counts", lambda self: rounds.append(1) or count(self))
+    if limit:
+        monkeypatch.setattr(vocab.PairIndex, "merge", lambda *_: pytest.fail("looked up"))
+    rng = random.Random(3)
+    words = Counter("".join(rng.choice("aabc") for _ in range(rng.randrange(1, 16))) for _ in range(90))
+    words.update(chr(97 + k) for k in range(26))
+    symbols = Counter({"".join(chr(0x10000 + ord(c) - 97) for c in w): n for w, n in words.items()})
+    shift, size = len(K.SPECIAL_TOKENS), 90 if limit == 0 else 300
+    counts = spark.createDataFrame(list(words.items()), "pretoken string, n long")
+    got = [(r.left - shift, r.right - shift, r.new - shift) for r in vocab.train_bpe(counts, size + shift, candidates)[1].orderBy("rank").collect()]
+    want = slow_merges(symbols, size)
+    assert got == want
+    if limit:
+        assert len(want) > 200 and len(rounds) < len(want) / 4
+
+
 def test_rounds_look_up_only_words_with_a_merged_pair(spark):
     words = spark.createDataFrame([(chr(0x10000 + k) + chr(0x10001 + k), 1) for k in range(0, 400, 2)], vocab.WORDS)
     index = vocab.PairIndex(words)
