@@ -204,6 +204,25 @@ def test_run_files_round_trip(spark, tmp_path):
     assert {r.run_id: r.total_seconds for r in runs.phase_durations(logs).collect()} == {0: 21.0, 1: 21.0, 2: 0.0}
 
 
+def test_run_files_are_moved_by_tasks(spark, tmp_path, monkeypatch):
+    """On a mounted file system the driver moves nothing; odd names, nulls and checksums of older files are seen to."""
+    monkeypatch.setattr(runlogs, "_write_remote", lambda *_: pytest.fail("moved by the driver"))
+    rows = [("a/b:c", "x", "y"), (None, None, "n\u00e9"), ("plain", "{}", "")]
+    path = tmp_path / "runs"
+    spark.createDataFrame([("old",)], "value string").coalesce(1).write.text(f"file:{path}")
+    old = next(path.glob("part-*"))
+    old.rename(path / "plain.json")
+    (path / f".{old.name}.crc").rename(path / ".plain.json.crc")
+    files = spark.createDataFrame(rows, "name string, json string, log string")
+    assert runlogs.write_run_files(files, f"file:{path}") == 6
+    found = {f.name: f.read_text() for f in path.iterdir() if f.name.endswith((".json", ".log"))}
+    assert found == {
+        "a%2Fb%3Ac.json": "x\n", "a%2Fb%3Ac.log": "y\n", "__HIVE_DEFAULT_PARTITION__.json": "\n",
+        "__HIVE_DEFAULT_PARTITION__.log": "n\u00e9\n", "plain.json": "{}\n", "plain.log": "\n"}
+    assert spark.read.text(f"{path}/plain.json").first()[0] == "{}" and not list(path.glob("_staging*"))
+    assert runlogs.write_run_files(files.limit(0), str(tmp_path / "none")) == 0 and (tmp_path / "none").is_dir()
+
+
 def test_a_failed_task_leaves_no_run_file(spark, tmp_path):
     path = tmp_path / "runs"
     files = runs.run_files(records_of_three_runs(spark)).repartition(5)
