@@ -55,11 +55,12 @@ def _judge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
         return
     held: list[pd.DataFrame] = []
     for rows in batches:
-        train = rows[rows["split"] == ops.TRAIN]
-        if len(train):
+        train = rows["split"].to_numpy() == ops.TRAIN
+        if train.any():
             state.update((True,))
             if key[1] == 0:
-                yield train.iloc[:1][KEPT]
+                at = train.argmax()
+                yield rows.iloc[at : at + 1][KEPT]
             return
         held.append(rows[KEPT])
     yield from held

@@ -65,3 +65,25 @@ def test_frequent_fingerprints_are_dealt_out(spark, tmp_path):
     dealt = pd.concat(stream._first_copies(iter([rows])))
     counts = dealt.groupby(["split", "salt"]).size()
     assert (counts["test"] == 10).all() and (counts["train"] == 1).all() and len(counts) == 2 * stream.SALTS
+
+
+def test_a_marker_costs_no_frame():
+    """Markers are seven of eight groups; telling that one is a training row takes no frame of its own."""
+
+    class State:
+        exists, value = False, None
+
+        def update(self, value):
+            self.value = value
+
+    class Rows(pd.DataFrame):
+        def __getitem__(self, key):
+            assert key == "split"
+            return super().__getitem__(key)
+
+    state = State()
+    marker = Rows([("test", "c", "d", "x"), ("train", None, None, "x")], columns=stream.KEPT)
+    assert list(stream._judge(("x", 3), iter([marker]), state)) == [] and state.value == (True,)
+    rows = pd.DataFrame([("test", "a", "d", "x"), ("train", "b", "d", "x"), ("train", "c", "d", "x")], columns=stream.KEPT)
+    (kept,) = stream._judge(("x", 0), iter([rows]), State())
+    assert kept.to_numpy().tolist() == [["train", "b", "d", "x"]]
