@@ -33,10 +33,10 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stored_with(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
+def stored_with(df: DataFrame, label: str, options: dict[str, str] | None = None, **figures: Column) -> tuple[DataFrame, dict]:
     """:func:`stored`, and aggregates over the rows that come with the writing itself."""
     seen = Observation()
-    out = stored(df.observe(seen, *[c.alias(name) for name, c in figures.items()]), label)
+    out = stored(df.observe(seen, *[c.alias(name) for name, c in figures.items()]), label, **(options or {}))
     return out, seen.get
 
 

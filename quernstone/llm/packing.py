@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.llm.common import frugal, lean_batches, stored, stored_with
@@ -19,6 +19,8 @@ SEQUENCE = 1024
 GROUP_PIECES = 8_192
 STEP_BYTES = 1 << 21
 PIECES = "key long, doc_id long, piece int, start long, length long, ids_crc32 long"
+# Ids below 2**16 go as 16-bit numbers, moved into their range; a piece with a larger one has 32 bits each.
+NARROW, WIDE, SHIFT = 1 << 16, "narrow array<short>, wide array<int>", 1 << 15
 RULES = ("norm", "dot")
 
 
@@ -29,7 +31,25 @@ def _cut_points(length: int, size: int) -> list[tuple[int, int]]:
     return cuts + [(at, size) for at in range(first, length, size)]
 
 
-def _tokenised(size: int, with_ids: bool, vocabulary: str | None, ranks: str | None):
+def _by_width(offsets: np.ndarray, flat: np.ndarray) -> dict[str, pa.Array]:
+    """Columns ``narrow`` and ``wide`` of pieces of ids, none of them empty: of each piece one of the two, the other null."""
+    at, large = pa.array(offsets.astype(np.int32)), (flat < 0) | (flat >= NARROW)
+    moved = pa.array((flat - SHIFT).astype(np.int16))
+    if not large.any():
+        return {"narrow": pa.ListArray.from_arrays(at, moved), "wide": pa.nulls(len(offsets) - 1, pa.list_(pa.int32()))}
+    wide = np.logical_or.reduceat(large, offsets[:-1])
+    return {
+        "narrow": pa.ListArray.from_arrays(at, moved, mask=pa.array(wide)),
+        "wide": pa.ListArray.from_arrays(at, pa.array(flat), mask=pa.array(~wide)),
+    }
+
+
+def _of_any_width() -> Column:
+    """The ids behind ``narrow`` and ``wide``."""
+    return F.coalesce(F.transform("narrow", lambda x: x.cast("int") + SHIFT), F.col("wide")).alias("ids")
+
+
+def _tokenised(size: int, with_ids: bool, by_width: bool, vocabulary: str | None, ranks: str | None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, made = shared_encoder(vocabulary, ranks), TaskContext.get().partitionId() << 36
         for batch in batches:
@@ -55,7 +75,9 @@ def _tokenised(size: int, with_ids: bool, vocabulary: str | None, ranks: str | N
                     "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
                     "ids_crc32": pa.array(sums, pa.int64()),
                 }
-                if with_ids:
+                if by_width:
+                    columns |= _by_width(offsets, flat)
+                elif with_ids:
                     columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
                 made += len(doc)
                 yield pa.RecordBatch.from_pydict(columns)
@@ -73,8 +95,15 @@ def token_pieces(
     for a stored table only. Texts are taken ``STEP_BYTES`` at a time, a longer one alone, at some 60
     bytes of memory for each of its own.
     """
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(frugal(_tokenised(size, with_ids, vocabulary, ranks)), PIECES + ", ids array<int>" * with_ids)
+    return _pieces(docs, size, id_col, text_col, with_ids, False, vocabulary, ranks)
+
+
+def _pieces(
+    docs: DataFrame, size: int, id_col: str, text_col: str, with_ids: bool, by_width: bool, vocabulary: str | None, ranks: str | None
+) -> DataFrame:
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    ids = [WIDE] if by_width else ["ids array<int>"] if with_ids else []
+    return texts.mapInArrow(frugal(_tokenised(size, with_ids, by_width, vocabulary, ranks)), ", ".join([PIECES, *ids]))
 
 
 def best_fit(
@@ -161,7 +190,7 @@ def pack_documents(
 
     Documents become ids and one end id; longer ones are cut into full pieces after a first, shorter one.
     The pieces are stored once; their lengths are packed (see :func:`place_pieces`) and the places joined
-    back by key. ``ids_crc32`` is the checksum of the ids as little-endian 32-bit numbers; without
+    back by key. On that way ids take 16 bits each, 32 in pieces with larger ones. ``ids_crc32`` is the checksum of the ids as little-endian 32-bit numbers; without
     ``with_ids`` the ids themselves are left out and never leave the task that made them.
 
     Null and empty texts are the end id alone. Very long texts are cut into as many pieces as they need.
@@ -171,7 +200,8 @@ def pack_documents(
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule}")
     lean_batches(docs.sparkSession)
-    pieces, seen = stored_with(token_pieces(docs, size, id_col, text_col, with_ids, vocabulary, ranks), "pieces", n=F.count("*"))
+    cut = _pieces(docs, size, id_col, text_col, with_ids, with_ids, vocabulary, ranks)
+    pieces, seen = stored_with(cut, "pieces", {"compression": "zstd"}, n=F.count("*"))
     places = place_pieces(pieces, seen["n"], size, documents, attention, rule, group_pieces)
-    out = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []), "sequence_id", "offset"]
+    out = ["doc_id", "piece", "start", "length", "ids_crc32", *([_of_any_width()] if with_ids else []), "sequence_id", "offset"]
     return pieces.join(stored(places, "places"), "key").select(*out)

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -169,6 +170,31 @@ def test_ids_equal_the_public_tokenizer(texts):
 ENCODERS: dict = {}
 
 
+def test_pack_moves_narrow_ids(spark):
+    """Stored pieces, which the join with their places moves, hold 16 bits an id; ids come back as they were."""
+    seen = []
+    keep = packing.stored_with
+    try:
+        packing.stored_with = lambda df, *args, **more: seen.append(df.schema) or keep(df, *args, **more)
+        got = packing.pack_documents(frame(spark, packing_rows()), size=64)
+    finally:
+        packing.stored_with = keep
+    assert [f.simpleString() for f in seen[0].fields][-2:] == ["narrow:array<smallint>", "wide:array<int>"]
+    assert got.schema["ids"].dataType.simpleString() == "array<int>"
+
+
+def test_ids_of_any_width(spark):
+    lists = [[0, 65535, 32767, 32768], [65536], [1, 2**31 - 1, 3], [2], [7, 65535]]
+    offsets, flat = np.cumsum([0, *map(len, lists)]), np.array(sum(lists, []), "<i4")
+    for some in (slice(0, 5), slice(3, 5)):
+        base = offsets[some.start]
+        columns = packing._by_width(offsets[some.start : some.stop + 1] - base, flat[base : offsets[some.stop]])
+        rows = spark.createDataFrame(pa.table({"at": pa.array(range(len(lists[some]))), **columns}))
+        got = rows.select("at", "narrow", "wide", packing._of_any_width()).orderBy("at").collect()
+        assert [r.ids for r in got] == lists[some]
+        assert [(r.narrow is None, r.wide is None) for r in got] == [(max(x) > 65535, max(x) < 65536) for x in lists[some]]
+
+
 # --- sharding ------------------------------------------------------------------------------------
 
 
