@@ -28,15 +28,20 @@ STEP_BYTES = 1 << 20
 FILE_BYTES = 1 << 24
 SALTS = 64
 GAP = -1
+# Keys are counted by so many of their bits; a task holds about so many before it sends them, and a group has about so many.
+COUNTED_BITS, HELD_KEYS, PART_KEYS = 40, 1 << 19, 1 << 19
 # Ends of a piece, and the blanks between words.
 ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _FOLD = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + BLANKS, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(ENDS) + b" " * len(BLANKS)
 )
 _FACTORS = [0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
-# Words lie joined by blanks and phrases by line feeds, which neither holds; hashes, codes and places are 64- and 32-bit numbers in a row.
-OCCURRENCES = "block long, lang string, words string, n array<long>, total long, hashes binary, codes binary"
-PLACED = "block long, lang string, words string, hashes binary, codes binary, places binary, phrases string, n array<long>"
+# Words lie joined by blanks and phrases by line feeds, which neither holds; codes, one up, and the steps between places are packed.
+OCCURRENCES = "block long, lang string, words string, n array<long>, total long, codes binary"
+KEYS = "part long, gaps binary, n binary"
+LISTED = "lang string, words string, n array<long>"
+COUNTED = "lang string, phrases string, n array<long>"
+PLACED = "block long, words string, codes binary, places binary, " + COUNTED
 
 
 class _Codes(dict):
@@ -47,6 +52,19 @@ class _Codes(dict):
         return number
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers by place of their bytes, compressed: what all of them leave empty takes no room."""
+    wide = numbers.itemsize
+    planes = numbers.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True)
+
+
+def _unpacked(data: bytes | pa.Buffer, kind: type) -> np.ndarray:
+    raw, wide = memoryview(data), np.dtype(kind).itemsize
+    planes = pa.Codec("zstd").decompress(pa.py_buffer(raw[8:]), decompressed_size=int.from_bytes(raw[:8], "little"))
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(wide, -1).T).view(kind).ravel()
+
+
 class _Open:
     """Occurrences of one language that are not written yet: code by place, a gap after every piece."""
 
@@ -74,9 +92,9 @@ class _Open:
             [
                 pa.array([block], pa.int64()), pa.array([lang], pa.string()), pa.array([b" ".join(words).decode("utf-8")], pa.string()),
                 pa.array([np.bincount(inside, minlength=len(words))], pa.list_(pa.int64())), pa.array([len(inside)], pa.int64()),
-                pa.array([_word_hashes(words).tobytes()], pa.binary()), pa.array([codes.astype("<i4").tobytes()], pa.binary()),
+                pa.array([_packed(codes + 1)], pa.binary()),
             ],
-            names=["block", "lang", "words", "n", "total", "hashes", "codes"],
+            names=["block", "lang", "words", "n", "total", "codes"],
         )
 
 
@@ -105,6 +123,12 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return slice_hashes(data, np.append(0, ends[:-1]), ends) if words else np.empty(0, np.uint64)
 
 
+def _dictionary_hashes(batch: pa.RecordBatch, row: int) -> np.ndarray:
+    """The hash of each word of a block, by code."""
+    words = batch.column("words")[row].as_py()
+    return _word_hashes(words.encode("utf-8").split(b" ") if words else [])
+
+
 def _keys(lang: str, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
     """A 64-bit key of the phrases of ``words`` words that start at some places."""
     total = np.full(len(starts), np.uint64(words * 0x9E3779B1 + zlib.crc32(lang.encode("utf-8", "replace"))))
@@ -134,54 +158,127 @@ class _Extended:
     """One block with its phrases of ``words`` words, all of whose shorter parts may be frequent."""
 
     def __init__(self, batch: pa.RecordBatch, row: int, words: int, singles: Marks):
-        def numbers(name: str, kind: str) -> np.ndarray:
-            return np.frombuffer(batch.column(name)[row].as_buffer(), dtype=kind)
-
-        lang, self.codes, hashes = batch.column("lang")[row].as_py(), numbers("codes", "<i4"), numbers("hashes", "<u8")
+        lang, hashes = batch.column("lang")[row].as_py(), _dictionary_hashes(batch, row)
+        self.codes = _unpacked(batch.column("codes")[row].as_buffer(), np.int32) - 1
         if words == 2:
             every = np.arange(len(hashes))
             frequent = np.append(singles(_keys(lang, hashes, every, every, 1)), False)
             held = np.flatnonzero(frequent[self.codes])
         else:
-            held = numbers("places", "<i4")
+            held = np.cumsum(_unpacked(batch.column("places")[row].as_buffer(), np.int32), dtype=np.int32)
         self.starts = _adjacent(held)
         self.at, self.group, self.n = _groups(self.codes, self.starts, words, len(hashes))
         self.keys = _keys(lang, hashes, self.codes, self.at, words)
 
 
-def _group_counts(words: int, singles):
+def _counted_key(keys: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(64 - COUNTED_BITS)
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, with the sum of its counts."""
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _sent(held: list[tuple[np.ndarray, np.ndarray]], parts: int) -> pa.RecordBatch:
+    """Keys and counts of some blocks, summed: a row for each of the ``parts`` equal ranges of keys that holds some."""
+    keys, n = _summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+    bounds = [(part << COUNTED_BITS) // parts for part in range(parts + 1)]
+    cuts = np.searchsorted(keys, np.array(bounds, dtype=np.uint64))
+    rows = [
+        (part, _packed(np.diff(keys[start:end], prepend=np.uint64(0))), _packed(n[start:end]))
+        for part, (start, end) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if end > start
+    ]
+    columns = list(zip(*rows)) or [()] * 3
+    kinds = (pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "gaps", "n"])
+
+
+def _group_counts(words: int, singles, parts: int):
+    def counted(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
+        if words == 1:
+            hashes = _dictionary_hashes(batch, row)
+            every = np.arange(len(hashes))
+            keys, n = _keys(batch.column("lang")[row].as_py(), hashes, every, every, 1), batch.column("n")[row].values.to_numpy()
+        else:
+            own = _Extended(batch, row, words, singles and singles.value)
+            keys, n = own.keys, own.n
+        return _counted_key(keys), n.astype(np.int64)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, many = [], 0
         for batch in batches:
             for row in range(batch.num_rows):
-                own = _Extended(batch, row, words, singles and singles.value)
-                order = np.argsort(own.keys)
-                yield pa.RecordBatch.from_arrays([pa.array(own.keys[order].view(np.int64)), pa.array(own.n[order], pa.int64())], names=["key", "n"])
+                held.append(counted(batch, row))
+                many += len(held[-1][0])
+                if many >= HELD_KEYS:
+                    yield _sent(held, parts)
+                    held, many = [], 0
+        if many:
+            yield _sent(held, parts)
 
     return work
 
 
-def _semi_join(words: int, singles, marks):
+def _frequent_keys(min_count: int):
+    def work(table: pa.Table) -> pa.Table:
+        keys = np.concatenate([np.cumsum(_unpacked(gaps, np.uint64), dtype=np.uint64) for gaps in table.column("gaps").to_pylist()])
+        keys, n = _summed(keys, np.concatenate([_unpacked(counts, np.int64) for counts in table.column("n").to_pylist()]))
+        return pa.table({"key": pa.array(keys[n >= min_count].view(np.int64))})
+
+    return work
+
+
+def _frequent_words(marks):
+    """Words and counts of a block without those that no mark is set for."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                lang, hashes = batch.column("lang")[row].as_py(), _dictionary_hashes(batch, row)
+                every = np.arange(len(hashes))
+                stays = marks.value(_counted_key(_keys(lang, hashes, every, every, 1)))
+                words = pa.array(batch.column("words")[row].as_py().split(" ")).take(pa.array(np.flatnonzero(stays)))
+                n = batch.column("n")[row].values.to_numpy()[stays] if len(hashes) else []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()), pa.array([" ".join(words.to_pylist())], pa.string()), pa.array([n], pa.list_(pa.int64()))],
+                    names=["lang", "words", "n"],
+                )
+
+    return work
+
+
+def _semi_join(words: int, singles, marks, last: bool):
+    """The phrases that marks are set for; unless they are the ``last`` and longest, their places and the block go along."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 own = _Extended(batch, row, words, singles and singles.value)
-                stays = marks.value(own.keys)
+                stays = marks.value(_counted_key(own.keys))
                 dictionary = pa.array(batch.column("words")[row].as_py().split(" "))
                 columns = [dictionary.take(pa.array(own.codes[own.at[stays] + k])) for k in range(words)]
                 phrases = "\n".join(pc.binary_join_element_wise(*columns, " ").to_pylist())
-                places = own.starts[stays[own.group]].astype("<i4").tobytes()
-                same = [batch.column(name).slice(row, 1) for name in ("block", "lang", "words", "hashes", "codes")]
-                yield pa.RecordBatch.from_arrays(
-                    [*same, pa.array([places], pa.binary()), pa.array([phrases], pa.string()), pa.array([own.n[stays]], pa.list_(pa.int64()))],
-                    names=["block", "lang", "words", "hashes", "codes", "places", "phrases", "n"],
-                )
+                found = {
+                    "lang": batch.column("lang").slice(row, 1), "phrases": pa.array([phrases], pa.string()),
+                    "n": pa.array([own.n[stays]], pa.list_(pa.int64())),
+                }
+                if not last:
+                    places = own.starts[stays[own.group]].astype(np.int32)
+                    steps = _packed(np.diff(places, prepend=np.int32(0)))
+                    same = {name: batch.column(name).slice(row, 1) for name in ("block", "words", "codes")}
+                    found = {**same, "places": pa.array([steps], pa.binary()), **found}
+                yield pa.RecordBatch.from_pydict(found)
 
     return work
 
 
 def _kept(df: DataFrame, label: str) -> DataFrame:
     """Stored in small row groups, as a row is a whole block."""
-    return stored(df, label, **{"parquet.block.size": str(FILE_BYTES)})
+    return stored(df, label, **{"parquet.block.size": str(FILE_BYTES), "compression": "zstd"})
 
 
 def _listed(text: str, mark: str) -> Column:
@@ -218,30 +315,41 @@ def frequent_phrases(
     and the occurrences are semi-joined with it and written before they are extended again. A bit that
     another group has set lets occurrences through that are counted in vain: phrases are counted by
     their words in the end, so counts and results are exact whatever the map lets pass. Only counts
-    move; occurrences stay in their blocks. A block has counted its groups already, so a phrase has a
-    row per block at most, and no task adds up before the exchange what hardly ever repeats.
+    move; occurrences stay in their blocks. Groups are counted by ``COUNTED_BITS`` of a hash, which move
+    sorted, as compressed differences, by ranges of that hash; words and phrases themselves move only
+    where their key is frequent, summed up by each task before.
     """
     spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDECLARED)).alias("lang")
     texts = docs.select(lang, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def frequent(rows: DataFrame, column: str, mark: str, length: int) -> DataFrame:
-        met = rows.select("lang", _listed(column, mark)).filter("p.a IS NOT NULL").select("lang", "p.phrase", "p.a").repartition("lang", "phrase")
+        met = rows.select("lang", _listed(column, mark)).filter("p.a IS NOT NULL").select("lang", "p.phrase", "p.a")
         counted = met.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
         return stored(counted.filter(F.col("a") >= min_count).select("lang", "phrase", F.lit(length).alias("words"), "a"), "phrases")
 
     lean_batches(spark)
     held = _kept(texts.mapInArrow(frugal(_blocks(block_words)), OCCURRENCES), "occurrences")
     sizes = stored(held.groupBy("lang").agg(F.sum("total").alias("n")), "sizes")
-    found = [frequent(held, "words", " ", 1)]
+    parts = max(1, -(-(sizes.agg(F.sum("n")).first()[0] or 0) // PART_KEYS))
+
+    def frequent_keys(rows: DataFrame, length: int, singles) -> DataFrame:
+        sent = rows.mapInArrow(frugal(_group_counts(length, singles, parts)), KEYS)
+        return stored(sent.groupBy("part").applyInArrow(_frequent_keys(min_count), "key long"), "keys")
+
+    listed = held.select("lang", "words", "n")
+    keys = frequent_keys(listed, 1, None)
+    marks = spark.sparkContext.broadcast(marks_of(keys, keys.count()))
+    found = [frequent(listed.mapInArrow(frugal(_frequent_words(marks)), LISTED), "words", " ", 1)]
+    forget(keys)
     marks = spark.sparkContext.broadcast(marks_of(found[0].select(_word_key("lang", "phrase").alias("key")), found[0].count()))
     for length in range(2, words + 1):
         before = marks if length == 2 else None
-        needed = ["lang", "hashes", "codes", *(["places"] if length > 2 else [])]
-        counted = held.select(*needed).mapInArrow(frugal(_group_counts(length, before)), "key long, n long")
-        keys = stored(counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("key"), "keys")
+        needed = ["lang", "words", "codes", *(["places"] if length > 2 else [])]
+        keys = frequent_keys(held.select(*needed), length, before)
         marks = spark.sparkContext.broadcast(marks_of(keys, keys.count()))
-        joined = _kept(held.select("block", "words", *needed).mapInArrow(frugal(_semi_join(length, before, marks)), PLACED), "occurrences")
+        last = length == words
+        joined = _kept(held.select("block", *needed).mapInArrow(frugal(_semi_join(length, before, marks, last)), COUNTED if last else PLACED), "occurrences")
         found.append(frequent(joined, "phrases", "\n", length))
         forget(held)
         forget(keys)

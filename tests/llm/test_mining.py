@@ -7,6 +7,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -125,6 +126,37 @@ def test_collocations(spark, words, block):
     assert sorted(map(tuple, got.collect())) == plain_phrases(rows, words)
 
 
+def test_keys_are_counted_in_compact_ranges(spark, monkeypatch):
+    """What a task sends is a row per range of keys, a few bytes a key; all of it adds up exactly."""
+    rng = np.random.default_rng(7)
+    some = [np.sort(rng.choice(1 << phrases.COUNTED_BITS, 5000, replace=False).astype(np.uint64)) for _ in range(3)]
+    blocks = [(k, rng.integers(1, 1 << 33, len(k))) for k in (some[0], some[1], np.append(some[0][:700], some[2]), np.empty(0, np.uint64))]
+    want = Counter()
+    for keys, n in blocks:
+        for key, count in zip(keys.tolist(), n.tolist()):
+            want[key] += count
+    batches = [phrases._sent(blocks[:2], 5), phrases._sent(blocks[2:], 5), phrases._sent(blocks[3:], 5)]
+    assert [b.num_rows for b in batches] == [5, 5, 0]
+    got = Counter()
+    for part in range(5):
+        for b in batches:
+            for row in b.filter(pc.equal(b.column("part"), part)).to_pylist():
+                keys = np.cumsum(phrases._unpacked(row["gaps"], np.uint64), dtype=np.uint64)
+                assert {key * 5 >> phrases.COUNTED_BITS for key in keys.tolist()} == {part}
+                got.update(dict(zip(keys.tolist(), phrases._unpacked(row["n"], np.int64).tolist())))
+    assert got == want
+    monkeypatch.setattr(phrases, "HELD_KEYS", 100)
+    monkeypatch.setattr(phrases, "PART_KEYS", 64)
+    rows = [(i, " ".join(f"w{rng.zipf(1.3) % 90}" for _ in range(40)), ("en", None)[i % 2]) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    split, _ = phrases.frequent_phrases(docs, block_words=300)
+    monkeypatch.setattr(phrases, "PART_KEYS", 1 << 30)
+    whole, _ = phrases.frequent_phrases(docs, block_words=1 << 18)
+    met = Counter((lang or "und", " ".join(w[k : k + n])) for _, text, lang in rows for w in [text.split(" ")] for n in (1, 2, 3) for k in range(len(w) - n + 1))
+    frequent = {key: n for key, n in met.items() if n >= phrases.MIN_COUNT}
+    assert {(r.lang, r.phrase): r.a for r in split.collect()} == {(r.lang, r.phrase): r.a for r in whole.collect()} == frequent
+
+
 def test_collocations_whatever_the_map_lets_pass(spark, monkeypatch):
     rows = spoken(100, 9)
     monkeypatch.setattr(common.Marks, "__call__", lambda self, keys: np.ones(len(keys), dtype=bool))
